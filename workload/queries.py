@@ -31,7 +31,7 @@ RESULT = (
     "kt_tax_item_auto",
 )
 # A transaction that is tagged at every scale of the test tables.
-LOOKED_UP = "7-3"
+LOOKED_UP = "100-1"
 
 
 @dataclass
