@@ -25,14 +25,19 @@ class Period:
 
     def begin_of(self, rule_start: Column) -> Column:
         """Later of the two starts; a rule without a start is open there."""
-        return F.greatest(rule_start, F.lit(self.start))
+        return F.greatest(rule_start, day(self.start))
 
     def end_of(self, rule_end: Column) -> Column:
         """Earlier of the two ends; a rule without an end is open there."""
-        return F.least(rule_end, F.lit(self.end))
+        return F.least(rule_end, day(self.end))
 
     def covers(self, moment: Column) -> Column:
-        return within_days(moment, F.lit(self.start), F.lit(self.end))
+        return within_days(moment, day(self.start), day(self.end))
+
+
+def day(value: date) -> Column:
+    """A date literal, written out so that early years keep their four digits."""
+    return F.lit(value.isoformat()).cast("date")
 
 
 def within_days(moment: Column, first: Column, last: Column) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgertag.config import DEFAULT, Layout
 from ledgertag.functions.masks import any_shape, shape_masks
-from ledgertag.functions.period import within_days
+from ledgertag.functions.period import day, within_days
 from ledgertag.functions.predicates import rule_condition
 from ledgertag.operators.compile import MASK_LISTS
 from ledgertag.operators.lookup import by_key, cell, measure, transaction_keys
@@ -90,7 +90,7 @@ def match_join(
     if not found.paths:
         return _no_matches(tx)
     probe = tx.filter(
-        within_days(F.col(layout.posted), F.lit(found.first_day), F.lit(found.last_day))
+        within_days(F.col(layout.posted), day(found.first_day), day(found.last_day))
     ).select(
         *tx.columns,
         F.to_date(F.col(layout.posted)).alias("_day"),
@@ -154,7 +154,7 @@ def literal_condition(rule: Row, layout: Layout = DEFAULT) -> Column:
 
     accounts = listed(dt.account, "dt_accounts") + listed(kt.account, "kt_accounts")
     purposes = listed(layout.purpose, "purposes")
-    terms = [within_days(F.col(layout.posted), F.lit(rule["lo"]), F.lit(rule["hi"]))]
+    terms = [within_days(F.col(layout.posted), day(rule["lo"]), day(rule["hi"]))]
     terms += listed(dt.code, "dt_codes") + listed(kt.code, "kt_codes")
     for group, include in (
         (accounts, rule["account_include"]),
