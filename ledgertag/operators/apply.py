@@ -29,7 +29,7 @@ from ledgertag.operators.settle import settle
 # Rules up to this many bytes are broadcast in one go, more in several goes.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Rule sets up to this many rules are applied as literal predicates.
-LITERAL_RULES = 64
+LITERAL_RULES = 12
 
 RULE_COLUMNS = ("rid", "dt_item", "kt_item")
 

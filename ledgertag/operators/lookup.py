@@ -1,9 +1,10 @@
 """Lookup keys for rules, so that a transaction meets few rules, not all.
 
 Every rule has at most one *path*: a transaction column of which the rule fixes
-the whole value or the first characters. The rule then only needs to be checked
-on transactions that agree on that key. Rules for which no mask list fixes
-anything are put under one key that every transaction has.
+the whole value or the first characters, or both code columns together. The rule
+then only needs to be checked on transactions that agree on that key. Rules for
+which no mask list fixes anything are put under one key that every transaction
+has.
 
 A rule appears once per distinct key of its path, and a transaction has exactly
 one key per path, so a pair of transaction and rule meets at most once.
@@ -18,13 +19,17 @@ from pyspark.sql import functions as F
 
 from ledgertag.config import DEFAULT, Layout
 from ledgertag.functions.masks import is_literal, literal_prefix
-from ledgertag.operators.compile import MASK_LISTS
+from ledgertag.operators.compile import CODE_LISTS, MASK_LISTS
 
 # Longest prefix used as a key. The rule itself is always checked in full.
 WIDEST = 12
 # Paths are numbered 100 * list + prefix width; width 0 stands for whole values.
 _STEP = 100
 EVERY = -1
+# Both codes as whole values.
+PAIR = len(MASK_LISTS) * _STEP
+# A rule with more combinations of codes than this is found by one of them.
+MOST_PAIRS = 64
 
 # Cells in which the size of the rules is measured.
 CELLS = 256
@@ -52,7 +57,7 @@ def with_path(compiled: DataFrame) -> DataFrame:
         F.lit(EVERY).alias("path"),
         F.array(F.lit("")).alias("keys"),
     )
-    best = F.array_max(F.array_compact(F.array(none, *options)))
+    best = F.array_max(F.array_compact(F.array(none, _pair_option(), *options)))
     return compiled.withColumn("_best", best).select(
         *compiled.columns, F.col("_best.path"), F.col("_best.keys")
     )
@@ -78,6 +83,30 @@ def _option(i: int, name: str, positive: Column) -> Column:
     )
 
 
+def _pair_option() -> Column:
+    dt, kt = F.col("dt_codes"), F.col("kt_codes")
+    count = F.size(dt) * F.size(kt)
+    keys = F.flatten(
+        F.transform(dt, lambda d: F.transform(kt, lambda k: _pair(d, k)))
+    )
+    return F.when(
+        count.between(1, MOST_PAIRS)
+        & F.forall(dt, is_literal)
+        & F.forall(kt, is_literal),
+        F.struct(
+            F.lit(WIDEST + 2).alias("score"),
+            F.lit(0).alias("turn"),
+            F.lit(PAIR).alias("path"),
+            F.array_distinct(keys).alias("keys"),
+        ),
+    )
+
+
+def _pair(dt: Column, kt: Column) -> Column:
+    # The length in front keeps two pairs from giving the same text.
+    return F.concat(F.length(dt).cast("string"), F.lit(":"), dt, kt)
+
+
 def by_key(compiled: DataFrame) -> DataFrame:
     """One row per rule and key.
 
@@ -85,10 +114,11 @@ def by_key(compiled: DataFrame) -> DataFrame:
     it need not be carried along.
     """
     empty = F.array().cast("array<string>")
-    trimmed = [
-        F.when(F.col("path") == i * _STEP, empty).otherwise(F.col(n)).alias(n)
-        for i, n in enumerate(MASK_LISTS)
-    ]
+    trimmed = []
+    for i, n in enumerate(MASK_LISTS):
+        met = (i * _STEP, PAIR) if n in CODE_LISTS else (i * _STEP,)
+        kept = F.when(F.col("path").isin(*met), empty).otherwise(F.col(n))
+        trimmed.append(kept.alias(n))
     others = [c for c in compiled.columns if c not in MASK_LISTS]
     return with_path(compiled).select(
         *others, *trimmed, "path", F.explode("keys").alias("key")
@@ -102,6 +132,8 @@ def transaction_keys(paths: list[int], layout: Layout = DEFAULT) -> Column:
     def key(path: int) -> Column:
         if path == EVERY:
             return F.lit("")
+        if path == PAIR:
+            return _pair(F.col(layout.debit.code), F.col(layout.credit.code))
         i, width = divmod(path, _STEP)
         value = F.col(columns[i])
         return F.substring(value, 1, width) if width else value
@@ -114,6 +146,11 @@ def transaction_keys(paths: list[int], layout: Layout = DEFAULT) -> Column:
     )
 
 
+def finds_whole_values(path: Column) -> Column:
+    """Is the key of this path met by whole values only?"""
+    return (path != EVERY) & (path % _STEP == 0)
+
+
 @dataclass
 class RuleSet:
     """What one small job finds out about the keyed rules before they are joined."""

@@ -12,7 +12,7 @@ from workload.queries import LOOKED_UP, REGISTRY
 from workload.tables import (
     CODE_ITEM_VALUES,
     END,
-    PAIR_RULES,
+    GROUP_RULES,
     START,
     TEMPLATE_VALUES,
 )
@@ -52,7 +52,7 @@ rules AS (
     CAST(start_date AS DATE) AS start_date, CAST(end_date AS DATE) AS end_date
   FROM {TEMPLATE_VALUES} WHERE anchor IN (SELECT code FROM codes)
   UNION ALL
-  SELECT min(p_partkey) + {PAIR_RULES},
+  SELECT min(p_partkey) + {GROUP_RULES},
     '25' || lpad(CAST(length(p_type) AS VARCHAR), 3, '0'),
     {_BRAND_ITEM.format(c="p_brand")}, p_type, p_brand, '', '', '', '', '',
     DATE '1995-01-01', DATE '2001-12-31'

@@ -14,7 +14,7 @@ from ledgertag.functions.period import Period
 from ledgertag.operators import compile as rule_forms
 from ledgertag.operators import resolve, validate
 from ledgertag.operators.apply import apply_rules
-from ledgertag.operators.lookup import EVERY, with_path
+from ledgertag.operators.lookup import finds_whole_values, with_path
 from ledgertag.operators.tag import blank_tags, tag_sides, with_priorities
 from ledgertag.functions.tags import forced
 from ledgertag.sources.sinks import lookup
@@ -288,13 +288,13 @@ REGISTRY["apply_rules"] = REGISTRY.pop("apply_rules_all")
 @query
 def apply_rules_equi(i: Inputs) -> DataFrame:
     """Rules found by a whole value."""
-    return _by_path(i, (F.col("path") >= 0) & (F.col("path") % 100 == 0))
+    return _by_path(i, finds_whole_values(F.col("path")))
 
 
 @query
 def apply_rules_theta(i: Inputs) -> DataFrame:
     """Rules found by a prefix or only by checking every transaction."""
-    return _by_path(i, (F.col("path") == EVERY) | (F.col("path") % 100 != 0))
+    return _by_path(i, ~finds_whole_values(F.col("path")))
 
 
 def _by_path(i: Inputs, chosen: Column) -> DataFrame:

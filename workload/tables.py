@@ -130,8 +130,11 @@ CODE_ITEMS = [
     ("MEDIUM", "11500", "1990-01-01", "1996-12-31"),
 ]
 
-# Ids of the rules per pair of type and brand start here.
-PAIR_RULES = 1000
+# Ids of the rules per group of parts start here.
+GROUP_RULES = 1000
+
+PER_PAIR = ("p_type", "p_brand")
+PER_WORD = (*PER_PAIR, "word")
 
 
 def values(rows: list[tuple], columns: tuple[str, ...], alias: str) -> str:
@@ -215,8 +218,12 @@ def classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return single.unionByName(brands)
 
 
-def rules(spark: SparkSession, sf_dir: str, pairs: bool = True) -> DataFrame:
-    """Templates whose code occurs and, with ``pairs``, a rule per type and brand."""
+def rules(spark: SparkSession, sf_dir: str, per: tuple[str, ...] = PER_PAIR) -> DataFrame:
+    """Templates whose code occurs, and one rule per distinct ``per`` of parts.
+
+    ``per`` is empty (templates only), type and brand, or these and ``word``, the
+    first word of the part's name.
+    """
     templates = spark.sql(f"SELECT * FROM {TEMPLATE_VALUES}")
     issued = templates.join(
         codes(spark, sf_dir), F.col("anchor") == F.col("code"), "left_semi"
@@ -226,27 +233,31 @@ def rules(spark: SparkSession, sf_dir: str, pairs: bool = True) -> DataFrame:
         F.col("start_date").cast("date").alias("start_date"),
         F.col("end_date").cast("date").alias("end_date"),
     )
-    if not pairs:
+    if not per:
         return issued
     blank = F.lit("")
-    per_pair = (
+    by_word = "word" in per
+    per_group = (
         load(spark, sf_dir, "part")
-        .groupBy("p_type", "p_brand")
+        .withColumn("word", F.split_part("p_name", F.lit(" "), F.lit(1)))
+        .groupBy(*per)
         .agg(F.min("p_partkey").alias("first_part"))
         .select(
-            (F.col("first_part") + PAIR_RULES).alias("id_pk"),
+            (F.col("first_part") + GROUP_RULES).alias("id_pk"),
             F.concat(
                 F.lit("25"), F.lpad(F.length("p_type").cast("string"), 3, "0")
             ).alias("dt_tax_item"),
             _brand_item("p_brand").alias("kt_tax_item"),
             F.col("p_type").alias("dt_tax_item_ofr_list"),
             F.col("p_brand").alias("kt_tax_item_ofr_list"),
-            *[blank.alias(c) for c in RULE_COLUMNS[5:10]],
+            *[blank.alias(c) for c in RULE_COLUMNS[5:8]],
+            (F.lit("INCLUDE") if by_word else blank).alias(RULE_COLUMNS[8]),
+            (F.concat("word", F.lit("%")) if by_word else blank).alias(RULE_COLUMNS[9]),
             F.lit(_FROM).cast("date").alias("start_date"),
             F.lit(_TO).cast("date").alias("end_date"),
         )
     )
-    return issued.unionByName(per_pair)
+    return issued.unionByName(per_group)
 
 
 def _brand_item(column: str):
