@@ -88,7 +88,7 @@ def match_join(
     keyed = settle(by_key(compiled))
     found = measure(keyed)
     if not found.paths:
-        return _no_matches(tx)
+        return no_matches(tx)
     probe = tx.filter(
         within_days(F.col(layout.posted), day(found.first_day), day(found.last_day))
     ).select(
@@ -130,7 +130,7 @@ def _meet(
     )
 
 
-def _no_matches(tx: DataFrame) -> DataFrame:
+def no_matches(tx: DataFrame) -> DataFrame:
     return (
         tx.filter(F.lit(False))
         .withColumn("rid", F.lit(None).cast("long"))
@@ -179,7 +179,7 @@ def match_literal(
 ) -> DataFrame:
     """One pass: the positions of the rules that match each row, exploded."""
     if not rules:
-        return _no_matches(tx)
+        return no_matches(tx)
     hits = F.array(
         *[F.when(literal_condition(r, layout), F.lit(n)) for n, r in enumerate(rules)]
     )
@@ -203,7 +203,7 @@ def match_per_rule(
     tx: DataFrame, rules: list[Row], layout: Layout = DEFAULT
 ) -> DataFrame:
     if not rules:
-        return _no_matches(tx)
+        return no_matches(tx)
     parts = [
         tx.filter(literal_condition(r, layout)).select(
             *tx.columns, *[rule_value([r], c, F.lit(0)) for c in RULE_COLUMNS]

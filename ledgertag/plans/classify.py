@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ledgertag.config import DEFAULT, Layout, Side
@@ -14,6 +14,7 @@ from ledgertag.operators.apply import (
     LITERAL_RULES,
     apply_settled,
     literal_condition,
+    no_matches,
     rule_value,
     small_rule_set,
 )
@@ -22,7 +23,6 @@ from ledgertag.operators.resolve import candidates, consolidate, merge_ids
 from ledgertag.operators.settle import settle
 from ledgertag.operators.tag import tag_sides
 from ledgertag.operators.validate import validate_rules
-from ledgertag.schemas import OUT_SCHEMA
 
 
 def classify(
@@ -39,6 +39,7 @@ def classify(
     ``strategy`` is one of those of :func:`ledgertag.operators.apply.apply_rules`.
     The choice, and the size check before anything is broadcast, need one small
     job over the rules; the transactions are not read before the caller's action.
+    Without a rule that applies the result is empty and has the same columns.
     """
     period = Period.parse(start_date, end_date)
     valid = validate_rules(rules, classifier, period, layout)
@@ -48,10 +49,10 @@ def classify(
     found = None
     if strategy in ("auto", "literal"):
         few = small_rule_set(compiled, None if strategy == "literal" else LITERAL_RULES)
-        if few is not None:
-            if not few:
-                return empty_result(tx.sparkSession)
+        if few:
             found = first_matches(chosen, few, layout)
+        elif few is not None:
+            found = candidates(tag_sides(no_matches(chosen), layout), layout)
     if found is None:
         way = "join" if strategy == "auto" else strategy
         matches = apply_settled(chosen, compiled, way, layout)
@@ -134,11 +135,9 @@ def _first_rule(side: Side, rules: list[Row], layout: Layout) -> Column:
             (rules[n][other] or "").encode(),
         ),
     )
-    chain = F.lit(None).cast("int")
-    for n in reversed(usable):
-        chain = F.when(literal_condition(rules[n], layout), F.lit(n)).otherwise(chain)
-    return F.when(taggable(F.col(side.account), layout), chain)
-
-
-def empty_result(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], OUT_SCHEMA)
+    if not usable:
+        return F.lit(None).cast("int")
+    cases = F
+    for n in usable:
+        cases = cases.when(literal_condition(rules[n], layout), F.lit(n))
+    return F.when(taggable(F.col(side.account), layout), cases)
