@@ -28,8 +28,12 @@ from ledgertag.operators.settle import settle
 
 # Rules up to this many bytes are broadcast in one go, more in several goes.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Rule sets up to this many rules are applied as literal predicates.
+# Up to this many rules "auto" applies them as literal predicates. Beyond it the
+# generated code of one row grows past what the JVM compiles, and the join wins.
 LITERAL_RULES = 12
+# More rules than this never come to the driver, whatever the strategy.
+MOST_LITERAL_RULES = 500
+STRATEGIES = ("auto", "join", "literal", "per_rule")
 
 RULE_COLUMNS = ("rid", "dt_item", "kt_item")
 
@@ -47,26 +51,29 @@ def apply_rules(
 def apply_settled(
     tx: DataFrame, compiled: DataFrame, strategy: str, layout: Layout = DEFAULT
 ) -> DataFrame:
-    if strategy in ("auto", "literal"):
-        rules = small_rule_set(compiled, None if strategy == "literal" else LITERAL_RULES)
-        if rules is not None:
-            return match_literal(tx, rules, layout)
-    if strategy in ("auto", "join"):
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown strategy {strategy!r}")
+    rules = literal_rule_set(compiled, strategy)
+    if rules is None:
         return match_join(tx, compiled, layout)
-    if strategy == "per_rule":
-        return match_per_rule(tx, compiled.collect(), layout)
-    raise ValueError(f"unknown strategy {strategy!r}")
+    way = match_per_rule if strategy == "per_rule" else match_literal
+    return way(tx, rules, layout)
 
 
-def small_rule_set(compiled: DataFrame, most: int | None = LITERAL_RULES):
-    """The rules as rows if there are at most ``most``, else ``None``.
+def literal_rule_set(compiled: DataFrame, strategy: str) -> list[Row] | None:
+    """The rules as rows if the strategy wants them so, else ``None``.
 
-    Reads no more than ``most + 1`` rows.
+    Never reads more than one row beyond the limit.
     """
-    if most is None:
-        return compiled.collect()
+    if strategy == "join":
+        return None
+    most = LITERAL_RULES if strategy == "auto" else MOST_LITERAL_RULES
     rows = compiled.limit(most + 1).collect()
-    return rows if len(rows) <= most else None
+    if len(rows) <= most:
+        return rows
+    if strategy == "auto":
+        return None
+    raise ValueError(f"more than {most} rules: use the strategy 'join'")
 
 
 # --- join ---------------------------------------------------------------

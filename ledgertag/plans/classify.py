@@ -11,12 +11,11 @@ from ledgertag.config import DEFAULT, Layout, Side
 from ledgertag.functions.period import Period
 from ledgertag.functions.tags import preference, taggable
 from ledgertag.operators.apply import (
-    LITERAL_RULES,
     apply_settled,
     literal_condition,
+    literal_rule_set,
     no_matches,
     rule_value,
-    small_rule_set,
 )
 from ledgertag.operators.compile import assigning, compile_rules
 from ledgertag.operators.resolve import candidates, consolidate, merge_ids
@@ -24,6 +23,9 @@ from ledgertag.operators.settle import settle
 from ledgertag.operators.tag import tag_sides
 from ledgertag.operators.validate import validate_rules
 
+# Strategies that may choose the best tags within a row, before any exchange.
+BY_ROW = ("auto", "literal")
+
 
 def classify(
     tx: DataFrame,
@@ -46,16 +48,15 @@ def classify(
     compiled = settle(assigning(compile_rules(valid, period, layout)))
     chosen = taggable_rows(tx, period, layout)
 
-    found = None
-    if strategy in ("auto", "literal"):
-        few = small_rule_set(compiled, None if strategy == "literal" else LITERAL_RULES)
-        if few:
-            found = first_matches(chosen, few, layout)
-        elif few is not None:
-            found = candidates(tag_sides(no_matches(chosen), layout), layout)
-    if found is None:
-        way = "join" if strategy == "auto" else strategy
-        matches = apply_settled(chosen, compiled, way, layout)
+    few = literal_rule_set(compiled, strategy) if strategy in BY_ROW else None
+    if few:
+        found = first_matches(chosen, few, layout)
+    else:
+        if few is not None:
+            matches = no_matches(chosen)
+        else:
+            way = "join" if strategy == "auto" else strategy
+            matches = apply_settled(chosen, compiled, way, layout)
         found = candidates(tag_sides(matches, layout), layout)
 
     result = consolidate(merge_ids(found, layout), layout)

@@ -44,13 +44,17 @@ classifier AS (
   UNION ALL
   SELECT code, {_BRAND_ITEM.format(c="code")}, DATE '1990-01-01', CAST(NULL AS DATE)
   FROM codes WHERE starts_with(code, 'Brand#')),
-rules AS (
+templates_issued AS (
   SELECT CAST(id_pk AS BIGINT) AS id_pk, dt_tax_item, kt_tax_item,
     dt_tax_item_ofr_list, kt_tax_item_ofr_list, account_mask_rule,
     dt_account_mask_list, kt_account_mask_list, payment_purpose_rule,
     payment_purpose_pattern_list,
     CAST(start_date AS DATE) AS start_date, CAST(end_date AS DATE) AS end_date
-  FROM {TEMPLATE_VALUES} WHERE anchor IN (SELECT code FROM codes)
+  FROM {TEMPLATE_VALUES} WHERE anchor IN (SELECT code FROM codes))"""
+
+_ALL_RULES = f"""
+rules AS (
+  SELECT * FROM templates_issued
   UNION ALL
   SELECT min(p_partkey) + {GROUP_RULES},
     '25' || lpad(CAST(length(p_type) AS VARCHAR), 3, '0'),
@@ -58,6 +62,9 @@ rules AS (
     DATE '1995-01-01', DATE '2001-12-31'
   FROM part GROUP BY p_type, p_brand)"""
 
+_TEMPLATE_RULES = """
+rules AS (SELECT * FROM templates_issued)"""
+
 # chr(1) stands for an escaped comma while a list is split.
 _HELD = "regexp_replace(replace(coalesce({c}, ''), '/,', chr(1)), ',+$', '')"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -207,12 +214,14 @@ result AS (
   FROM report r JOIN items i ON r.id_pk = i.id_pk)"""
 )
 
-_RULES = [_RELATIONS, _COMPILED]
-_CHECKED = [_RELATIONS, _COMPILED, _VALIDATION]
-_PAIRS = [_RELATIONS, _COMPILED, _PAIRED]
+_VIEWS = [_RELATIONS, _ALL_RULES]
+_RULES = [*_VIEWS, _COMPILED]
+_CHECKED = [*_RULES, _VALIDATION]
+_PAIRS = [*_RULES, _PAIRED]
 _MATCHES = [*_CHECKED, _PAIRED, _MATCHED]
 _TAGS = [*_MATCHES, _TAGGED]
 _RESULT = [*_TAGS, _RESOLVED]
+_TEMPLATE_RESULT = [s if s is not _ALL_RULES else _TEMPLATE_RULES for s in _RESULT]
 
 _MATCH = "SELECT id_pk, operation_date, rid FROM"
 _WINNER = (
@@ -252,11 +261,11 @@ _FLAGS = ("has_dt_ofr", "has_kt_ofr", "has_dt_acct", "has_kt_acct", "has_purpose
 _RESULT_ROWS = "SELECT * FROM result"
 
 _SQL: dict[str, str] = {
-    "tx_view": _with([_RELATIONS], "SELECT * FROM tx"),
-    "rules_view": _with([_RELATIONS], "SELECT * FROM rules"),
-    "classifier_view": _with([_RELATIONS], "SELECT * FROM classifier"),
+    "tx_view": _with(_VIEWS, "SELECT * FROM tx"),
+    "rules_view": _with(_VIEWS, "SELECT * FROM rules"),
+    "classifier_view": _with(_VIEWS, "SELECT * FROM classifier"),
     "operation_day": _with(
-        [_RELATIONS],
+        _VIEWS,
         "SELECT id_pk, CAST(operation_date AS DATE) AS op_day, input_dt FROM tx",
     ),
     "mask_explode": _with(
@@ -347,7 +356,7 @@ FROM matched""",
     "consolidate": _with(_RESULT, _RESULT_ROWS),
     "classify_transactions": _with(_RESULT, _RESULT_ROWS),
     "classify_join": _with(_RESULT, _RESULT_ROWS),
-    "classify_literal": _with(_RESULT, _RESULT_ROWS),
+    "classify_literal": _with(_TEMPLATE_RESULT, _RESULT_ROWS),
     "sink_partition_counts": _with(
         _RESULT, "SELECT input_dt, count(*) AS n FROM result GROUP BY input_dt"
     ),

@@ -78,10 +78,12 @@ class Inputs:
     def tagged(self) -> DataFrame:
         return blank_tags(tag_sides(self.matches))
 
-    def classified(self, strategy: str = "auto") -> DataFrame:
+    def classified(
+        self, strategy: str = "auto", per: tuple[str, ...] = tables.PER_PAIR
+    ) -> DataFrame:
         return classify(
             self.tx,
-            self.rules,
+            tables.rules(self.spark, self.sf_dir, per),
             self.classifier,
             tables.START,
             tables.END,
@@ -377,7 +379,8 @@ def classify_join(i: Inputs) -> DataFrame:
 
 @query
 def classify_literal(i: Inputs) -> DataFrame:
-    return i.classified("literal")
+    """Only the templates: literal predicates are meant for small rule sets."""
+    return i.classified("literal", ())
 
 
 @query
