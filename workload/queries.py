@@ -265,15 +265,15 @@ def match_all(i: Inputs) -> DataFrame:
 
 @query
 def match_window(i: Inputs) -> DataFrame:
-    """Transactions per day on which a rule counts; days are counted first."""
-    days = (
-        i.in_period.groupBy(F.to_date("operation_date").alias("op_day"))
-        .agg(F.count("*").alias("n"))
-    )
-    windows = rule_forms.rule_windows(i.rules, i.period)
-    return days.join(windows, F.col("op_day").between(F.col("lo"), F.col("hi"))).select(
-        "rid", "op_day", "n"
-    )
+    """Transactions per day on which a rule counts.
+
+    Both sides are brought down to days first, so that they meet by equality.
+    """
+    day = F.to_date("operation_date").alias("op_day")
+    counts = i.in_period.groupBy(day).agg(F.count("*").alias("n"))
+    windows = rule_forms.rule_windows(i.rules, i.period).filter("lo <= hi")
+    days = windows.select("rid", F.explode(F.sequence("lo", "hi")).alias("op_day"))
+    return days.join(counts, "op_day").select("rid", "op_day", "n")
 
 
 # --- application --------------------------------------------------------
