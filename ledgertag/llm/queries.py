@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgertag.llm import sql
 from ledgertag.llm.sharding import shard_documents
+from ledgertag.llm.topk import top_k
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = sql.ORACLES
@@ -29,3 +30,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=16).withColumns(
         {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}
     )
+
+
+@query
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best rows for every vector whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 100 = 0"), k=10, scale=1024)

@@ -18,4 +18,4 @@ WITH valid AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_topk": OP6_TOPK}

@@ -1,0 +1,44 @@
+import math
+import random
+
+import pytest
+
+from ledgertag.llm.topk import top_k
+
+SCHEMA = "vec_id long, embedding array<float>, label int, rank int, _id string"
+
+
+def brute(rows, k):
+    from struct import pack, unpack
+
+    ok = []
+    for i, v in rows:
+        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        ok.append((i, [math.floor(1024 * unpack("f", pack("f", x))[0]) for x in v]))
+    asked = {}
+    for i, v in ok:
+        if i % 10 == 0:
+            asked[i] = min(asked.get(i, v), v)
+    out = []
+    for i, q in asked.items():
+        hits = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in ok if j != i and len(v) == len(q))
+        out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(hits[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_like_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, [rng.gauss(0, 0.3) for _ in range(6)]) for i in range(150)]
+    rows += [(200 + i, [0.5] * 6) for i in range(40)]  # ties
+    rows += [(300, None), (301, [1.0, None] * 3), (302, [float("nan")] * 6), (310, [float("inf")] * 6)]
+    rows += [(400, [1.0, 2.0]), (401, [-3.0, 0.25]), (410, []), (411, []), (None, [0.1] * 6), (20, [0.0] * 6)]
+    df = spark.createDataFrame([(i, v, 1, 2, "x") for i, v in rows], SCHEMA).repartition(5)
+    got = top_k(df, df.filter("vec_id % 10 = 0"), k=7, block_rows=32, query_rows=4)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 7)
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert top_k(df, df).collect() == []
