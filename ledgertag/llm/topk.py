@@ -195,7 +195,7 @@ def top_k(
                 ids = np.frombuffer(row["_ids"].as_buffer(), np.int64)
                 low = np.frombuffer(row["_low"].as_buffer(), np.int64)
                 slices = np.frombuffer(row["_slices"].as_buffer(), np.uint64)
-                slices = slices.reshape(d, row["_digits"].as_py(), -1)
+                slices = slices.reshape(d, row["_digits"].as_py(), -(-len(ids) // 64))
                 out = []
                 for q in row["_asked"].as_py():
                     weights = np.array(q["_v"], np.int64)
