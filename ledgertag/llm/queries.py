@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgertag.llm import sql
+from ledgertag.llm.quality import classify_quality
 from ledgertag.llm.sharding import shard_documents
 from ledgertag.llm.topk import top_k
 
@@ -37,3 +38,9 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best rows for every vector whose id is divisible by 100."""
     vectors = table(spark, sf_dir, "embeddings")
     return top_k(vectors, vectors.filter("vec_id % 100 = 0"), k=10, scale=1024)
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, and which of them to keep."""
+    return classify_quality(table(spark, sf_dir, "documents"))
