@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgertag.llm import sql
+from ledgertag.llm.fingerprints import fingerprint_edits
 from ledgertag.llm.quality import classify_quality
 from ledgertag.llm.sharding import shard_documents
 from ledgertag.llm.topk import top_k
@@ -44,3 +45,9 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents, and which of them to keep."""
     return classify_quality(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
