@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgertag.llm import sql
+from ledgertag.llm.extraction import extract_pages
 from ledgertag.llm.fingerprints import fingerprint_edits
 from ledgertag.llm.quality import classify_quality
 from ledgertag.llm.sharding import shard_documents
@@ -51,3 +52,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    found = extract_pages(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))

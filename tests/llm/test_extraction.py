@@ -1,0 +1,73 @@
+import difflib
+import html
+import random
+import re
+
+from ledgertag.llm.extraction import extract_pages, lines_of, main_text, shared_lines
+
+SCHEMA = "page_id long, url string, html string, text string, _host string"
+
+
+def article_of(page):
+    """What the generator of the test pages put into the article, tags and all else taken off."""
+    inside = re.search(r"<article>(.*)</article>", page or "<article></article>", re.S)[1]
+    blocks = re.split(r"</?(?:p|h1)>|<br>", inside)
+    lines = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in blocks]
+    return "\n".join(x for x in lines if x)
+
+
+def test_whole_table(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in extract_pages(pages).collect()}
+    assert got == {r["page_id"]: article_of(r["html"]) for r in pages.collect()}
+
+
+def test_longest_common_subsequence():
+    rng = random.Random(2)
+    for _ in range(200):
+        a = [rng.choice("abcde") for _ in range(rng.randrange(12))]
+        b = [rng.choice("abcde") for _ in range(rng.randrange(12))]
+        marked = shared_lines(a, b)
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        common = [x for x, m in zip(a, marked) if m]
+        assert len(common) == table[-1][-1]
+        it = iter(b)
+        assert all(x in it for x in common)
+    long = [str(i % 50) for i in range(3000)]
+    assert all(shared_lines(long, long)) and difflib.SequenceMatcher(None, long, long).ratio() == 1.0
+
+
+def test_structure():
+    page = (
+        "<html><head><title>T</title><style>a{}</style></head><body><header>Top</header><nav>Menu<p>more</nav>"
+        "<div class='cookie-notice'>We use</div><main><h1>One &amp; two</h1><p>a\n\t b<b>c</b>&nbsp;d<p>next"
+        "<script>var x='<p>no</p>'</script><!-- <p>no</p> --> end<aside>side</aside><form>f<input>g</form>"
+        "<section class='comments'><p>great post</section><p class=lead>last &lt;b&gt;</main>"
+        "<footer>foot</footer></body></html><div unfinished"
+    )
+    assert main_text(lines_of(page), None) == "One & two\na bc d\nnext end\nlast <b>"
+    assert lines_of("") == [] and lines_of("plain") == [("plain", 0)] and lines_of("<p") == []
+
+
+def test_differencing_finds_unmarked_templates(spark):
+    def page(body):
+        return f"<div>Home</div><div>Latest offers</div><p>{body}</p><p>{body} again</p><div>All rights kept</div>"
+
+    rows = [(i, f"http://h{i % 3}.example/a/{i}?x={i}", page(f"story {i}")) for i in range(30)]
+    rows += [(100, None, None), (101, None, ""), (102, "http://alone.example/", page("only")), (None, "mailto:x", "<p>y")]
+    df = spark.createDataFrame([(i, u, h, "t", "h") for i, u, h in rows], SCHEMA).repartition(5)
+    got = {r["page_id"]: r["text"] for r in extract_pages(df).collect()}
+    assert len(got) == len(rows)
+    for i in range(30):
+        assert got[i] == f"story {i}\nstory {i} again"
+    assert got[100] == got[101] == "" and got[None] == "y"
+    assert got[102].startswith("Home")
+    assert extract_pages(df.limit(0)).collect() == []
+
+
+def test_very_long_page():
+    page = "<article>" + "<p>word " * 20000 + "</article>"
+    assert main_text(lines_of(page), lines_of(page)).count("\n") == 19999
