@@ -11,6 +11,7 @@ from ledgertag.llm import sql
 from ledgertag.llm.extraction import extract_pages
 from ledgertag.llm.fingerprints import fingerprint_edits
 from ledgertag.llm.quality import classify_quality
+from ledgertag.llm.repeats import remove_repeats
 from ledgertag.llm.sharding import shard_documents
 from ledgertag.llm.topk import top_k
 
@@ -59,3 +60,16 @@ def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of all pages."""
     found = extract_pages(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes that repeated strings of 100 bytes cover."""
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
