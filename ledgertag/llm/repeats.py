@@ -261,12 +261,13 @@ def induced(payloads: DataFrame) -> DataFrame:
         if not len(c):
             return
         c, row, d = repeated_windows(c)
+        if not len(row):
+            return
         order = np.lexsort((-d, row))
         row, d = row[order], d[order]
-        new = _changes(row) | np.concatenate([[True], d[1:] != d[:-1] - 1])[: len(row)]
-        at = np.flatnonzero(new)
+        at = np.flatnonzero(_changes(row, d + np.arange(len(d))))
         end = np.append(at[1:], len(row)) - 1
-        a = c["a"].astype(np.int64)[row[at]] if len(at) else np.empty(0, np.int64)
+        a = c["a"].astype(np.int64)[row[at]]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c["doc"][row[at]]), pa.array(c["tie"][row[at]]), pa.array(a - d[at]), pa.array(a - d[end])],
             ["doc", "tie", "first", "last"],
