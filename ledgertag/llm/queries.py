@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgertag.llm import sql
 from ledgertag.llm.extraction import extract_pages
 from ledgertag.llm.fingerprints import fingerprint_edits
+from ledgertag.llm.jaccard import similar_documents
 from ledgertag.llm.quality import classify_quality
 from ledgertag.llm.repeats import remove_repeats
 from ledgertag.llm.sharding import shard_documents
@@ -73,3 +74,9 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return similar_documents(table(spark, sf_dir, "documents"))
