@@ -11,6 +11,7 @@ from ledgertag.llm import sql
 from ledgertag.llm.extraction import extract_pages
 from ledgertag.llm.fingerprints import fingerprint_edits
 from ledgertag.llm.jaccard import similar_documents
+from ledgertag.llm.lines import dedup_lines
 from ledgertag.llm.quality import classify_quality
 from ledgertag.llm.repeats import remove_repeats
 from ledgertag.llm.sharding import shard_documents
@@ -80,3 +81,10 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document."""
     return similar_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that come, more or less alike, before."""
+    cut = dedup_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
