@@ -104,18 +104,18 @@ def positions(
     """
     spark = df.sparkSession
     keys = ([group] if group else []) + order
-    narrow = settled(df).withColumn("_tie", F.monotonically_increasing_id())
+    narrow = settled(df).withColumn("_pos_tie", F.monotonically_increasing_id())
     ranged = settled(
-        narrow.repartitionByRange(tasks(spark), *keys, "_tie")
-        .sortWithinPartitions(*keys, "_tie")
-        .drop("_tie")
-        .withColumn("_part", F.spark_partition_id())
+        narrow.repartitionByRange(tasks(spark), *keys, "_pos_tie")
+        .sortWithinPartitions(*keys, "_pos_tie")
+        .drop("_pos_tie")
+        .withColumn("_pos_part", F.spark_partition_id())
     )
-    parts = ["_part"] + ([group] if group else [])
+    parts = ["_pos_part"] + ([group] if group else [])
     sums = [F.count(F.lit(1)).alias("_n")] + ([F.sum(size).alias("_s")] if size else [])
     from pyspark.sql import Window
 
-    earlier = (Window.partitionBy(group) if group else Window.partitionBy()).orderBy("_part")
+    earlier = (Window.partitionBy(group) if group else Window.partitionBy()).orderBy("_pos_part")
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy(*parts).agg(*sums)
     totals = totals.select(
@@ -123,10 +123,10 @@ def positions(
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"),
         *([F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_s0")] if size else []),
     )
-    on = F.col("_part") == F.col("_part_of")
+    on = F.col("_pos_part") == F.col("_pos_part_of")
     if group:
         on = on & F.col(group).eqNullSafe(F.col(f"{group}_of"))
-    joined = ranged.join(F.broadcast(totals), on).drop("_part", *[f"{p}_of" for p in parts])
+    joined = ranged.join(F.broadcast(totals), on).drop("_pos_part", *[f"{p}_of" for p in parts])
     fields = [f for f in joined.schema.fields if f.name not in ("_n0", "_s0")]
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", `row` bigint"
     out += ", `before` bigint" if size else ""

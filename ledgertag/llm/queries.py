@@ -12,6 +12,7 @@ from ledgertag.llm.extraction import extract_pages
 from ledgertag.llm.fingerprints import fingerprint_edits
 from ledgertag.llm.jaccard import similar_documents
 from ledgertag.llm.lines import dedup_lines
+from ledgertag.llm.mixing import mix_sources
 from ledgertag.llm.quality import classify_quality
 from ledgertag.llm.repeats import remove_repeats
 from ledgertag.llm.sharding import shard_documents
@@ -88,3 +89,9 @@ def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that come, more or less alike, before."""
     cut = dedup_lines(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places of all documents in a mix of their sources by the root of their sizes."""
+    return mix_sources(table(spark, sf_dir, "documents"))
