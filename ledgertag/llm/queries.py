@@ -13,6 +13,7 @@ from ledgertag.llm.fingerprints import fingerprint_edits
 from ledgertag.llm.jaccard import similar_documents
 from ledgertag.llm.lines import dedup_lines
 from ledgertag.llm.mixing import mix_sources
+from ledgertag.llm.packing import pack_documents
 from ledgertag.llm.quality import classify_quality
 from ledgertag.llm.repeats import remove_repeats
 from ledgertag.llm.sharding import shard_documents
@@ -27,6 +28,12 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -95,3 +102,9 @@ def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The places of all documents in a mix of their sources by the root of their sizes."""
     return mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), window=1024, end=0)
