@@ -226,13 +226,13 @@ def fit_scorer(
 
 
 def _walk(batches):
-    """Ids, bytes, bounds and measures of the documents, a few MB of text at a time."""
+    """Some rows, the bytes of their texts, the texts' bounds and measures, a few MB of text at a time."""
     for b in batches:
         raw, bounds = utf8(b.column("_text"))
         for a, z in slices(bounds, 1 << 21):
             part, own = raw[bounds[a] : bounds[z]], bounds[a : z + 1] - bounds[a]
-            texts = b.column("_text").slice(a, z - a).to_pylist()
-            yield b.column("_id").slice(a, z - a), part, own, measures(texts, part, own)
+            some = b.slice(a, z - a)
+            yield some, part, own, measures(some.column("_text").to_pylist(), part, own)
 
 
 def cast_votes(m: np.ndarray, labellers: tuple[Labeller, ...]) -> np.ndarray:
@@ -249,7 +249,7 @@ def fit_label_model(docs: DataFrame, labellers: tuple[Labeller, ...], text_col:
             code, n = np.unique(((votes + 2) * places).sum(axis=1), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
 
-    texts = docs.select(F.lit(0).alias("_id"), text_of(text_col).alias("_text"))
+    texts = docs.select(text_of(text_col).alias("_text"))
     counted = texts.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     found = counted.collect()  # at most 4 ** len(labellers) rows
     code = np.array([r["code"] for r in found], np.int64)
@@ -257,28 +257,27 @@ def fit_label_model(docs: DataFrame, labellers: tuple[Labeller, ...], text_col:
     return fit_labels((code[:, None] // places % 4 - 2).astype(np.int8), n), int(n.sum())
 
 
-def classify_quality(
+def score_documents(
     docs: DataFrame,
-    id_col: str = "doc_id",
     text_col: str = "text",
     labellers: tuple[Labeller, ...] = LABELLERS,
     sample_rows: int = 2000,
     bits: int = 16,
     threshold: float = 0.5,
 ) -> DataFrame:
-    """Per document: id, ``weak_label`` (posterior), ``score`` (0 to 1), ``keep``.
+    """``docs`` with ``weak_label`` (posterior), ``score`` (0 to 1) and ``keep``.
 
     The label model is fitted on the votes of all documents, the scorer on at most
     ``sample_rows`` documents, those with the smallest hashes of their text. A document
     is kept if its score reaches ``threshold``. A null or blank text gets no
     votes, score 0 and isn't kept. Equal texts get equal scores; null and
-    repeated ids are rows like any other; an empty table gives an empty result; other
-    columns are ignored.
+    repeated ids are rows like any other; an empty table gives an empty result.
+    Other columns are returned as they are, but those with the names of the new ones are replaced.
     """
     model, _ = fit_label_model(docs, labellers, text_col)
-    texts = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
-    hashes = texts.filter(F.trim("_text") != "").select(F.xxhash64("_text").alias("_hash"))
-    last = hashes.distinct().orderBy("_hash").limit(sample_rows).agg(F.max("_hash")).first()[0]
+    texts = docs.select(text_of(text_col).alias("_text")).filter(F.trim("_text") != "")
+    hashes = texts.select(F.xxhash64("_text").alias("_hash")).distinct().orderBy("_hash").limit(sample_rows)
+    last = hashes.agg(F.max("_hash")).first()[0]
 
     def sample(batches):
         for _, raw, bounds, m in _walk(batches):
@@ -294,8 +293,7 @@ def classify_quality(
                 ["i", "n", "label"],
             )
 
-    chosen = texts.filter(F.xxhash64("_text") <= F.lit(last)).filter(F.trim("_text") != "")
-    chosen = chosen.dropDuplicates(["_text"]).limit(sample_rows)
+    chosen = texts.filter(F.xxhash64("_text") <= F.lit(last)).dropDuplicates(["_text"]).limit(sample_rows)
     taken = chosen.mapInArrow(sample, "i binary, n binary, label double").toArrow()
     scorer = fit_scorer(
         [
@@ -305,19 +303,34 @@ def classify_quality(
         taken["label"].to_numpy(),
         bits,
     )
+    new = ("weak_label", "score", "keep")
+    rows = docs.drop(*new).withColumn("_text", text_of(text_col))
+    names = [c for c in rows.columns if c != "_text"]
 
     def score(batches):
-        for ids, raw, bounds, m in _walk(batches):
+        for some, raw, bounds, m in _walk(batches):
             hashed, ends = features(raw, bounds, m, bits)
             logit = np.clip(scorer(hashed, ends), -50, 50)
             blank = m[:, 0] == 0
             values = np.where(blank, 0.0, 1 / (1 + np.exp(-logit)))
             labels = np.where(blank, 0.0, model.posterior(cast_votes(m, labellers)))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(labels), pa.array(values), pa.array(~blank & (values >= threshold))],
-                ["_id", "weak_label", "score", "keep"],
+                [*(some.column(c) for c in names), pa.array(labels), pa.array(values), pa.array(~blank & (values >= threshold))],
+                [*names, *new],
             )
 
-    id_type = texts.schema["_id"].dataType.simpleString()
-    scored = texts.mapInArrow(score, f"_id {id_type}, weak_label double, score double, keep boolean")
-    return scored.withColumnRenamed("_id", id_col)
+    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
+    return rows.mapInArrow(score, f"{fields}, weak_label double, score double, keep boolean")
+
+
+def classify_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """Id, ``weak_label``, ``score`` and ``keep`` of every document, as ``score_documents`` gives them."""
+    narrow = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_own"))
+    scored = score_documents(narrow, "_own", **how)
+    return scored.select(F.col("_id").alias(id_col), "weak_label", "score", "keep")
+
+
+def keep_quality(docs: DataFrame, text_col: str = "text", **how) -> DataFrame:
+    """The documents that are kept, with their columns."""
+    wrapped = docs.select(F.struct(*docs.columns).alias("_doc"), text_of(text_col).alias("_own"))
+    return score_documents(wrapped, "_own", **how).filter("keep").select("_doc.*")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgertag.llm import sql
 from ledgertag.llm.extraction import extract_pages
 from ledgertag.llm.fingerprints import fingerprint_edits
@@ -20,7 +21,9 @@ from ledgertag.llm.sharding import shard_documents
 from ledgertag.llm.topk import top_k
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-LLM_ORACLES: dict[str, str] = sql.ORACLES
+LLM_ORACLES: dict[str, str] = dict(sql.ORACLES)
+if corpus_pipeline.ORACLE_SQL is not None:
+    LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -108,3 +111,9 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), window=1024, end=0)
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
