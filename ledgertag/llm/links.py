@@ -4,9 +4,10 @@ Every set has some keys, of which similar sets share one. Sets that share a key
 a cell. In a cell a signature tree prunes what can't be similar: its nodes hold OR-combined
 bitmaps and size ranges, and two nodes are opened only if the largest
 overlap that their bitmaps and sizes allow is enough. Of the pairs that are left a spanning
-forest is verified first, from the texts; where one of its links fails, all other
-pairs of that cell that are still apart are verified too. So no link that a cell
-holds is lost, and groups of copies cost as many pairs as they have members.
+forest is verified from the texts. Where a pair of a cell fails, the texts of its members
+are brought to the cell, which verifies forest after forest of what is still apart
+until no pair is left. So no link that a cell holds is lost, and every step passes on
+no more pairs than it has members.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from ledgertag.llm.common import mixed, settled, slices, tasks, utf8, written
 
 KEYED = "id long, whole long, n int, keys binary"
 #: Cells of more members are cut into blocks of so many, in order of size.
-BLOCK = 1024
+BLOCK = 512
 LEAF = 16
 FILTER_BITS = 23
 
@@ -47,9 +48,9 @@ def needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return 4 * (n + m)
 
 
-def bitmap(hashes: np.ndarray) -> bytes:
-    """A bitmap of one to two bits per member, of a power of two of bits."""
-    size = 1 << max(6, (len(hashes) - 1).bit_length())
+def bitmap(hashes: np.ndarray, width: int) -> bytes:
+    """A bitmap of ``width`` to twice as many bits per member, of a power of two of bits."""
+    size = 1 << max(6, (width * len(hashes) - 1).bit_length())
     bits = np.zeros(size, np.uint8)
     bits[(hashes & np.uint64(size - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -258,9 +259,12 @@ def candidates(cell: np.ndarray, side: np.ndarray, s: Signatures) -> tuple[np.nd
     return pairs[0], pairs[1]
 
 
-def spanning_forest(i: np.ndarray, j: np.ndarray, rows: int) -> np.ndarray:
-    """Numbers of pairs that connect whatever all the pairs connect, and make no ring."""
-    label, chosen = np.arange(rows), []
+def spanning_forest(i: np.ndarray, j: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Numbers of pairs that connect whatever all the pairs connect, and make no ring.
+
+    ``label`` (0 and up) tells which rows are connected from the start.
+    """
+    rows, chosen = int(label.max(initial=-1)) + 1, []
     while True:
         low, high = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
         open_ = np.flatnonzero(low != high)
@@ -276,46 +280,93 @@ def spanning_forest(i: np.ndarray, j: np.ndarray, rows: int) -> np.ndarray:
         label = parent[label]
 
 
-def _pairs(members: DataFrame, forest: bool) -> DataFrame:
-    """``cell, a, b``: pairs that may link, all or a spanning forest per cell.
+def _whole_cells(batches, most: int):
+    """Tables of whole cells of about ``most`` bytes, from batches sorted by cell."""
+    held: list[pa.Table] = []
+    for b in batches:
+        held.append(pa.Table.from_batches([b]))
+        if sum(x.nbytes for x in held) >= most:
+            t = pa.concat_tables(held).combine_chunks()
+            cell = t["cell"].to_numpy()
+            cut = int(np.searchsorted(cell, cell[-1]))
+            if cut:
+                yield t.slice(0, cut)
+            held = [t.slice(cut)]
+    if held and any(x.num_rows for x in held):
+        yield pa.concat_tables(held).combine_chunks()
 
-    Members come sorted by cell and with a ``label``; pairs within a label are left out.
-    """
 
-    def run(batches):
-        held = None
+def _forests(members: DataFrame) -> DataFrame:
+    """``cell, a, b``: a spanning forest per cell of the pairs that may link. Members come sorted by cell."""
 
-        def work(t: pa.Table):
-            cell = t["cell"].to_numpy()
-            raw, bounds = utf8(t["bits"])
-            s = Signatures(t["n"].to_numpy(), raw, bounds)
-            ids, label = t["id"].to_numpy(), t["label"].to_numpy()
+    def run(batches):
+        for t in _whole_cells(batches, 1 << 22):
+            ids, cell = t["id"].to_numpy(), t["cell"].to_numpy()
+            s = Signatures(t["n"].to_numpy(), *utf8(t["bits"]))
             i, j = candidates(cell, t["side"].to_numpy(), s)
-            apart = label[i] != label[j]
-            i, j = i[apart], j[apart]
-            if forest:
-                pick = spanning_forest(i, j, len(cell))
-                i, j = i[pick], j[pick]
-            return pa.RecordBatch.from_arrays(
+            pick = spanning_forest(i, j, np.arange(len(ids)))
+            i, j = i[pick], j[pick]
+            yield pa.RecordBatch.from_arrays(
                 [pa.array(cell[i]), pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))],
                 ["cell", "a", "b"],
             )
 
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            t = pa.concat_tables([held, t]) if held is not None else t
-            cell = t["cell"].to_numpy()
-            cut = int(np.searchsorted(cell, cell[-1])) if len(cell) else 0
-            if cut >= 4096:  # whole cells only
-                yield work(t.slice(0, cut).combine_chunks())
-                t = t.slice(cut)
-            held = t
-        if held is not None and held.num_rows:
-            yield work(held.combine_chunks())
-
     return members.mapInArrow(run, "cell long, a long, b long")
 
 
+def _exact(members: DataFrame, tokens: Tokens) -> DataFrame:
+    """``a, b``: links that connect all members of a cell that are similar, but not by ``label`` already.
+
+    Members come sorted by cell, with their texts.
+    """
+
+    def run(batches):
+        for t in _whole_cells(batches, 1 << 24):
+            ids, cell, label = (t[c].to_numpy() for c in ("id", "cell", "label"))
+            h, bounds = _all_tokens(t["text"], tokens)
+            sizes = np.diff(bounds)
+            bits = [bitmap(h[p:q], 8) for p, q in zip(bounds, bounds[1:], strict=False)]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in bits])])
+            s = Signatures(sizes, np.frombuffer(b"".join(bits), np.uint8), ends)
+            i, j = candidates(cell, t["side"].to_numpy(), s)
+            # A label that spans cells doesn't tie them together here.
+            _, own = np.unique(np.stack([cell, label]), axis=1, return_inverse=True)
+            own, found = own.reshape(-1), []
+            while True:
+                apart = own[i] != own[j]
+                i, j = i[apart], j[apart]
+                if not len(i):
+                    break
+                pick = spanning_forest(i, j, own)
+                linked = np.array([_similar(h[bounds[x] : bounds[x + 1]], h[bounds[y] : bounds[y + 1]]) for x, y in zip(i[pick], j[pick], strict=True)])
+                for k in pick[linked]:
+                    found.append((ids[i[k]], ids[j[k]]))
+                    low, high = sorted((own[i[k]], own[j[k]]))
+                    own[own == high] = low
+                i, j = np.delete(i, pick), np.delete(j, pick)
+            a, b = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else (ids[:0], ids[:0])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return members.mapInArrow(run, "a long, b long")
+
+
+def _all_tokens(texts, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    raw, bounds = utf8(texts)
+    parts = [tokens(raw[bounds[x] : bounds[z]], bounds[x : z + 1] - bounds[x]) for x, z in slices(bounds, 1 << 21)]
+    return np.concatenate([h for h, _ in parts]), np.concatenate([[0], np.cumsum(np.concatenate([np.diff(e) for _, e in parts]))])
+
+
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether sorted distinct hashes have a Jaccard similarity of 0.8 or more."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x):
+        return False
+    at = np.searchsorted(y, x)
+    overlap = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return 9 * overlap >= needed(len(x), len(y))
+
+
 def _places(ids: np.ndarray) -> list[np.ndarray]:
     mask = np.uint64((1 << FILTER_BITS) - 1)
     return [(mixed(ids.view(np.uint64) ^ salt) & mask).astype(np.int64) for salt in (np.uint64(0), _ROW)]
@@ -345,7 +396,7 @@ def may_hold(filter_: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (held[0] & held[1]).astype(bool)
 
 
-def signatures(items: DataFrame, tokens: Tokens) -> DataFrame:
+def signatures(items: DataFrame, tokens: Tokens, width: int) -> DataFrame:
     """``id, n, bits``: size and bitmap of the set of every text."""
 
     def run(batches):
@@ -353,7 +404,7 @@ def signatures(items: DataFrame, tokens: Tokens) -> DataFrame:
             raw, bounds = utf8(b.column("text"))
             for x, z in slices(bounds, 1 << 21):
                 h, own = tokens(raw[bounds[x] : bounds[z]], bounds[x : z + 1] - bounds[x])
-                bits = [bitmap(h[p:q]) for p, q in zip(own, own[1:], strict=False)]
+                bits = [bitmap(h[p:q], width) for p, q in zip(own, own[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id").slice(x, z - x), pa.array(np.diff(own).astype(np.int32)), pa.array(bits, pa.binary())],
                     ["id", "n", "bits"],
@@ -397,23 +448,22 @@ def components(links: DataFrame) -> DataFrame:
     """``id, root``: the smallest id of each component of the links (a, b), for ids that have links.
 
     Large-star and small-star steps: each joins neighbours to the least neighbour of
-    a node; both are grouped minima, which are combined before they are shuffled.
+    a node; both are grouped minima, which are combined before they are shuffled. Ends when no root has a link of its
+    own and no id has two.
     """
-    edges = settled(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    state = None
+    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = settled(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionAll(least.select("u", F.col("m").alias("v")))
-        edges = settled(small.filter("u <> v").distinct())
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
+        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = settled(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct())
+        nodes = edges.select("u", F.lit(1).alias("out"), F.lit(0).alias("into")).unionAll(
+            edges.select("v", F.lit(0), F.lit(1)).distinct()
+        )
+        if nodes.groupBy("u").agg(F.sum("out").alias("out"), F.sum("into").alias("into")).filter("out + into > 1").isEmpty():
             return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
-        state = now
 
 
 def linked_components(
@@ -430,19 +480,16 @@ def linked_components(
     cells = written(_cells(keyed, parts, block), "cells")
     ids = cells.select("id").distinct()
     items = written(fetch(id_filter(ids)).join(ids, "id", "left_semi"), "items")
-    sets = written(signatures(items, tokens), "sets")
 
     def by_cell(members: DataFrame) -> DataFrame:
-        members = members.select("cell", "id", "side", "n", "bits", "label")
         return members.repartition(parts, "cell").sortWithinPartitions("cell")
 
-    first = by_cell(cells.join(sets, "id").withColumn("label", F.col("id")))
-    first = written(_pairs(first, forest=True), "pairs")
-    checked = written(verify(first.select("a", "b").distinct(), items, tokens), "checked")
-    roots = settled(components(checked.filter("linked")))
-    open_cells = first.join(checked.filter("NOT linked"), ["a", "b"], "left_semi").select("cell").distinct()
-    again = cells.join(open_cells, "cell", "left_semi").join(sets, "id").join(roots, "id", "left")
-    rest = _pairs(by_cell(again.withColumn("label", F.coalesce("root", "id"))), forest=False)
-    rest = rest.select("a", "b").distinct().join(checked, ["a", "b"], "left_anti")
-    more = verify(rest, items, tokens).filter("linked").select("a", "b")
+    members = cells.join(signatures(items, tokens, 1), "id").select("cell", "id", "side", "n", "bits")
+    found = written(_forests(by_cell(members)), "pairs")
+    checked = written(verify(found.select("a", "b").distinct(), items, tokens), "checked")
+    roots = components(checked.filter("linked"))
+    failed = found.join(checked.filter("NOT linked"), ["a", "b"], "left_semi")
+    members = cells.join(failed.select("cell").distinct(), "cell", "left_semi").join(roots, "id", "left")
+    members = members.join(items, "id").withColumn("label", F.coalesce("root", "id"))
+    more = _exact(by_cell(members.select("cell", "id", "side", "label", "text")), tokens)
     return components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionAll(more))

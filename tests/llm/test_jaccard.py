@@ -14,7 +14,7 @@ from tests.llm import brute
 SCHEMA = "doc_id long, text string, id long, n int, label string, component_id int"
 
 
-def run(spark, rows, parts=6, block=1024):
+def run(spark, rows, parts=6, block=512):
     df = spark.createDataFrame([(i, t, 1, 2, "l", 3) for i, t in rows], SCHEMA).repartition(parts)
     return [(r["doc_id"], (r["n_shingles"], r["component_id"])) for r in similar_documents(df, block=block).collect()]
 
