@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgertag.llm.common import mixed, slices, text_of, utf8, written
+from ledgertag.llm.common import mixed, settled, slices, text_of, utf8, written
 from ledgertag.llm.links import BLOCK, distinct_sorted, linked_components, may_hold
 
 CHARS = 8
@@ -24,69 +25,65 @@ BANDS, ROWS = 14, 4
 SHORTEST = CHARS + 3
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_NEWLINE = 10
+_BLANKS = b" \t\r\n\f\v"
 
 
-def trimmed_lines(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, place in the text, first byte and end of every line that isn't blank.
+def trimmed_lines(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """Text, place in the text, bytes and name (a 64-bit hash) of every line that isn't blank.
 
     ASCII white space at the ends of a line isn't part of it.
     """
-    newline = np.flatnonzero(raw == _NEWLINE)
-    begin = np.unique(np.concatenate([bounds[:-1][np.diff(bounds) > 0], newline + 1]))
-    begin = begin[begin < len(raw)]
-    solid = np.flatnonzero(~np.isin(raw, (9, 10, 11, 12, 13, 32)))
-    if not len(solid) or not len(begin):
-        none = np.empty(0, np.int64)
-        return none, none, none, none
-    end = np.append(begin[1:], len(raw))
-    a, z = np.searchsorted(solid, begin), np.searchsorted(solid, end)
-    full = np.flatnonzero(z > a)
-    first, last = solid[a[full]], solid[z[full] - 1] + 1
-    row = np.searchsorted(bounds, begin[full], "right") - 1
-    before = np.searchsorted(newline, bounds[:-1])
-    place = np.searchsorted(newline, begin[full]) - before[row]
-    return row, place, first, last
-
-
-def line_hashes(raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each line, which names it."""
-    n = last - first
-    row = np.repeat(np.arange(len(first)), n)
-    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    byte = raw[first[row] + at]
-    h = mixed(byte.astype(np.uint64) + np.uint64(256) * at.astype(np.uint64))
-    sums = np.add.reduceat(h, np.cumsum(n) - n) if len(n) else np.empty(0, np.uint64)
-    return mixed(sums + n.astype(np.uint64) * _STEP)
+    rows, places, lines, names = [], [], [], []
+    for i, text in enumerate(texts):
+        for k, line in enumerate(text.split(b"\n")):
+            if line := line.strip(_BLANKS):
+                rows.append(i)
+                places.append(k)
+                lines.append(line)
+                names.append(xxhash.xxh3_64_intdigest(line))
+    return np.array(rows, np.int64), np.array(places, np.int32), lines, np.array(names, np.uint64)
 
 
 def shingle_hashes(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles of each line, with repeats; a line that is shorter is one shingle."""
     if not len(raw):
         return np.empty(0, np.uint64), np.zeros(len(bounds), np.int64)
-    starts = np.flatnonzero((raw & 0xC0) != 0x80)
-    code = np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-    if len(code) != len(starts):  # not UTF-8: bytes are characters
-        starts, code = np.arange(len(raw)), raw
-    at = np.searchsorted(starts, bounds)
+    code, at = raw, bounds
+    if raw.max() >= 128:
+        starts = (raw & 0xC0) != 0x80
+        decoded = np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+        if len(decoded) == starts.sum():  # else it isn't UTF-8, and bytes are characters
+            code, at = decoded, np.concatenate([[0], np.cumsum(starts)])[bounds]
+    n = np.diff(at)
+    counts = np.where(n >= CHARS, n - CHARS + 1, np.minimum(n, 1))
+    ends = np.concatenate([[0], np.cumsum(counts)])
     h = code.astype(np.uint64) + np.uint64(1)
-    whole = mixed(h)
-    for k in (1, 2, 4):
+    by = int(_STEP)
+    for k in (1, 2, 4):  # a polynomial in _STEP of the characters
         if len(h) > k:
-            x = h[:-k] * _STEP
+            x = h[:-k] * np.uint64(by)
             x += h[k:]
-            x ^= x >> np.uint64(29)
-            x *= np.uint64(0xC2B2AE3D27D4EB4F)
-            x ^= x >> np.uint64(32)
             h = x
-    n = np.diff(at)
-    counts = np.where(n >= CHARS, n - CHARS + 1, np.minimum(n, 1))
-    ends = np.concatenate([[0], np.cumsum(counts)])
-    index = np.arange(ends[-1]) - np.repeat(ends[:-1], counts) + np.repeat(at[:-1], counts)
-    out = h[np.minimum(index, len(h) - 1)]
-    for i in np.flatnonzero((n > 0) & (n < CHARS)):
-        place = np.arange(1, n[i] + 1, dtype=np.uint64)
-        out[ends[i]] = mixed(np.add.reduce(mixed(whole[at[i] : at[i + 1]] + place)).reshape(1) + np.uint64(n[i]))[0]
+        by = by * by % (1 << 64)
+    inside = np.ones(len(h), bool)
+    late = at[1:][n >= CHARS]
+    for k in range(1, CHARS):  # shingles that would run into the next line
+        inside[(late - k)[late - k < len(h)]] = False
+    small = np.flatnonzero(n < CHARS)
+    for i in small:
+        inside[at[i] : at[i + 1]] = False
+    out = np.zeros(ends[-1], np.uint64)
+    if len(small):
+        whole = np.repeat(n >= CHARS, counts)
+        out[whole] = h[inside]
+        for i in small[n[small] > 0]:
+            line = code[at[i] : at[i + 1]].astype(np.uint64)
+            out[ends[i]] = mixed(line + _STEP * np.arange(1, n[i] + 1, dtype=np.uint64)).sum()
+    else:
+        out = h[inside]
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    out ^= out >> np.uint64(32)
     return out, ends
 
 
@@ -99,19 +96,22 @@ def band_keys(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     slots, n = BANDS * ROWS, len(bounds) - 1
     empty = np.uint32(0xFFFFFFFF)
     least = np.full(n * slots, empty, np.uint32)
-    row = np.repeat(np.arange(n), np.diff(bounds))
     slot = ((hashes >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
-    np.minimum.at(least, row * slots + slot, (mixed(hashes) & np.uint64(0x7FFFFFFF)).astype(np.uint32))
+    slot += np.repeat(np.arange(n) * slots, np.diff(bounds))
+    np.minimum.at(least, slot, (hashes & np.uint64(0x7FFFFFFF)).astype(np.uint32))
     least = least.reshape(n, slots)
     full = least != empty
+    full[~full.any(axis=1)] = True  # no shingles at all
     own = least.copy()
-    for attempt in range(1, 64 * slots):  # an empty slot takes the value of the first full one in its own sequence
-        rows, cols = np.nonzero(least == empty)
-        if not len(rows):
-            break
-        pick = (mixed(cols.astype(np.uint64) + _STEP * np.uint64(attempt)) % np.uint64(slots)).astype(np.int64)
+    open_ = np.argwhere(~full)
+    attempt = 0
+    while len(open_):  # an empty slot takes the value of the first full one in its own sequence
+        attempt += 1
+        rows, cols = open_.T
+        pick = (mixed(cols.astype(np.uint64) + _STEP * np.arange(attempt, attempt + 1, dtype=np.uint64)) % np.uint64(slots)).astype(np.int64)
         ok = full[rows, pick]
         least[rows[ok], cols[ok]] = own[rows[ok], pick[ok]]
+        open_ = open_[~ok]
     bands = least.reshape(n, BANDS, ROWS).astype(np.uint64)
     key = np.zeros((n, BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(ROWS):
@@ -140,34 +140,31 @@ def dedup_lines(
     rows = keyed_docs.select("_dl_doc", "_dl_tie", text.alias("text"))
 
     def each(batches):
-        """Per slice of a batch: its rows, bytes, and its lines' row, place, name, first byte and end."""
+        """Some rows and their lines' row, place, bytes and name, a few MB of text at a time."""
         for b in batches:
             raw, bounds = utf8(b.column("text"))
             for x, z in slices(bounds, 1 << 21):
-                part = raw[bounds[x] : bounds[z]]
-                row, place, first, last = trimmed_lines(part, bounds[x : z + 1] - bounds[x])
-                yield b.slice(x, z - x), part, row, place, line_hashes(part, first, last), first, last
+                own = bounds[x : z + 1]
+                texts = [raw[p:q].tobytes() for p, q in zip(own, own[1:], strict=False)]
+                yield b.slice(x, z - x), *trimmed_lines(texts)
 
-    def gathered(part, first, last):
-        """The lines' bytes one after the other, and their bounds."""
-        n = last - first
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
-        return part[at], np.concatenate([[0], np.cumsum(n)])
+    def joined_bytes(lines):
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in lines])]).astype(np.int64)
+        return np.frombuffer(b"".join(lines), np.uint8), ends
 
     def occur(batches):
-        for b, _, row, place, name, _, _ in each(batches):
+        for b, row, place, _, name in each(batches):
             yield pa.RecordBatch.from_arrays(
                 [b.column("_dl_doc").take(pa.array(row)), b.column("_dl_tie").take(pa.array(row)),
-                 pa.array(place.astype(np.int32)), pa.array(name.view(np.int64))],
+                 pa.array(place), pa.array(name.view(np.int64))],
                 ["doc", "tie", "place", "line"],
             )
 
     def sketch(batches):
-        for _, part, _, _, name, first, last in each(batches):
+        for _, _, _, lines, name in each(batches):
             _, once = np.unique(name, return_index=True)
-            once = once[last[once] - first[once] >= SHORTEST]
-            h, bounds = shingle_hashes(*gathered(part, first[once], last[once]))
-            keys = band_keys(h, bounds)
+            once = np.array([k for k in once if len(lines[k]) >= SHORTEST], np.int64)
+            keys = band_keys(*shingle_hashes(*joined_bytes([lines[k] for k in once])))
             ids = name[once].view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids), pa.array(ids), pa.array(np.zeros(len(ids), np.int32)),
@@ -177,15 +174,11 @@ def dedup_lines(
 
     def fetch(wanted):
         def some(batches):
-            for _, part, _, _, name, first, last in each(batches):
+            for _, _, _, lines, name in each(batches):
                 ids, once = np.unique(name.view(np.int64), return_index=True)
                 ok = may_hold(wanted, ids)
-                ids, once = ids[ok], once[ok]
-                texts, bounds = gathered(part, first[once], last[once])
-                column = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), len(ids), [None, pa.py_buffer(bounds), pa.py_buffer(texts)]
-                )
-                yield pa.RecordBatch.from_arrays([pa.array(ids), column.cast(pa.binary())], ["id", "text"])
+                texts = pa.array([lines[k] for k in once[ok]], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(ids[ok]), texts], ["id", "text"])
 
         return rows.select("_dl_doc", "_dl_tie", "text").mapInArrow(some, "id long, text binary").dropDuplicates(["id"])
 
@@ -196,10 +189,12 @@ def dedup_lines(
         F.min(F.struct("doc", "tie", "place")).alias("first"), F.count(F.lit(1)).alias("times")
     )
     group = F.coalesce("root", "line")
-    named = first.join(roots, F.col("line") == F.col("id"), "left").withColumn("group", group)
-    named = named.select("line", "group", "first", "times")
-    stays = named.groupBy("group").agg(F.min("first").alias("stays"), F.sum("times").alias("all"))
-    many = named.join(stays.filter("all > 1"), "group").select("line", "stays")
+    # The root of a component is no link's upper end, so it is named by itself.
+    linked = settled(roots.unionAll(roots.select(F.col("root").alias("id"), "root")).distinct())
+    named = first.join(linked, F.col("line") == F.col("id"), "left").filter("times > 1 OR root IS NOT NULL")
+    named = named.select("line", group.alias("group"), "first")
+    stays = named.groupBy("group").agg(F.min("first").alias("stays"))
+    many = named.join(stays, "group").select("line", "stays")
     gone = occurrences.join(many, "line").filter(F.struct("doc", "tie", "place") != F.col("stays"))
     gone = gone.groupBy("doc", "tie").agg(F.collect_list("place").alias("_dl_gone"))
     joined = keyed_docs.join(

@@ -34,13 +34,14 @@ Tokens = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def distinct_sorted(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's hashes sorted and without repeats, and the new bounds."""
-    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    order = np.lexsort((hashes, row))
-    h, r = hashes[order], row[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
-    return h[new], np.concatenate([[0], np.cumsum(np.bincount(r[new], minlength=len(bounds) - 1))])
+    """Each row's hashes sorted and without repeats, and the new bounds. Sorts ``hashes`` in place."""
+    for x, z in zip(bounds, bounds[1:], strict=False):
+        hashes[x:z].sort()
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    new[bounds[:-1][np.diff(bounds) > 0]] = True
+    counts = np.concatenate([[0], np.cumsum(new)])
+    return hashes[new], counts[bounds]
 
 
 def needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -425,17 +426,10 @@ def verify(pairs: DataFrame, items: DataFrame, tokens: Tokens) -> DataFrame:
                 for raw, bounds in ((raw_a, bounds_a), (raw_b, bounds_b)):
                     own = bounds[x : z + 1] - bounds[x]
                     sets.append(tokens(raw[bounds[x] : bounds[z]], own))
-                sizes = [np.diff(e) for _, e in sets]
-                rows = [np.repeat(np.arange(z - x), n) for n in sizes]
-                both = np.concatenate([sets[0][0], sets[1][0]])
-                row = np.concatenate(rows)
-                order = np.lexsort((both, row))
-                both, row = both[order], row[order]
-                twice = (both[1:] == both[:-1]) & (row[1:] == row[:-1])
-                overlap = np.bincount(row[1:][twice], minlength=z - x)
-                linked = (9 * overlap >= needed(*sizes)) & (overlap > 0)
+                (h, p), (g, q) = sets
+                linked = [_similar(h[p[k] : p[k + 1]], g[q[k] : q[k + 1]]) for k in range(z - x)]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("a").slice(x, z - x), b.column("b").slice(x, z - x), pa.array(linked)], ["a", "b", "linked"]
+                    [b.column("a").slice(x, z - x), b.column("b").slice(x, z - x), pa.array(linked, pa.bool_())], ["a", "b", "linked"]
                 )
 
     first = items.select(F.col("id").alias("a"), F.col("text").alias("text_a"))

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 from ledgertag.llm.common import utf8
-from ledgertag.llm.lines import CHARS, dedup_lines, line_hashes, shingles, trimmed_lines
+from ledgertag.llm.lines import CHARS, dedup_lines, shingles, trimmed_lines
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, n_lines string, line string, id int"
@@ -43,16 +43,12 @@ def run(spark, rows, parts=5):
     return {r["doc_id"]: (r["text"], r["n_removed"]) for r in got.collect()}
 
 
-def test_lines_and_their_hashes():
-    texts = ["a\n\n b b \n", "", "\n\n", "é\r\nx", "one"]
-    raw, bounds = utf8(pa.array(texts))
-    row, place, first, last = trimmed_lines(raw, bounds)
-    found = [(int(r), int(p), raw[a:z].tobytes().decode()) for r, p, a, z in zip(row, place, first, last)]
-    assert found == [(0, 0, "a"), (0, 2, "b b"), (3, 0, "é"), (3, 1, "x"), (4, 0, "one")]
-    raw, bounds = utf8(pa.array(["same line\nsame line\nother"]))
-    row, place, first, last = trimmed_lines(raw, bounds)
-    h = line_hashes(raw, first, last)
-    assert h[0] == h[1] != h[2]
+def test_lines_and_their_names():
+    texts = ["a\n\n b b \n", "", "\n\n", "é\r\nx", "a"]
+    row, place, lines, name = trimmed_lines([t.encode() for t in texts])
+    found = [(int(r), int(p), x.decode()) for r, p, x in zip(row, place, lines)]
+    assert found == [(0, 0, "a"), (0, 2, "b b"), (3, 0, "é"), (3, 1, "x"), (4, 0, "a")]
+    assert name[0] == name[4] and len(set(name.tolist())) == 4
 
 
 def test_shingles_like_their_definition():
