@@ -24,8 +24,8 @@ _PLAIN = r"[^%_\\]"
 # A LIKE pattern whose escapes are all allowed ones.
 _VALID = r"\A(?:[^\\]++|\\[%_\\])*+\z"
 
-# Shapes of a mask that need no regular expression.
-EQUALS, STARTS, PADDED, ENDS, CONTAINS, GENERAL = range(6)
+# Shapes of a mask. All but the last need no regular expression.
+EQUALS, FROM_START, FROM_END, CONTAINS, GENERAL = range(5)
 
 
 def compile_masks(mask_list: Column) -> Column:
@@ -70,47 +70,80 @@ def any_like(value: Column, patterns: Column) -> Column:
     return F.exists(patterns, lambda p: F.like(value, p))
 
 
+def literal_suffix(pattern: Column) -> Column:
+    """Characters that every matching value ends with."""
+    return F.regexp_extract(pattern, _PLAIN + r"*\z", 0)
+
+
 def shape_masks(patterns: Column) -> Column:
-    """Sort LIKE patterns by shape: ``array<struct<shape, text, size>>``.
+    """Sort LIKE patterns by shape: ``struct<whole, shaped>``.
 
-    A pattern that comes from a column is compiled to a regular expression
-    again for every row. Most masks are whole values, prefixes, suffixes,
-    substrings or a prefix padded with ``_``, for which a plain string
-    comparison does the same.
+    A pattern that comes from a column is compiled to a regular expression again
+    for every row. Whole values are listed by themselves, to be looked up. Masks with ``%`` at
+    their ends only are cut into pieces of fixed text at fixed places, which
+    are counted from the start or from the end of the value. Only masks with an inner ``%`` or an
+    escape are left to LIKE.
     """
-    return F.transform(patterns, _shape)
+    whole = F.filter(patterns, is_literal)
+    others = F.filter(patterns, lambda p: ~is_literal(p))
+    return F.struct(whole.alias("whole"), F.transform(others, _shape).alias("shaped"))
 
 
 def _shape(p: Column) -> Column:
     shape = (
-        F.when(is_literal(p), EQUALS)
-        .when(p.rlike(rf"\A{_PLAIN}*%+\z"), STARTS)
-        .when(p.rlike(rf"\A{_PLAIN}*_+\z"), PADDED)
-        .when(p.rlike(rf"\A%+{_PLAIN}+\z"), ENDS)
+        F.when(p.rlike(r"\A[^%\\]*%*\z"), FROM_START)
+        .when(p.rlike(r"\A%+[^%\\]*\z"), FROM_END)
         .when(p.rlike(rf"\A%+{_PLAIN}+%+\z"), CONTAINS)
         .otherwise(GENERAL)
     )
-    text = F.when(shape == GENERAL, p).otherwise(F.regexp_replace(p, "[%_]+", ""))
+    body = F.regexp_replace(p, r"\A%+|%+\z", "")
+    # Without a trailing %, a mask that starts at the start has an exact length.
+    exact = (shape == FROM_START) & ~F.endswith(p, F.lit("%"))
     return F.struct(
-        shape.alias("shape"), text.alias("text"), F.char_length(p).alias("size")
+        shape.alias("shape"),
+        F.when(shape == GENERAL, p).otherwise(body).alias("text"),
+        F.char_length(body).alias("size"),
+        F.coalesce(exact, F.lit(False)).alias("exact"),
+        _pieces(body).alias("pieces"),
+    )
+
+
+def _pieces(body: Column) -> Column:
+    """Runs of fixed characters with the number of characters before them."""
+    runs = F.regexp_extract_all(body, F.lit(r"(_+|[^_]+)"), F.lit(1))
+    start = F.struct(
+        F.lit(0).alias("at"), F.array().cast("array<struct<at:int,text:string>>").alias("found")
     )
 
+    def add(state: Column, run: Column) -> Column:
+        piece = F.struct(state["at"].alias("at"), run.alias("text"))
+        found = F.when(F.startswith(run, F.lit("_")), state["found"]).otherwise(
+            F.concat(state["found"], F.array(piece))
+        )
+        return F.struct((state["at"] + F.char_length(run)).alias("at"), found.alias("found"))
+
+    return F.aggregate(runs, start, add, lambda state: state["found"])
+
 
-def any_shape(value: Column, shaped: Column) -> Column:
+def any_shape(value: Column, masks: Column) -> Column:
     """Same result as :func:`any_like`, over the output of :func:`shape_masks`."""
 
     def hit(m: Column) -> Column:
-        shape, text = m["shape"], m["text"]
+        # Places from the end are turned into places from the start.
+        skipped = F.when(m["shape"] == FROM_END, F.char_length(value) - m["size"]).otherwise(F.lit(0))
+        long_enough = F.when(m["exact"], F.char_length(value) == m["size"]).otherwise(
+            F.char_length(value) >= m["size"]
+        )
+        fits = F.forall(
+            m["pieces"],
+            lambda x: F.substring(value, skipped + x["at"] + 1, F.char_length(x["text"])) == x["text"],
+        )
         return (
-            F.when(shape == EQUALS, value == text)
-            .when(shape == STARTS, F.startswith(value, text))
-            .when(
-                shape == PADDED,
-                F.startswith(value, text) & (F.char_length(value) == m["size"]),
-            )
-            .when(shape == ENDS, F.endswith(value, text))
-            .when(shape == CONTAINS, F.contains(value, text))
-            .otherwise(F.like(value, text))
+            F.when(m["shape"] == GENERAL, F.like(value, m["text"]))
+            .when(m["shape"] == CONTAINS, F.contains(value, m["text"]))
+            .otherwise(long_enough & fits)
         )
 
-    return F.exists(shaped, hit)
+    listed = F.array_contains(masks["whole"], value)
+    shaped = F.when(F.size(masks["shaped"]) > 0, F.exists(masks["shaped"], hit)).otherwise(F.lit(False))
+    return F.when(value.isNotNull(), listed | shaped)

@@ -17,8 +17,13 @@ from ledgertag.config import DEFAULT, Layout
 AnyOf = Callable[[Column, Column], Column]
 
 
+def some(masks: Column) -> Column:
+    """Whether a shaped list has masks at all."""
+    return (F.size(masks["whole"]) > 0) | (F.size(masks["shaped"]) > 0)
+
+
 def if_present(value: Column, masks: Column, any_of: AnyOf) -> Column:
-    return F.when(F.size(masks) > 0, any_of(value, masks)).otherwise(F.lit(True))
+    return F.when(some(masks), any_of(value, masks)).otherwise(F.lit(True))
 
 
 def include_or_not(condition: Column, include: Column) -> Column:
@@ -48,10 +53,8 @@ def account_condition(
     both = if_present(value(dt.account), masks("dt_accounts"), any_of) & if_present(
         value(kt.account), masks("kt_accounts"), any_of
     )
-    absent = (F.size(masks("dt_accounts")) == 0) & (F.size(masks("kt_accounts")) == 0)
-    return F.when(absent, F.lit(True)).otherwise(
-        include_or_not(both, masks("account_include"))
-    )
+    present = some(masks("dt_accounts")) | some(masks("kt_accounts"))
+    return F.when(present, include_or_not(both, masks("account_include"))).otherwise(F.lit(True))
 
 
 def purpose_condition(
@@ -61,8 +64,8 @@ def purpose_condition(
     layout: Layout = DEFAULT,
 ) -> Column:
     found = any_of(value(layout.purpose), masks("purposes"))
-    return F.when(F.size(masks("purposes")) == 0, F.lit(True)).otherwise(
-        include_or_not(found, masks("purpose_include"))
+    return F.when(some(masks("purposes")), include_or_not(found, masks("purpose_include"))).otherwise(
+        F.lit(True)
     )
 
 

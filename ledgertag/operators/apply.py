@@ -1,121 +1,98 @@
 """Rule application: which transaction meets which rule.
 
 The result has one row per pair: all transaction columns, the rule's id and the
-items it would assign. Three ways give the same rows:
-
-``join``      rules stay a relation; one hash join on lookup keys, then the full
-              check of each candidate. One pass over the transactions.
-``literal``   for small rule sets: rules become literal predicates of one
-              projection. One pass, no join.
-``per_rule``  one filter per rule and a union. As many passes as rules; kept as a
-              yardstick for tests and the benchmark.
+items it would assign. Rules stay a relation whatever their number: a hash join on lookup keys finds
+the candidates, the full condition is the residual, and the transactions are
+scanned once.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgertag.config import DEFAULT, Layout
-from ledgertag.functions.masks import any_shape, shape_masks
+from ledgertag.functions.masks import any_shape
 from ledgertag.functions.period import day, within_days
 from ledgertag.functions.predicates import rule_condition
-from ledgertag.operators.compile import MASK_LISTS
-from ledgertag.operators.lookup import by_key, cell, measure, transaction_keys
+from ledgertag.operators.lookup import EVERY, RuleSet, by_key, cell, measure, shaped, transaction_keys
 from ledgertag.operators.settle import settle
 
-# Rules up to this many bytes are broadcast in one go, more in several goes.
+# Rules up to this many bytes are broadcast in one go.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Up to this many rules "auto" applies them as literal predicates. Beyond it the
-# generated code of one row grows past what the JVM compiles, and the join wins.
-LITERAL_RULES = 12
-# More rules than this never come to the driver, whatever the strategy.
-MOST_LITERAL_RULES = 500
-STRATEGIES = ("auto", "join", "literal", "per_rule")
+# Beyond it, transactions with the same key are spread over so many tasks.
+SALTS = 16
 
 RULE_COLUMNS = ("rid", "dt_item", "kt_item")
 
 
 def apply_rules(
-    tx: DataFrame,
-    compiled: DataFrame,
-    strategy: str = "auto",
-    layout: Layout = DEFAULT,
-) -> DataFrame:
-    """Pairs of transactions and compiled rules that match."""
-    return apply_settled(tx, settle(compiled), strategy, layout)
-
-
-def apply_settled(
-    tx: DataFrame, compiled: DataFrame, strategy: str, layout: Layout = DEFAULT
-) -> DataFrame:
-    if strategy not in STRATEGIES:
-        raise ValueError(f"unknown strategy {strategy!r}")
-    rules = literal_rule_set(compiled, strategy)
-    if rules is None:
-        return match_join(tx, compiled, layout)
-    way = match_per_rule if strategy == "per_rule" else match_literal
-    return way(tx, rules, layout)
-
-
-def literal_rule_set(compiled: DataFrame, strategy: str) -> list[Row] | None:
-    """The rules as rows if the strategy wants them so, else ``None``.
-
-    Never reads more than one row beyond the limit.
-    """
-    if strategy == "join":
-        return None
-    most = LITERAL_RULES if strategy == "auto" else MOST_LITERAL_RULES
-    rows = compiled.limit(most + 1).collect()
-    if len(rows) <= most:
-        return rows
-    if strategy == "auto":
-        return None
-    raise ValueError(f"more than {most} rules: use the strategy 'join'")
-
-
-# --- join ---------------------------------------------------------------
-
-
-def match_join(
     tx: DataFrame,
     compiled: DataFrame,
     layout: Layout = DEFAULT,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Hash join on lookup keys, then the full check.
+    """Pairs of transactions and compiled rules that match.
 
-    The rules are measured first. If they exceed what may be broadcast, they are
-    split into chunks that do not, at the price of one pass over the
-    transactions per chunk; the transactions are never shuffled for this. A
-    single cell beyond the limit is left to Spark's own choice of join.
+    Building the plan runs two actions over the rules: they are shaped and frozen, and what was
+    frozen is measured. Rules that are small enough are broadcast together. Else
+    rules with a key meet the transactions in a shuffle join on the key and a salt, so that no key alone
+    fills a task, and only the rules without a key (which every transaction must
+    be checked against) are broadcast, in chunks that fit.
     """
-    keyed = settle(by_key(compiled))
-    found = measure(keyed)
+    rules = settle(shaped(by_key(compiled)))
+    found = measure(rules)
     if not found.paths:
         return no_matches(tx)
-    probe = tx.filter(
+    inside = tx.filter(
         within_days(F.col(layout.posted), day(found.first_day), day(found.last_day))
-    ).select(
-        *tx.columns,
-        F.to_date(F.col(layout.posted)).alias("_day"),
-        F.inline(transaction_keys(found.paths, layout)).alias("_path", "_key"),
     )
-    shaped = keyed.withColumns({n: shape_masks(F.col(n)) for n in MASK_LISTS})
-    chunks = found.chunks(broadcast_bytes)
+    total = found.keyed_bytes + sum(found.every_bytes.values())
+    if total <= broadcast_bytes:
+        return _meet(_probe(inside, found.paths, layout), F.broadcast(rules), tx.columns, layout)
     parts = []
-    for cells in chunks:
-        part = shaped if len(chunks) == 1 else shaped.filter(cell().isin(cells))
-        if found.size(cells) <= broadcast_bytes:
-            part = F.broadcast(part)
-        parts.append(_meet(probe, part, tx.columns, layout))
+    if keyed := [p for p in found.paths if p != EVERY]:
+        parts.append(_salted(inside, rules.filter(F.col("path") != EVERY), keyed, found, broadcast_bytes, layout))
+    for cells in found.chunks(broadcast_bytes):
+        chunk = rules.filter((F.col("path") == EVERY) & cell().isin(cells))
+        parts.append(_meet(_probe(inside, [EVERY], layout), F.broadcast(chunk), tx.columns, layout))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _probe(tx: DataFrame, paths: list[int], layout: Layout) -> DataFrame:
+    """A row per transaction and path on which it has a key."""
+    keys = F.filter(transaction_keys(paths, layout), lambda k: k["key"].isNotNull())
+    return tx.select(
+        *tx.columns,
+        F.to_date(F.col(layout.posted)).alias("_day"),
+        F.inline(keys).alias("_path", "_key"),
+    )
+
+
+def _salted(
+    tx: DataFrame,
+    rules: DataFrame,
+    paths: list[int],
+    found: RuleSet,
+    broadcast_bytes: int,
+    layout: Layout,
+) -> DataFrame:
+    if found.keyed_bytes <= broadcast_bytes:
+        return _meet(_probe(tx, paths, layout), F.broadcast(rules), tx.columns, layout)
+    salt = F.pmod(F.xxhash64(layout.key, layout.posted, layout.purpose), F.lit(SALTS))
+    probe = _probe(tx, paths, layout).withColumn("_salt", salt)
+    spread = rules.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return _meet(probe, spread.hint("shuffle_hash"), tx.columns, layout, F.col("t._salt") == F.col("r.salt"))
+
+
 def _meet(
-    probe: DataFrame, rules: DataFrame, columns: list[str], layout: Layout
+    probe: DataFrame,
+    rules: DataFrame,
+    columns: list[str],
+    layout: Layout,
+    also: Column | None = None,
 ) -> DataFrame:
     t, r = probe.alias("t"), rules.alias("r")
 
@@ -125,10 +102,12 @@ def _meet(
     def masks(name: str) -> Column:
         return F.col(f"r.{name}")
 
+    on = (F.col("t._path") == F.col("r.path")) & (F.col("t._key") == F.col("r.key"))
+    if also is not None:
+        on = on & also
     return t.join(
         r,
-        (F.col("t._path") == F.col("r.path"))
-        & (F.col("t._key") == F.col("r.key"))
+        on
         & F.col("t._day").between(F.col("r.lo"), F.col("r.hi"))
         & rule_condition(value, masks, any_shape, layout),
         "inner",
@@ -144,77 +123,3 @@ def no_matches(tx: DataFrame) -> DataFrame:
         .withColumn("dt_item", F.lit(None).cast("string"))
         .withColumn("kt_item", F.lit(None).cast("string"))
     )
-
-
-# --- literal ------------------------------------------------------------
-
-
-def literal_condition(rule: Row, layout: Layout = DEFAULT) -> Column:
-    """The whole condition of one rule, with its masks and dates as literals.
-
-    Catalyst turns literal LIKE patterns into plain string comparisons.
-    """
-    dt, kt = layout.sides
-
-    def listed(column: str, name: str) -> list[Column]:
-        return [literal_any(F.col(column), rule[name])] if rule[name] else []
-
-    accounts = listed(dt.account, "dt_accounts") + listed(kt.account, "kt_accounts")
-    purposes = listed(layout.purpose, "purposes")
-    terms = [within_days(F.col(layout.posted), day(rule["lo"]), day(rule["hi"]))]
-    terms += listed(dt.code, "dt_codes") + listed(kt.code, "kt_codes")
-    for group, include in (
-        (accounts, rule["account_include"]),
-        (purposes, rule["purpose_include"]),
-    ):
-        if group:
-            together = reduce(Column.__and__, group)
-            terms.append(together if include else ~together)
-    return reduce(Column.__and__, terms)
-
-
-def literal_any(value: Column, patterns: list[str]) -> Column:
-    whole = [p for p in patterns if not any(c in p for c in "%_\\")]
-    terms = [value.like(p) for p in patterns if p not in whole]
-    if whole:
-        terms.insert(0, value.isin(whole))
-    return reduce(Column.__or__, terms)
-
-
-def match_literal(
-    tx: DataFrame, rules: list[Row], layout: Layout = DEFAULT
-) -> DataFrame:
-    """One pass: the positions of the rules that match each row, exploded."""
-    if not rules:
-        return no_matches(tx)
-    hits = F.array(
-        *[F.when(literal_condition(r, layout), F.lit(n)) for n, r in enumerate(rules)]
-    )
-    found = tx.select(*tx.columns, F.explode(F.array_compact(hits)).alias("_hit"))
-    return found.select(
-        *tx.columns, *[rule_value(rules, c, F.col("_hit")) for c in RULE_COLUMNS]
-    )
-
-
-def rule_value(rules: list[Row], name: str, position: Column) -> Column:
-    """Column ``name`` of the rule at ``position`` of the list."""
-    kind = "bigint" if name == "rid" else "string"
-    listed = F.array(*[F.lit(r[name]).cast(kind) for r in rules])
-    return F.get(listed, position).alias(name)
-
-
-# --- one pass per rule --------------------------------------------------
-
-
-def match_per_rule(
-    tx: DataFrame, rules: list[Row], layout: Layout = DEFAULT
-) -> DataFrame:
-    if not rules:
-        return no_matches(tx)
-    parts = [
-        tx.filter(literal_condition(r, layout)).select(
-            *tx.columns, *[rule_value([r], c, F.lit(0)) for c in RULE_COLUMNS]
-        )
-        for r in rules
-    ]
-    return reduce(DataFrame.unionAll, parts)

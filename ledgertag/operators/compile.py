@@ -72,8 +72,8 @@ def compile_rules(
 ) -> DataFrame:
     """One row per rule that can match something.
 
-    Left out: rules without conditions, with an empty window, or with a mask
-    that LIKE refuses (a stray escape character).
+    Left out: rules without conditions or with an empty window. A rule without an id or with a mask
+    that LIKE refuses raises an error; :func:`rejected_rules` lists them all.
     """
     dt, kt = layout.sides
     raw = {
@@ -87,9 +87,6 @@ def compile_rules(
         "account_include": layout.account_mode,
         "purpose_include": layout.purpose_mode,
     }
-    valid = F.lit(True)
-    for name in MASK_LISTS:
-        valid = valid & all_valid(F.col(name))
     return (
         rules.select(
             F.col(layout.rule_key).alias("rid"),
@@ -103,11 +100,36 @@ def compile_rules(
             period.begin_of(F.col(layout.rule_start)).alias("lo"),
             period.end_of(F.col(layout.rule_end)).alias("hi"),
         )
+        .filter(has_condition() & (F.col("lo") <= F.col("hi")))
+        .withColumn("rid", _checked())
         .filter(F.col("rid").isNotNull())
-        .filter(has_condition() & (F.col("lo") <= F.col("hi")) & valid)
     )
 
 
+def _checked() -> Column:
+    """The rule's id; an error if there is none, or if LIKE refuses a mask."""
+    sound = F.col("rid").isNotNull()
+    for name in MASK_LISTS:
+        sound = sound & all_valid(F.col(name))
+    named = F.coalesce(F.col("rid").cast("string"), F.lit("without id"))
+    refused = F.raise_error(F.concat(F.lit("a rule can't be applied, see rejected_rules: "), named))
+    return F.when(sound, F.col("rid")).otherwise(refused.cast("bigint"))
+
+
+def rejected_rules(rules: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
+    """``rid, reason`` of rules that can't be applied: without an id, or with a mask that LIKE refuses.
+
+    A mask is refused for a stray escape character. A rule is listed once per reason.
+    """
+    named = mask_lists(rules, layout)
+    stray = [
+        F.when(~all_valid(F.col(n)), F.lit(f"stray escape in {n}")) for n in MASK_LISTS
+    ]
+    without = F.when(F.col("rid").isNull(), F.lit("no id"))
+    reasons = F.array_compact(F.array(without, *stray))
+    return named.select("rid", F.explode(reasons).alias("reason"))
+
+
 def assigning(compiled: DataFrame) -> DataFrame:
     """Compiled rules that assign an item at all, blank items as null."""
     items = {n: blank_to_null(F.col(n)) for n in ("dt_item", "kt_item")}

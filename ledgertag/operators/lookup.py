@@ -1,12 +1,14 @@
 """Lookup keys for rules, so that a transaction meets few rules, not all.
 
 Every rule has at most one *path*: a transaction column of which the rule fixes
-the whole value or the first characters, or both code columns together. The rule
+the whole value, the first or the last characters, or both code columns together. The rule
 then only needs to be checked on transactions that agree on that key. Rules for
-which no mask list fixes anything are put under one key that every transaction
-has.
+which no mask list fixes anything (inner texts, excluding lists only) are put under one key that every
+transaction has.
 
-A rule appears once per distinct key of its path, and a transaction has exactly
+How many characters a key has follows from the rules: as many as all masks of the
+list fix, rounded down by a ninth at most, so that the number of paths grows with the
+logarithm of the longest mask. A rule appears once per distinct key of its path, and a transaction has exactly
 one key per path, so a pair of transaction and rule meets at most once.
 """
 
@@ -18,23 +20,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgertag.config import DEFAULT, Layout
-from ledgertag.functions.masks import is_literal, literal_prefix
+from ledgertag.functions.masks import is_literal, literal_prefix, literal_suffix, shape_masks
 from ledgertag.operators.compile import CODE_LISTS, MASK_LISTS
 
-# Longest prefix used as a key. The rule itself is always checked in full.
-WIDEST = 12
-# Paths are numbered 100 * list + prefix width; width 0 stands for whole values.
-_STEP = 100
+# Widths of keys: all up to 16, then eight to each doubling.
+WIDTHS = sorted({*range(1, 17), *(n << k for n in range(8, 17) for k in range(1, 9))})
+# Paths are numbered _STEP * (2 * list + from the end) + width; width 0 stands for whole values.
+_STEP = 100_000
 EVERY = -1
 # Both codes as whole values.
-PAIR = len(MASK_LISTS) * _STEP
-# A rule with more combinations of codes than this is found by one of them.
+PAIR = 2 * len(MASK_LISTS) * _STEP
+# A rule with more combinations of codes than this is found by the codes of one side,
+# so that a rule has no more keys than codes or this number.
 MOST_PAIRS = 64
 
 # Cells in which the size of the rules is measured.
 CELLS = 256
 
 
+def path_of(i: int, width: int, ending: bool = False) -> int:
+    return _STEP * (2 * i + ending) + width
+
+
 def _masked_columns(layout: Layout) -> tuple[str, ...]:
     dt, kt = layout.sides
     return (dt.code, kt.code, dt.account, kt.account, layout.purpose)
@@ -48,8 +55,9 @@ def with_path(compiled: DataFrame) -> DataFrame:
         "purposes": F.col("purpose_include"),
     }
     options = [
-        _option(i, name, positive.get(name, F.lit(True)))
+        _option(i, name, positive.get(name, F.lit(True)), ending)
         for i, name in enumerate(MASK_LISTS)
+        for ending in (False, True)
     ]
     none = F.struct(
         F.lit(0).alias("score"),
@@ -63,21 +71,25 @@ def with_path(compiled: DataFrame) -> DataFrame:
     )
 
 
-def _option(i: int, name: str, positive: Column) -> Column:
+def _option(i: int, name: str, positive: Column, ending: bool) -> Column:
     masks = F.col(name)
     whole = F.forall(masks, is_literal)
-    fixed = F.array_min(F.transform(masks, lambda m: F.length(literal_prefix(m))))
-    width = F.when(whole, 0).otherwise(F.least(fixed, F.lit(WIDEST)))
-    score = F.when(whole, WIDEST + 1).otherwise(width)
-    keys = F.transform(
-        masks, lambda m: F.when(whole, m).otherwise(F.substring(m, F.lit(1), width))
-    )
+    part = literal_suffix if ending else literal_prefix
+    fixed = F.array_min(F.transform(masks, lambda m: F.length(part(m))))
+    widths = F.array(F.lit(0), *[F.lit(w) for w in WIDTHS])
+    width = F.when(whole, 0).otherwise(F.array_max(F.filter(widths, lambda w: w <= fixed)))
+    score = F.when(whole, WIDTHS[-1] + 1).otherwise(width)
+
+    def key(m: Column) -> Column:
+        return F.right(m, width) if ending else F.substring(m, F.lit(1), width)
+
+    keys = F.transform(masks, lambda m: F.when(whole, m).otherwise(key(m)))
     return F.when(
-        positive & (F.size(masks) > 0) & (score > 0),
+        positive & (F.size(masks) > 0) & (score > 0) & ~(whole & F.lit(ending)),
         F.struct(
             score.alias("score"),
-            F.lit(-i).alias("turn"),
-            (i * _STEP + width).alias("path"),
+            F.lit(-2 * i - ending).alias("turn"),
+            (F.lit(path_of(i, 0, ending)) + width).alias("path"),
             F.array_distinct(keys).alias("keys"),
         ),
     )
@@ -94,7 +106,7 @@ def _pair_option() -> Column:
         & F.forall(dt, is_literal)
         & F.forall(kt, is_literal),
         F.struct(
-            F.lit(WIDEST + 2).alias("score"),
+            F.lit(WIDTHS[-1] + 2).alias("score"),
             F.lit(0).alias("turn"),
             F.lit(PAIR).alias("path"),
             F.array_distinct(keys).alias("keys"),
@@ -116,7 +128,7 @@ def by_key(compiled: DataFrame) -> DataFrame:
     empty = F.array().cast("array<string>")
     trimmed = []
     for i, n in enumerate(MASK_LISTS):
-        met = (i * _STEP, PAIR) if n in CODE_LISTS else (i * _STEP,)
+        met = (path_of(i, 0), PAIR) if n in CODE_LISTS else (path_of(i, 0),)
         kept = F.when(F.col("path").isin(*met), empty).otherwise(F.col(n))
         trimmed.append(kept.alias(n))
     others = [c for c in compiled.columns if c not in MASK_LISTS]
@@ -134,9 +146,12 @@ def transaction_keys(paths: list[int], layout: Layout = DEFAULT) -> Column:
             return F.lit("")
         if path == PAIR:
             return _pair(F.col(layout.debit.code), F.col(layout.credit.code))
-        i, width = divmod(path, _STEP)
+        place, width = divmod(path, _STEP)
+        i, ending = divmod(place, 2)
         value = F.col(columns[i])
-        return F.substring(value, 1, width) if width else value
+        if not width:
+            return value
+        return F.right(value, F.lit(width)) if ending else F.substring(value, 1, width)
 
     return F.array(
         *[
@@ -151,23 +166,29 @@ def finds_whole_values(path: Column) -> Column:
     return (path != EVERY) & (path % _STEP == 0)
 
 
+def shaped(keyed: DataFrame) -> DataFrame:
+    """Keyed rules with shaped mask lists: the form that is joined."""
+    return keyed.withColumns({n: shape_masks(F.col(n)) for n in MASK_LISTS})
+
+
 @dataclass
 class RuleSet:
-    """What one small job finds out about the keyed rules before they are joined."""
+    """What one job finds out about the shaped rules before they are joined."""
 
     paths: list[int] = field(default_factory=list)
     first_day: object = None
     last_day: object = None
-    cell_bytes: dict[int, int] = field(default_factory=dict)
+    keyed_bytes: int = 0
+    every_bytes: dict[int, int] = field(default_factory=dict)
 
     def chunks(self, limit: int) -> list[list[int]]:
-        """Cells packed into chunks of at most ``limit`` bytes each.
+        """Cells of the rules without a key, packed into chunks of at most ``limit`` bytes each.
 
         A cell that is larger than the limit makes a chunk of its own.
         """
         packed: list[list[int]] = []
         room = 0
-        for cell, size in sorted(self.cell_bytes.items(), key=lambda c: -c[1]):
+        for cell, size in sorted(self.every_bytes.items(), key=lambda c: -c[1]):
             if not packed or size > room:
                 packed.append([])
                 room = limit
@@ -175,20 +196,46 @@ class RuleSet:
             room -= size
         return packed
 
-    def size(self, cells: list[int]) -> int:
-        return sum(self.cell_bytes[c] for c in cells)
-
 
 def cell() -> Column:
     return F.pmod(F.xxhash64("rid", "path", "key"), F.lit(CELLS))
 
 
-def measure(keyed: DataFrame) -> RuleSet:
-    """Paths in use, days covered and bytes per cell: at most ``CELLS`` rows."""
-    width = F.octet_length(F.to_json(F.struct("*")))
+def _text_bytes(text: Column) -> Column:
+    return 8 + 8 * F.ceil(F.coalesce(F.octet_length(text), F.lit(0)) / 8)
+
+
+def row_bytes(columns: list[str]) -> Column:
+    """An upper bound of the binary size of one shaped rule in Spark's row format.
+
+    A word for each field and for the null bits; texts and arrays are padded to words and have
+    an offset; a mask is a struct of five fields, a piece one of two.
+    """
+
+    def total(array: Column, of) -> Column:
+        return F.aggregate(array, F.lit(0).cast("long"), lambda n, x: n + of(x))
+
+    def piece(x: Column) -> Column:
+        return 32 + _text_bytes(x["text"])
+
+    def mask(m: Column) -> Column:
+        return 72 + _text_bytes(m["text"]) + total(m["pieces"], piece) + F.size(m["pieces"])
+
+    size = F.lit(16 + 8 * len(columns)).cast("long")
+    for n in MASK_LISTS:
+        whole, some = F.col(n)["whole"], F.col(n)["shaped"]
+        size = size + 96 + total(whole, _text_bytes) + total(some, mask) + F.size(whole) + F.size(some)
+    for n in ("dt_item", "kt_item", "key"):
+        size = size + _text_bytes(F.col(n))
+    return size
+
+
+def measure(rules: DataFrame) -> RuleSet:
+    """Paths in use, days covered and bytes: at most ``2 * CELLS`` rows come to the driver."""
+    every = F.col("path") == EVERY
     rows = (
-        keyed.select("path", "lo", "hi", cell().alias("cell"), width.alias("bytes"))
-        .groupBy("cell")
+        rules.select("path", "lo", "hi", every.alias("every"), cell().alias("cell"), row_bytes(rules.columns).alias("bytes"))
+        .groupBy("every", "cell")
         .agg(
             F.collect_set("path").alias("paths"),
             F.min("lo").alias("lo"),
@@ -203,5 +250,6 @@ def measure(keyed: DataFrame) -> RuleSet:
         paths=sorted({p for r in rows for p in r["paths"]}),
         first_day=min(r["lo"] for r in rows),
         last_day=max(r["hi"] for r in rows),
-        cell_bytes={r["cell"]: r["bytes"] for r in rows},
+        keyed_bytes=sum(r["bytes"] for r in rows if not r["every"]),
+        every_bytes={r["cell"]: r["bytes"] for r in rows if r["every"]},
     )

@@ -1,30 +1,33 @@
-"""Cutting the plan of a small relation that is used several times."""
+"""Cutting the plan of a relation that is used several times."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``.
 
-    Meant for rule relations: they are measured before they are broadcast, and
-    what is measured must be what is broadcast. Checkpoints are files in the
-    folder the cluster names, so they outlive lost executors. Without such a
-    folder, outside local mode, the relation is left as it is and recomputed.
+    Where it is unset, as in local sessions, a folder in the session's warehouse
+    stands in; on a cluster the folder must be named.
     """
-    return df.checkpoint() if _has_folder(df.sparkSession) else df
-
-
-def _has_folder(spark: SparkSession) -> bool:
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return True
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and context.master.startswith("local"):
-        named = tempfile.mkdtemp(prefix="ledgertag-")
-    if named:
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    if not context.getCheckpointDir():
         context.setCheckpointDir(named)
-    return bool(named)
+    return named
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the checkpoint folder and go on from there.
+
+    What is measured must be what is broadcast, so rules are always frozen before.
+    Checkpoints are files in the folder the cluster names, so they outlive lost
+    executors.
+    """
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

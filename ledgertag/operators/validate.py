@@ -95,8 +95,7 @@ def _keep(
         is_forced = is_forced | F.coalesce(mine, F.lit(False))
     marked = agreed.distinct().withColumn("_agreed", F.lit(True))
     return (
-        rules.filter(F.col(layout.rule_key).isNotNull())
-        .join(marked, layout.rule_key, "left")
+        rules.join(marked, layout.rule_key, "left")
         .filter(F.col("_agreed") | is_forced)
         .select(*rules.columns)
     )

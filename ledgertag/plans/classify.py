@@ -4,28 +4,18 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgertag.config import DEFAULT, Layout, Side
+from ledgertag.config import DEFAULT, Layout
 from ledgertag.functions.period import Period
-from ledgertag.functions.tags import preference, taggable
-from ledgertag.operators.apply import (
-    apply_settled,
-    literal_condition,
-    literal_rule_set,
-    no_matches,
-    rule_value,
-)
+from ledgertag.functions.tags import taggable
+from ledgertag.operators.apply import apply_rules
 from ledgertag.operators.compile import assigning, compile_rules
 from ledgertag.operators.resolve import candidates, consolidate, merge_ids
-from ledgertag.operators.settle import settle
 from ledgertag.operators.tag import tag_sides
 from ledgertag.operators.validate import validate_rules
 
-# Strategies that may choose the best tags within a row, before any exchange.
-BY_ROW = ("auto", "literal")
-
 
 def classify(
     tx: DataFrame,
@@ -33,32 +23,20 @@ def classify(
     classifier: DataFrame,
     start_date: str | date,
     end_date: str | date,
-    strategy: str = "auto",
     layout: Layout = DEFAULT,
 ) -> DataFrame:
     """Tag transactions of a period with the items of the rules they meet.
 
-    ``strategy`` is one of those of :func:`ledgertag.operators.apply.apply_rules`.
-    The choice, and the size check before anything is broadcast, need one small
-    job over the rules; the transactions are not read before the caller's action.
-    Without a rule that applies the result is empty and has the same columns.
+    Building the plan checks, freezes and measures the rules, which are two actions over
+    them; the transactions are not read before the caller's action. A rule that can't be
+    applied (see :func:`ledgertag.operators.compile.rejected_rules`) raises an error that
+    names it. Without a rule that applies the result is empty and has the same columns.
     """
     period = Period.parse(start_date, end_date)
     valid = validate_rules(rules, classifier, period, layout)
-    compiled = settle(assigning(compile_rules(valid, period, layout)))
-    chosen = taggable_rows(tx, period, layout)
-
-    few = literal_rule_set(compiled, strategy) if strategy in BY_ROW else None
-    if few:
-        found = first_matches(chosen, few, layout)
-    else:
-        if few is not None:
-            matches = no_matches(chosen)
-        else:
-            way = "join" if strategy == "auto" else strategy
-            matches = apply_settled(chosen, compiled, way, layout)
-        found = candidates(tag_sides(matches, layout), layout)
-
+    compiled = assigning(compile_rules(valid, period, layout))
+    matches = apply_rules(taggable_rows(tx, period, layout), compiled, layout)
+    found = candidates(tag_sides(matches, layout), layout)
     result = consolidate(merge_ids(found, layout), layout)
     return result.select(
         layout.key,
@@ -87,58 +65,3 @@ def taggable_rows(tx: DataFrame, period: Period, layout: Layout = DEFAULT) -> Da
         kt.code,
         layout.purpose,
     )
-
-
-def first_matches(
-    tx: DataFrame, rules: list[Row], layout: Layout = DEFAULT
-) -> DataFrame:
-    """Best tag of each transaction row and side, for rules given as literals.
-
-    Within one row the order of preference is an order of the rules alone, so a
-    CASE over the rules in that order stops at the first match. Rows without a
-    tag never leave the task.
-    """
-    dt, kt = layout.sides
-    picked = tx.select(
-        "*",
-        _first_rule(dt, rules, layout).alias("_dt"),
-        _first_rule(kt, rules, layout).alias("_kt"),
-    )
-
-    def best(side: Side) -> Column:
-        position, other = F.col(f"_{side.name}"), layout.other(side)
-
-        def of_rule(name: str) -> Column:
-            return rule_value(rules, name, position)
-
-        second = F.when(
-            taggable(F.col(other.account), layout), of_rule(f"{other.name}_item")
-        )
-        key = preference(of_rule("rid"), of_rule(f"{side.name}_item"), second, layout)
-        return F.when(position.isNotNull(), F.struct(*key))
-
-    row = F.struct(best(dt).alias("dt_best"), best(kt).alias("kt_best"))
-    some = F.col("_dt").isNotNull() | F.col("_kt").isNotNull()
-    # Generated rather than filtered: a filter would be pushed below the CASE
-    # expressions and evaluate them twice.
-    return picked.select(layout.key, F.inline(F.when(some, F.array(row))))
-
-
-def _first_rule(side: Side, rules: list[Row], layout: Layout) -> Column:
-    """Position in ``rules`` of the first rule that tags ``side``."""
-    mine, other = f"{side.name}_item", f"{layout.other(side).name}_item"
-    usable = sorted(
-        (n for n, r in enumerate(rules) if r[mine] is not None),
-        key=lambda n: (
-            rules[n][mine] not in layout.forced_items,
-            rules[n]["rid"],
-            rules[n][mine].encode(),
-            (rules[n][other] or "").encode(),
-        ),
-    )
-    if not usable:
-        return F.lit(None).cast("int")
-    cases = F
-    for n in usable:
-        cases = cases.when(literal_condition(rules[n], layout), F.lit(n))
-    return F.when(taggable(F.col(side.account), layout), cases)

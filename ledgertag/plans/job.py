@@ -8,6 +8,9 @@ import logging
 from pyspark.sql import SparkSession
 
 from ledgertag.config import DEFAULT, Layout
+from ledgertag.functions.period import Period
+from ledgertag.operators.compile import rejected_rules
+from ledgertag.operators.validate import applied_rules, validate_rules
 from ledgertag.plans.classify import classify
 from ledgertag.sources.readers import read_classifier, read_rules, read_transactions
 from ledgertag.sources.sinks import write_result
@@ -15,6 +18,10 @@ from ledgertag.sources.sinks import write_result
 log = logging.getLogger(__name__)
 
 
+# Ids that a message lists; the number of rules is always given.
+MOST_LISTED = 1000
+
+
 def run_job(
     spark: SparkSession,
     paths: dict[str, str],
@@ -23,24 +30,41 @@ def run_job(
     out: str,
     mode: str = "errorifexists",
     source: str = "json",
-    strategy: str = "auto",
+    zone: str = "UTC",
     layout: Layout = DEFAULT,
 ) -> None:
-    """``paths`` names the ``transactions``, ``rules`` and ``classifier`` files."""
-    result = classify(
-        read_transactions(spark, paths["transactions"], source),
-        read_rules(spark, paths["rules"], source),
-        read_classifier(spark, paths["classifier"], source),
-        start_date,
-        end_date,
-        strategy,
-        layout,
-    )
-    write_result(result, out, mode, layout)
+    """``paths`` names the ``transactions``, ``rules`` and ``classifier`` files.
+
+    Moments are read and cut to days in ``zone``, whatever the session's own. Reports the
+    ids of the rules that are applied, and warns if there are none. Rules that
+    can't be applied at all end the job before anything is written.
+    """
+    own = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rules = read_rules(spark, paths["rules"], source)
+        classifier = read_classifier(spark, paths["classifier"], source)
+        if bad := rejected_rules(rules, layout).limit(MOST_LISTED).collect():
+            listed = ", ".join(f"{r['rid']} ({r['reason']})" for r in bad)
+            raise ValueError(f"rules that can't be applied: {listed}")
+        period = Period.parse(start_date, end_date)
+        valid = validate_rules(rules, classifier, period, layout)
+        ids = [r["rid"] for r in applied_rules(valid, layout).limit(MOST_LISTED + 1).collect()]
+        if ids:
+            more = " and more" if len(ids) > MOST_LISTED else ""
+            log.info("applied rules: %s%s", ", ".join(map(str, ids[:MOST_LISTED])), more)
+        else:
+            log.warning("no rule applies between %s and %s", start_date, end_date)
+        transactions = read_transactions(spark, paths["transactions"], source)
+        result = classify(transactions, rules, classifier, start_date, end_date, layout)
+        write_result(result, out, mode, layout)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", own)
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="ledgertag", description=__doc__)
+    # How the flags are spelt.
     parser.add_argument("-s", "--start", "--start_date", dest="start_date")
     parser.add_argument("-e", "--end", "--end_date", dest="end_date")
     parser.add_argument("-q", "--quiet", action="store_true")
@@ -50,6 +74,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--out", required=True)
     parser.add_argument("--mode", default="errorifexists")
     parser.add_argument("--source", default="json")
+    parser.add_argument("--zone", default="UTC")
     return parser.parse_args(argv)
 
 
@@ -67,6 +92,7 @@ def main(argv: list[str] | None = None) -> None:
         args.out,
         args.mode,
         args.source,
+        args.zone,
     )
 
 

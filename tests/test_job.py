@@ -13,8 +13,11 @@ from ledgertag.schemas import OUT_SCHEMA, RULE_SCHEMA
 from ledgertag.sources.readers import read_classifier, read_rules, read_transactions
 from ledgertag.sources.sinks import lookup, materialise, write_result
 from tests import fixed_rows as rows
+from workload.strategies import STRATEGIES, classify_by
 
+# The period that holds every known row, and a day after the last one.
 WHOLE = ("1800-03-01", "9999-03-01")
+AFTER = "2021-04-01"
 
 
 def write_lines(path, records, gap=None):
@@ -52,9 +55,12 @@ def inputs(spark, paths):
     )
 
 
-@pytest.fixture(scope="module", params=["auto", "literal", "join", "per_rule"])
+@pytest.fixture(scope="module", params=["classify", *STRATEGIES])
 def result(inputs, request):
-    df = classify(*inputs, *WHOLE, strategy=request.param)
+    if request.param == "classify":
+        df = classify(*inputs, *WHOLE)
+    else:
+        df = classify_by(request.param, *inputs, *WHOLE).select(OUT_SCHEMA.names)
     materialise(df)
     return df
 
@@ -96,19 +102,17 @@ def _in_result_order():
 
 
 def test_period_outside_the_data(inputs):
-    for strategy in ("auto", "join"):
-        assert classify(*inputs, "2021-04-01", "2021-04-01", strategy).count() == 0
+    assert classify(*inputs, AFTER, AFTER).count() == 0
 
 
 def test_no_rules_give_an_empty_typed_result(spark, inputs):
     tx, _, classifier = inputs
     none = spark.createDataFrame([], RULE_SCHEMA)
-    for strategy in ("auto", "literal", "join", "per_rule"):
-        df = classify(tx, none, classifier, *WHOLE, strategy=strategy)
-        assert [(f.name, f.dataType) for f in df.schema] == [
-            (f.name, f.dataType) for f in OUT_SCHEMA
-        ]
-        assert df.count() == 0
+    df = classify(tx, none, classifier, *WHOLE)
+    assert [(f.name, f.dataType) for f in df.schema] == [
+        (f.name, f.dataType) for f in OUT_SCHEMA
+    ]
+    assert df.count() == 0
 
 
 def test_no_valid_rule_gives_an_empty_result(spark, inputs):
@@ -146,6 +150,34 @@ def test_job_writes_one_folder_per_load_date(spark, paths, tmp_path):
     assert spark.read.parquet(out).count() == len(rows.EXPECTED)
 
 
+def test_job_reports_the_rules_it_applies(spark, paths, tmp_path, caplog):
+    caplog.set_level("INFO", logger="ledgertag.plans.job")
+    run_job(spark, paths, *WHOLE, out=str(tmp_path / "some"))
+    assert "applied rules: 1, 2, 3, 10, 14" in caplog.text
+    run_job(spark, paths | {"rules": write_lines(tmp_path / "none.json", [])}, *WHOLE, out=str(tmp_path / "none"))
+    assert any(r.levelname == "WARNING" and "no rule applies" in r.message for r in caplog.records)
+
+
+def test_job_refuses_rules_that_cannot_be_applied(spark, paths, tmp_path):
+    broken = rows.rule_records()[0] | {"id_pk": 77, "payment_purpose_pattern_list": "a\\b"}
+    bad = paths | {"rules": write_lines(tmp_path / "bad.json", [*rows.rule_records(), broken])}
+    with pytest.raises(ValueError, match="77 .*stray escape in purposes"):
+        run_job(spark, bad, *WHOLE, out=str(tmp_path / "bad"))
+    assert not (tmp_path / "bad").exists()
+
+
+def test_job_reads_moments_in_its_own_zone(spark, paths, tmp_path):
+    own = spark.conf.get("spark.sql.session.timeZone")
+    for zone in ("UTC", "Asia/Tokyo"):
+        run_job(spark, paths, *WHOLE, out=str(tmp_path / zone), zone=zone)
+    assert spark.conf.get("spark.sql.session.timeZone") == own
+    moments = [
+        sorted(str(r[0]) for r in spark.read.parquet(str(tmp_path / z)).select("operation_date").collect())
+        for z in ("UTC", "Asia/Tokyo")
+    ]
+    assert len(moments[0]) == len(moments[1]) == len(rows.EXPECTED)
+
+
 def test_sink_splits_a_load_date_that_holds_most_rows(spark, tmp_path):
     out = tmp_path / "skewed"
     df = spark.range(300_000).select(

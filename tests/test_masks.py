@@ -72,21 +72,24 @@ def test_shapes_agree_with_like(spark):
 
 def test_shape_of_each_mask(spark):
     cases = {
-        "": m.EQUALS,
-        "abc": m.EQUALS,
-        "%": m.STARTS,
-        "ab%%": m.STARTS,
-        "ab__": m.PADDED,
-        "_": m.PADDED,
-        "%ab": m.ENDS,
+        "%": m.FROM_START,
+        "ab%%": m.FROM_START,
+        "ab__": m.FROM_START,
+        "_": m.FROM_START,
+        "a_%": m.FROM_START,
+        "47423_____________37%": m.FROM_START,
+        "%ab": m.FROM_END,
+        "%a_b": m.FROM_END,
         "%ab%": m.CONTAINS,
         "a%b": m.GENERAL,
-        "a_%": m.GENERAL,
+        "%a_b%": m.GENERAL,
         "a\\%": m.GENERAL,
     }
-    df = spark.createDataFrame([(list(cases),)], "p array<string>")
+    df = spark.createDataFrame([(["", "abc", *cases],)], "p array<string>")
     got = df.select(m.shape_masks(F.col("p"))).head()[0]
-    assert [s.shape for s in got] == list(cases.values())
+    assert got.whole == ["", "abc"]
+    assert [s.shape for s in got.shaped] == list(cases.values())
+    assert [tuple(x) for x in got.shaped[5].pieces] == [(0, "47423"), (18, "37")]
 
 
 def test_patterns_that_like_refuses_are_found(spark):

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from ledgertag import classify
 from ledgertag.functions.period import Period
-from ledgertag.operators.apply import match_join
+from ledgertag.operators.apply import SALTS, apply_rules
 from ledgertag.operators.compile import compile_rules
-from ledgertag.operators.lookup import EVERY, PAIR, by_key, with_path
+from ledgertag.operators.lookup import EVERY, PAIR, by_key, path_of, transaction_keys, with_path
 from ledgertag.operators.resolve import merge_ids, resolve_side
 from ledgertag.config import DEBIT
 from tests.test_strategies import END, START, frames, make_data
+from workload.strategies import STRATEGIES, classify_by
 
 
 @pytest.fixture(scope="module")
@@ -33,47 +34,97 @@ def count(plan, operator):
     return len(re.findall(rf"(?m)^\W*(?:\*\(\d+\) )?{operator}\b", plan))
 
 
-def test_literal_plan_has_one_scan_one_exchange_and_no_join(inputs):
-    plan = plan_of(classify(*inputs, START, END, "literal"))
-    assert count(plan, "FileScan parquet") == 1
-    assert count(plan, "Exchange") == 1
-    assert "Join" not in plan
-    assert "Window" not in plan
-
-
 def test_join_plan_has_one_scan_one_exchange_and_one_hash_join(inputs):
-    plan = plan_of(classify(*inputs, START, END, "join"))
+    plan = plan_of(classify(*inputs, START, END))
     assert count(plan, "FileScan parquet") == 1
     assert count(plan, "Exchange") == 1
     assert count(plan, "BroadcastHashJoin") == 1
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-@pytest.mark.parametrize("strategy", ["literal", "join"])
-def test_filters_and_columns_reach_the_scan(inputs, strategy):
-    plan = plan_of(classify(*inputs, START, END, strategy))
+def test_filters_and_columns_reach_the_scan(inputs):
+    plan = plan_of(classify(*inputs, START, END))
     scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
     pushed = scan[scan.index("PushedFilters") :]
-    assert "GreaterThanOrEqual(operation_date" in pushed or "IsNotNull(operation_date)" in pushed
+    assert "GreaterThanOrEqual(operation_date,2021-01-10" in pushed and "LessThan(op" in pushed
     schema = scan[scan.index("ReadSchema") :]
     assert "unused" not in schema
 
 
-def test_conditions_are_evaluated_once(inputs):
-    """The literal form must not repeat its CASE in a pushed-down filter."""
-    df = classify(*inputs, START, END, "literal")
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    filters = [x for x in plan.splitlines() if x.lstrip(" +-:").startswith("Filter")]
-    assert not any("payment_purpose" in x for x in filters)
-
-
 def test_nothing_reads_transactions_before_the_action(spark, inputs):
     """Building the plan must not touch the transactions."""
     _, rules, classifier = inputs
     boom = F.raise_error(F.lit("read too early")).cast("string")
     tx = inputs[0].withColumn("payment_purpose", boom)
-    classify(tx, rules, classifier, START, END, "literal")
-    classify(tx, rules, classifier, START, END, "join")
+    classify(tx, rules, classifier, START, END)
+
+
+def test_building_runs_few_jobs(spark, inputs):
+    """Freezing and measuring the rules; adaptive execution runs each shuffle stage as a job."""
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        classify(*inputs, START, END)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setJobGroup("tests", "")
+    assert 0 < len(jobs) <= 12
+
+
+def test_rules_beyond_the_limit_meet_in_one_salted_join(spark):
+    """One scan for the keyed rules, and a key with all rows is spread over the salts."""
+    _, rule_df, _ = frames(spark, [], make_data(7, rules=40)[1], [])
+    compiled = compile_rules(rule_df, Period(START, END)).filter("size(dt_codes) > 0")
+    n = F.col("id")
+    tx = spark.range(0, 20_000, 1, 4).select(
+        n.cast("string").alias("id_pk"),
+        F.lit("2021-02-01").cast("date").alias("input_dt"),
+        F.lit("2021-02-01 10:00:00").cast("timestamp").alias("operation_date"),
+        F.lit("70601").alias("dt_account"),
+        F.lit("70602").alias("kt_account"),
+        F.lit("A1").alias("dt_tax_item_ofr"),
+        F.lit("C").alias("kt_tax_item_ofr"),
+        F.lit("pay x").alias("payment_purpose"),
+    )
+    keyed = with_path(compiled).filter(F.col("path") != EVERY).drop("path", "keys")
+    joined = apply_rules(tx, keyed, broadcast_bytes=1)
+    plan = plan_of(joined)
+    assert count(plan, "Range") == 1 and "Broadcast" not in plan
+    assert count(plan, "ShuffledHashJoin") == 1
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = joined.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert joined.count() == apply_rules(tx, keyed).count() > 20_000
+    assert parts >= 4 and SALTS > 8
+
+
+def test_candidates_per_transaction_among_many_rules(spark):
+    """Masks with a common head or a fixed tail are told apart by their keys."""
+    n = F.col("id")
+    blank = {c: F.lit("") for c in ("dt_tax_item_ofr_list", "kt_tax_item_ofr_list", "account_mask_rule", "dt_account_mask_list", "kt_account_mask_list")}
+    rules = spark.range(20_000).select(
+        n.alias("id_pk"),
+        F.lit("30000").alias("dt_tax_item"),
+        F.lit("").alias("kt_tax_item"),
+        *[v.alias(c) for c, v in blank.items()],
+        F.lit("INCLUDE").alias("payment_purpose_rule"),
+        F.when(n % 2 == 0, F.concat(F.lit("payment under contract "), n.cast("string"), F.lit("-%")))
+        .otherwise(F.concat(F.lit("%, ref "), n.cast("string")).substr(F.lit(1), F.lit(60)))
+        .alias("payment_purpose_pattern_list"),
+        F.lit(None).cast("date").alias("start_date"),
+        F.lit(None).cast("date").alias("end_date"),
+    )
+    rules = rules.withColumn("payment_purpose_pattern_list", F.replace("payment_purpose_pattern_list", F.lit("%, "), F.lit("%")))
+    keyed = by_key(compile_rules(rules, Period(START, END)))
+    per_key = keyed.groupBy("path", "key").count().agg(F.max("count")).head()[0]
+    assert per_key <= 12
+    assert keyed.filter(F.col("path") == EVERY).isEmpty()
+    paths = [r.path for r in keyed.select("path").distinct().collect()]
+    one = spark.createDataFrame([("x", "payment under contract 4242-7 and ref 4243")], "a string, payment_purpose string")
+    one = one.withColumns({c: F.lit("") for c in ("dt_tax_item_ofr", "kt_tax_item_ofr", "dt_account", "kt_account")})
+    probe = one.select(F.inline(transaction_keys(paths)))
+    assert probe.join(keyed, ["path", "key"]).count() <= 24
 
 
 def test_paths(spark):
@@ -83,16 +134,18 @@ def test_paths(spark):
          "payment_purpose_pattern_list"), ""
     ) | {"dt_tax_item": "1", "kt_tax_item": "", "start_date": None, "end_date": None}
     cases = [
-        ({"dt_tax_item_ofr_list": "A, B"}, 0, ["A", "B"]),
-        ({"kt_tax_item_ofr_list": "A, A"}, 100, ["A"]),
+        ({"dt_tax_item_ofr_list": "A, B"}, path_of(0, 0), ["A", "B"]),
+        ({"kt_tax_item_ofr_list": "A, A"}, path_of(1, 0), ["A"]),
         ({"dt_tax_item_ofr_list": "A", "kt_tax_item_ofr_list": "B, CD"}, PAIR, ["1:AB", "1:ACD"]),
-        ({"dt_tax_item_ofr_list": "A%", "kt_tax_item_ofr_list": "B"}, 100, ["B"]),
-        ({"dt_tax_item_ofr_list": "111%, 11222?"}, 3, ["111", "112"]),
+        ({"dt_tax_item_ofr_list": "A%", "kt_tax_item_ofr_list": "B"}, path_of(1, 0), ["B"]),
+        ({"dt_tax_item_ofr_list": "111%, 11222?"}, path_of(0, 3), ["111", "112"]),
         ({"dt_tax_item_ofr_list": "111%, %2"}, EVERY, [""]),
         ({"dt_account_mask_list": "70601%"}, EVERY, [""]),
-        ({"dt_account_mask_list": "70601%", "account_mask_rule": "INCLUDE"}, 205, ["70601"]),
-        ({"payment_purpose_pattern_list": "a long text of many words%", "payment_purpose_rule": "INCLUDE"}, 412, ["a long text "]),
+        ({"dt_account_mask_list": "70601%", "account_mask_rule": "INCLUDE"}, path_of(2, 5), ["70601"]),
+        ({"payment_purpose_pattern_list": "a long text of many words%", "payment_purpose_rule": "INCLUDE"}, path_of(4, 24), ["a long text of many word"]),
         ({"payment_purpose_pattern_list": "x", "payment_purpose_rule": "EXCLUDE"}, EVERY, [""]),
+        ({"payment_purpose_pattern_list": "%URGENT, a%LURGENT", "payment_purpose_rule": "INCLUDE"}, path_of(4, 6, True), ["URGENT"]),
+        ({"payment_purpose_pattern_list": "%inner%", "payment_purpose_rule": "INCLUDE"}, EVERY, [""]),
     ]
     rules = [blank | change | {"id_pk": n} for n, (change, _, _) in enumerate(cases)]
     _, df, _ = frames(spark, [], rules, [])
@@ -104,7 +157,7 @@ def test_a_pair_of_transaction_and_rule_meets_once(spark, inputs):
     tx, rules, _ = inputs
     compiled = compile_rules(rules.dropDuplicates(["id_pk"]), Period(START, END))
     numbered = tx.withColumn("n", F.monotonically_increasing_id())
-    pairs = match_join(numbered, compiled)
+    pairs = apply_rules(numbered, compiled)
     assert pairs.groupBy("n", "rid").count().filter("count > 1").isEmpty()
     assert by_key(compiled).groupBy("rid", "path", "key").count().filter(
         "count > 1"
@@ -154,8 +207,7 @@ def test_hot_ids_and_hot_codes_end_to_end(spark):
         F.lit("pay x").alias("payment_purpose"),
     )
     results = [
-        classify(tx, rule_df, cls, START, END, s).drop("created_ts")
-        for s in ("literal", "join", "per_rule")
+        classify_by(s, tx, rule_df, cls, START, END).drop("created_ts") for s in STRATEGIES
     ]
     assert results[0].count() > 20_000
     for other in results[1:]:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ledgertag import classify
 from ledgertag.functions.period import Period
 from ledgertag.operators import apply as application
-from ledgertag.operators.compile import compile_rules
-from ledgertag.operators.lookup import by_key, measure
+from ledgertag.operators.compile import compile_rules, rejected_rules
+from ledgertag.operators.lookup import EVERY, by_key, measure, shaped
 from ledgertag.operators.resolve import (
     candidates,
     consolidate,
@@ -25,6 +25,7 @@ from ledgertag.operators.tag import blank_tags, tag_sides
 from ledgertag.config import CREDIT, DEBIT
 from ledgertag.schemas import CLASSIFIER_SCHEMA
 from tests import model
+from workload.strategies import STRATEGIES, apply_by, classify_by
 
 START, END = date(2021, 1, 10), date(2021, 3, 20)
 TX = (
@@ -125,20 +126,20 @@ def data(request, spark):
     return raw, frames(spark, *raw)
 
 
-@pytest.mark.parametrize("strategy", ["auto", "literal", "join", "per_rule"])
+@pytest.mark.parametrize("strategy", STRATEGIES)
 def test_classification_equals_the_model(data, strategy):
     raw, inputs = data
     expected = model.classify(*raw, START, END)
     assert len(expected) > 30
-    got = result_rows(classify(*inputs, START, END, strategy=strategy))
-    assert got == Counter(expected)
+    got = result_rows(classify_by(strategy, *inputs, START, END))
+    assert got == Counter(expected) == result_rows(classify(*inputs, START, END))
 
 
-@pytest.mark.parametrize("strategy", ["literal", "join", "per_rule"])
+@pytest.mark.parametrize("strategy", STRATEGIES)
 def test_matches_equal_the_model(data, strategy):
     (txs, rules, _), (tx, rule_df, _) = data
     compiled = compile_rules(rule_df, Period(START, END))
-    got = application.apply_rules(tx, compiled, strategy)
+    got = apply_by(strategy, tx, compiled)
     names = [*tx.columns, "rid"]
     expected = Counter(
         (*[t[c] for c in tx.columns], r["id_pk"])
@@ -148,22 +149,18 @@ def test_matches_equal_the_model(data, strategy):
     assert Counter(tuple(r[n] for n in names) for r in got.collect()) == expected
 
 
-@pytest.mark.parametrize("below_one_cell", [False, True])
-def test_rules_beyond_the_broadcast_limit(data, below_one_cell):
-    """Chunks, and cells that are too large for a broadcast, change nothing."""
+@pytest.mark.parametrize("part", ["chunks", "salted", "nothing fits"])
+def test_rules_beyond_the_broadcast_limit(data, part):
+    """Chunks of rules without a key, and the salted join of the others, change nothing."""
     (txs, rules, _), (tx, rule_df, _) = data
-    if below_one_cell:
-        rules = [r for r in rules if r["id_pk"] < 5]
-        rule_df = rule_df.filter("id_pk < 5")
     compiled = compile_rules(rule_df, Period(START, END))
-    found = measure(by_key(compiled))
-    sizes = found.cell_bytes.values()
-    limit = max(sizes) - 1 if below_one_cell else sum(sizes) // 3
+    found = measure(shaped(by_key(compiled)))
+    assert EVERY in found.paths and len(found.paths) > 3
+    every = sum(found.every_bytes.values())
+    limit = {"chunks": max(found.keyed_bytes, every // 2), "salted": found.keyed_bytes - 1, "nothing fits": 1}[part]
     chunks = found.chunks(limit)
-    assert len(chunks) > 1
-    assert sorted(c for chunk in chunks for c in chunk) == sorted(found.cell_bytes)
-    assert any(found.size(c) > limit for c in chunks) == below_one_cell
-    got = application.match_join(tx, compiled, broadcast_bytes=limit)
+    assert sorted(c for chunk in chunks for c in chunk) == sorted(found.every_bytes)
+    got = application.apply_rules(tx, compiled, broadcast_bytes=limit)
     expected = Counter(
         (t["id_pk"], r["id_pk"]) for t, r in model.pairs(txs, rules, START, END)
     )
@@ -179,7 +176,7 @@ def test_the_steps_one_by_one_give_the_same_result(data):
 
     period = Period(START, END)
     valid = compile_rules(validate_rules(rules, classifier, period), period)
-    matches = application.apply_rules(tx, valid, "join")
+    matches = application.apply_rules(tx, valid)
     tagged = blank_tags(tag_sides(matches)).filter("id_pk IS NOT NULL")
     columns = resolve_union(tagged).drop("side").columns
     by_side = [resolve_side(tagged, s).select(*columns) for s in (CREDIT, DEBIT)]
@@ -201,38 +198,35 @@ def test_order_and_copies_of_the_input_do_not_matter(data):
     _, (tx, rules, classifier) = data
     once = result_rows(classify(tx, rules, classifier, START, END))
     for strategy in ("literal", "join"):
-        twice = classify(
+        twice = classify_by(
+            strategy,
             tx.union(tx).orderBy(F.rand(1)).repartition(5),
             rules.union(rules).orderBy(F.rand(2)),
             classifier.union(classifier),
             START,
             END,
-            strategy=strategy,
         )
         assert result_rows(twice) == once
 
 
-def test_a_rule_with_a_stray_escape_is_left_out(spark):
+def test_rules_that_cannot_be_applied_are_named(spark):
     txs, rules, classifier = make_data(4, rules=3)
     base = dict(rules[0], id_pk=100, dt_tax_item="30000", end_date=None, start_date=None)
     base |= {c: "" for c in base if c.endswith("_list")}
-    bad = base | {"payment_purpose_pattern_list": "pay\\", "payment_purpose_rule": "INCLUDE"}
-    good = base | {"id_pk": 101, "payment_purpose_pattern_list": "pay%", "payment_purpose_rule": "INCLUDE"}
-    tx, rule_df, cls = frames(spark, txs, [bad, good], classifier)
-    expected = Counter(model.classify(txs, [good], classifier, START, END))
-    assert expected
-    for strategy in ("literal", "join", "per_rule"):
-        assert result_rows(classify(tx, rule_df, cls, START, END, strategy)) == expected
-
-
-def test_rule_sets_that_are_too_large_stay_out_of_the_driver(data, monkeypatch):
-    _, (tx, rules, classifier) = data
-    monkeypatch.setattr(application, "MOST_LITERAL_RULES", 3)
-    for strategy in ("literal", "per_rule"):
-        with pytest.raises(ValueError, match="more than 3 rules"):
-            classify(tx, rules, classifier, START, END, strategy)
-    with pytest.raises(ValueError, match="unknown strategy"):
-        classify(tx, rules, classifier, START, END, "other")
+    good = base | {"payment_purpose_pattern_list": "pay%", "payment_purpose_rule": "INCLUDE"}
+    bad = good | {"id_pk": 101, "payment_purpose_pattern_list": "pay\\"}
+    nameless = good | {"id_pk": None}
+    tx, rule_df, cls = frames(spark, txs, [bad, good, nameless], classifier)
+    found = {(r.rid, r.reason) for r in rejected_rules(rule_df).collect()}
+    assert found == {(101, "stray escape in purposes"), (None, "no id")}
+    for some, name in (([bad, good], "101"), ([nameless, good], "without id")):
+        _, rule_df, _ = frames(spark, [], some, [])
+        with pytest.raises(Exception, match=f"can't be applied.*{name}"):
+            classify(tx, rule_df, cls, START, END).collect()
+    _, rule_df, _ = frames(spark, [], [good], [])
+    assert result_rows(classify(tx, rule_df, cls, START, END)) == Counter(
+        model.classify(txs, [good], classifier, START, END)
+    )
 
 
 def test_an_item_of_the_other_side_may_win(spark):
@@ -253,6 +247,6 @@ def test_an_item_of_the_other_side_may_win(spark):
     both = blank | dates | {"id_pk": 2, "dt_tax_item": "42222", "kt_tax_item": "33333", "kt_tax_item_ofr_list": "C"}
     cls = [{"tax_item_ofr": "C", "tax_item_code": "33333", "actual_from": date(1990, 1, 1), "actual_to": None}]
     inputs = frames(spark, [tx], [forced, both], cls)
-    for strategy in ("literal", "join", "per_rule"):
-        rows = classify(*inputs, START, END, strategy).collect()
+    for strategy in STRATEGIES:
+        rows = classify_by(strategy, *inputs, START, END).collect()
         assert [(r.dt_tax_item_auto, r.kt_tax_item_auto) for r in rows] == [("42222", "33333")]

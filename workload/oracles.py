@@ -62,9 +62,6 @@ rules AS (
     DATE '1995-01-01', DATE '2001-12-31'
   FROM part GROUP BY p_type, p_brand)"""
 
-_TEMPLATE_RULES = """
-rules AS (SELECT * FROM templates_issued)"""
-
 # chr(1) stands for an escaped comma while a list is split.
 _HELD = "regexp_replace(replace(coalesce({c}, ''), '/,', chr(1)), ',+$', '')"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -221,7 +218,6 @@ _PAIRS = [*_RULES, _PAIRED]
 _MATCHES = [*_CHECKED, _PAIRED, _MATCHED]
 _TAGS = [*_MATCHES, _TAGGED]
 _RESULT = [*_TAGS, _RESOLVED]
-_TEMPLATE_RESULT = [s if s is not _ALL_RULES else _TEMPLATE_RULES for s in _RESULT]
 
 _MATCH = "SELECT id_pk, operation_date, rid FROM"
 _WINNER = (
@@ -356,7 +352,12 @@ FROM matched""",
     "consolidate": _with(_RESULT, _RESULT_ROWS),
     "classify_transactions": _with(_RESULT, _RESULT_ROWS),
     "classify_join": _with(_RESULT, _RESULT_ROWS),
-    "classify_literal": _with(_TEMPLATE_RESULT, _RESULT_ROWS),
+    "classify_literal": _with(_RESULT, _RESULT_ROWS),
+    "rejected_rules": _with(
+        _VIEWS,
+        """SELECT id_pk + 10000000 AS rid, 'stray escape in purposes' AS reason FROM rules
+UNION ALL SELECT CAST(NULL AS BIGINT), 'no id' FROM rules WHERE payment_purpose_pattern_list <> ''""",
+    ),
     "sink_partition_counts": _with(
         _RESULT, "SELECT input_dt, count(*) AS n FROM result GROUP BY input_dt"
     ),

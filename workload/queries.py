@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgertag import CREDIT, DEBIT, classify
-from ledgertag.functions.period import Period
+from ledgertag.functions.period import Period, within_days
 from ledgertag.operators import compile as rule_forms
 from ledgertag.operators import resolve, validate
 from ledgertag.operators.apply import apply_rules
@@ -19,6 +19,7 @@ from ledgertag.operators.tag import blank_tags, tag_sides, with_priorities
 from ledgertag.functions.tags import forced
 from ledgertag.sources.sinks import lookup
 from workload import tables
+from workload.strategies import classify_by
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,16 +79,9 @@ class Inputs:
     def tagged(self) -> DataFrame:
         return blank_tags(tag_sides(self.matches))
 
-    def classified(
-        self, strategy: str = "auto", per: tuple[str, ...] = tables.PER_PAIR
-    ) -> DataFrame:
+    def classified(self) -> DataFrame:
         return classify(
-            self.tx,
-            tables.rules(self.spark, self.sf_dir, per),
-            self.classifier,
-            tables.START,
-            tables.END,
-            strategy,
+            self.tx, self.rules, self.classifier, tables.START, tables.END
         ).select(*RESULT)
 
 
@@ -267,13 +261,18 @@ def match_all(i: Inputs) -> DataFrame:
 def match_window(i: Inputs) -> DataFrame:
     """Transactions per day on which a rule counts.
 
-    Both sides are brought down to days first, so that they meet by equality.
+    Days are moments at midnight, on which the operator's own condition is tested; the rules are brought to
+    the days they could cover first, so that both sides meet by equality.
     """
     day = F.to_date("operation_date").alias("op_day")
-    counts = i.in_period.groupBy(day).agg(F.count("*").alias("n"))
-    windows = rule_forms.rule_windows(i.rules, i.period).filter("lo <= hi")
-    days = windows.select("rid", F.explode(F.sequence("lo", "hi")).alias("op_day"))
-    return days.join(counts, "op_day").select("rid", "op_day", "n")
+    counts = i.tx.groupBy(day).agg(F.count("*").alias("n"))
+    windows = rule_forms.rule_windows(i.rules, i.period)
+    months = F.sequence(F.trunc("lo", "month"), F.col("hi"), F.expr("interval 1 month"))
+    near = windows.filter("lo <= hi").select("rid", "lo", "hi", F.explode(months).alias("month"))
+    dated = counts.withColumn("month", F.trunc("op_day", "month"))
+    moment = F.col("op_day").cast("timestamp")
+    met = near.join(dated, "month").filter(within_days(moment, F.col("lo"), F.col("hi")))
+    return met.select("rid", "op_day", "n")
 
 
 # --- application --------------------------------------------------------
@@ -301,7 +300,7 @@ def apply_rules_theta(i: Inputs) -> DataFrame:
 
 def _by_path(i: Inputs, chosen: Column) -> DataFrame:
     rules = with_path(i.applied).filter(chosen).drop("path", "keys")
-    return apply_rules(i.in_period, rules, "join").select(*MATCH)
+    return apply_rules(i.in_period, rules).select(*MATCH)
 
 
 @query
@@ -374,13 +373,25 @@ def classify_transactions(i: Inputs) -> DataFrame:
 
 @query
 def classify_join(i: Inputs) -> DataFrame:
-    return i.classified("join")
+    """As ``classify_transactions``: the join is the only way."""
+    return i.classified()
 
 
 @query
 def classify_literal(i: Inputs) -> DataFrame:
-    """Only the templates: literal predicates are meant for small rule sets."""
-    return i.classified("literal", ())
+    """All rules as literal predicates, the yardstick without a join."""
+    return classify_by(
+        "literal", i.tx, i.rules, i.classifier, tables.START, tables.END
+    ).select(*RESULT)
+
+
+@query
+def rejected_rules(i: Inputs) -> DataFrame:
+    """What can't be applied, among the rules, copies with a stray escape and copies without an id."""
+    list_ = "payment_purpose_pattern_list"
+    stray = i.rules.withColumns({"id_pk": F.col("id_pk") + 10_000_000, list_: F.concat(list_, F.lit("a\\b"))})
+    nameless = i.rules.filter(F.col(list_) != "").withColumn("id_pk", F.lit(None).cast("long"))
+    return rule_forms.rejected_rules(i.rules.unionByName(stray).unionByName(nameless))
 
 
 @query

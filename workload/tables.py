@@ -45,89 +45,46 @@ def _rule(
     return (rid, dt, kt, *codes, *accounts, *purposes, *dates, anchor)
 
 
-_RINGS = "red ring%, blue/, ring%, hot%"
-_PADDED = "40802810????????????"
-_BRANDS = "Brand#1%, Brand#2?"
-_FIRST = ("1996-06-01", "1998-12-31")
+_PADDED = "70606810????????????"
+_EARLY = ("1996-03-01", "1997-10-31")
 
 # The rule templates, the last field being the code they are issued for.
 TEMPLATES = [
-    _rule(1, "PROMO", "21495", codes=("PROMO", ""), purposes=("INCLUDE", _RINGS)),
-    _rule(
-        2,
-        "SMALL",
-        kt="30000",
-        codes=("", _BRANDS),
-        accounts=("EXCLUDE", _PADDED, "%1"),
-        purposes=("EXCLUDE", "%URGENT"),
-    ),
-    _rule(
-        3, "PROMO", "30000", codes=("PROMO", ""), purposes=("INCLUDE", "hot%, cold%")
-    ),
-    _rule(
-        4,
-        "LARGE",
-        "11311",
-        codes=("LARGE", ""),
-        purposes=("INCLUDE", "%2-HIGH, %5-LOW"),
-        dates=_FIRST,
-    ),
-    _rule(
-        5,
-        "LARGE",
-        "11311",
-        codes=("LARGE", ""),
-        purposes=("INCLUDE", "%2-HIGH, %5-LOW"),
-        dates=_FIRST,
-    ),
-    _rule(
-        6, "PROMO", kt="31495", codes=("PROMO", ""), purposes=("INCLUDE", "hot%")
-    ),
-    _rule(8, "LARGE", "11310", codes=("LARGE?", ""), purposes=("INCLUDE", "%")),
-    _rule(9, "SMALL", "11310", codes=("SMALL%", ""), purposes=("INCLUDE", "%")),
-    _rule(
-        10,
-        "LARGE",
-        "21495",
-        codes=("LARGE", ""),
-        purposes=("INCLUDE", "%2-HIGH, %3-MEDIUM"),
-    ),
-    _rule(
-        11,
-        "Brand#3",
-        kt="50000",
-        codes=("", "Brand#3"),
-        accounts=("INCLUDE", "", "70601%"),
-    ),
-    _rule(12, "STANDARD", "42222", "33333", codes=("STANDARD", "Brand#4")),
-    _rule(13, "STANDARD", "30000"),
-    _rule(
-        14,
-        "SMALL",
-        "30000",
-        purposes=("INCLUDE", "small%"),
-        dates=("1900-01-01", "9999-12-31"),
-    ),
-    _rule(15, "MEDIUM", "11500", codes=("MEDIUM", ""), purposes=("INCLUDE", "%")),
-    _rule(
-        16,
-        "PROMO",
-        "30000",
-        codes=("PROMO", ""),
-        purposes=("INCLUDE", "%"),
-        dates=("2030-01-01", "9999-12-31"),
-    ),
+    # Two sides, whole codes, and heads, tails and inner texts of purposes.
+    _rule(21, "PROMO", "24001", codes=("PROMO", ""), purposes=("INCLUDE", "blue%, red/, x%")),
+    _rule(22, "PROMO", kt="30000", codes=("PROMO", ""), purposes=("INCLUDE", "%gizmo%")),
+    _rule(23, "LARGE", "50000", purposes=("INCLUDE", "%HIGH, %NOT SPECIFIED")),
+    _rule(24, "SMALL", "50000", purposes=("INCLUDE", "%small%ring%")),
+    _rule(25, "STANDARD", "26004", "36004", codes=("STANDARD", "Brand#4")),
+    # Wildcards in codes, which no classifier row can agree with.
+    _rule(26, "SMALL", "30000", codes=("SMALL%", ""), purposes=("INCLUDE", "%")),
+    _rule(27, "LARGE", "24001", codes=("LARG?", "")),
+    _rule(28, "SMALL", kt="30000", codes=("", "Brand#1%, Brand#2?")),
+    # Excluding lists, alone and beside others.
+    _rule(29, "MEDIUM", "30000", purposes=("EXCLUDE", "%URGENT, hot%, cold%")),
+    _rule(30, "PROMO", kt="50000", accounts=("EXCLUDE", _PADDED, "%7")),
+    _rule(31, "LARGE", "27002", codes=("LARGE", ""), purposes=("EXCLUDE", "%5-LOW")),
+    # Accounts that must match.
+    _rule(32, "Brand#3", kt="50000", codes=("", "Brand#3"), accounts=("INCLUDE", "", "70601%")),
+    _rule(33, "STANDARD", "30000", accounts=("INCLUDE", _PADDED + ", %42", "")),
+    # Dates, a twin, a rule without conditions and one that is never in force.
+    _rule(34, "LARGE", "27002", codes=("LARGE", ""), purposes=("INCLUDE", "%2-HIGH"), dates=_EARLY),
+    _rule(35, "LARGE", "27002", codes=("LARGE", ""), purposes=("INCLUDE", "%2-HIGH"), dates=_EARLY),
+    _rule(36, "MEDIUM", "28005", codes=("MEDIUM", ""), purposes=("INCLUDE", "%")),
+    _rule(37, "MEDIUM", "30000"),
+    _rule(38, "PROMO", "30000", codes=("PROMO", ""), dates=("2031-01-01", "9999-12-31")),
+    _rule(39, "SMALL", "30000", purposes=("INCLUDE", "small%"), dates=("1900-01-01", "9999-12-31")),
 ]
 
 # Items of single codes, with the dates on which they hold.
 CODE_ITEMS = [
-    ("PROMO", "21495", "1990-01-01", None),
-    ("LARGE", "11311", "1990-01-01", "2030-01-01"),
-    ("LARGE", "21495", "1990-01-01", None),
-    ("SMALL", "11310", "1990-01-01", None),
-    ("STANDARD", "42222", "1990-01-01", None),
-    ("Brand#4", "33333", "1990-01-01", None),
-    ("MEDIUM", "11500", "1990-01-01", "1996-12-31"),
+    ("PROMO", "24001", "1991-01-01", None),
+    ("LARGE", "27002", "1991-01-01", "2031-01-01"),
+    ("LARGE", "24001", "1991-01-01", None),
+    ("SMALL", "25003", "1991-01-01", None),
+    ("STANDARD", "26004", "1991-01-01", None),
+    ("Brand#4", "36004", "1991-01-01", None),
+    ("MEDIUM", "28005", "1991-01-01", "1996-09-30"),
 ]
 
 # Ids of the rules per group of parts start here.
