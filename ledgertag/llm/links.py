@@ -445,7 +445,7 @@ def components(links: DataFrame) -> DataFrame:
     a node; both are grouped minima, which are combined before they are shuffled. Ends when no root has a link of its
     own and no id has two.
     """
-    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    edges = settled(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
