@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,29 +10,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgertag.operators.settle import settle, shared_folder
+
 
 def tasks(spark: SparkSession) -> int:
     """The number of partitions that the session deals shuffled rows out to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; in local mode one is made if it is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="ledgertag-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
-
-
 def settled(df: DataFrame) -> DataFrame:
     """``df`` as a checkpoint: same partitions and order, no lineage."""
-    folder = shared_folder(df.sparkSession)
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    return settle(df)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
