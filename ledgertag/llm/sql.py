@@ -18,4 +18,66 @@ WITH valid AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op6_topk": OP6_TOPK}
+OP9_JACCARD = """
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(list_transform(range(1, greatest(1, len(w) - 4) + 1),
+    lambda i: array_to_string(w[i : i + 4], ' '))) AS s
+  FROM worded WHERE len(w) > 0
+), shingled AS (
+  SELECT doc_id, hash(x) AS x FROM (SELECT doc_id, unnest(s) AS x FROM sets)
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingled a JOIN shingled b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b
+  WHERE 100 * n >= 80 * (len(p.s) + len(q.s) - n)
+), ways AS (
+  SELECT a AS u, b AS v FROM links UNION ALL SELECT b, a FROM links
+), reached(root, v) AS (
+  SELECT u, u FROM ways
+  UNION
+  SELECT root, ways.v FROM reached JOIN ways ON reached.v = ways.u
+), least AS (
+  SELECT v, min(root) AS root FROM reached GROUP BY v
+)
+SELECT doc_id, coalesce(len(s), 0)::BIGINT AS n_shingles, coalesce(root, doc_id) AS component_id
+FROM documents LEFT JOIN sets USING (doc_id) LEFT JOIN least ON v = doc_id
+"""
+
+# Every string of 100 bytes is looked at; bytes are pairs of hexadecimal digits.
+OP4_REPEATS = """
+WITH raw AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), sized AS (
+  SELECT doc_id, h, length(h) // 2 AS n FROM raw
+), windows AS (
+  SELECT doc_id, i, hash(substr(h, 2 * i + 1, 200)) AS x
+  FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM sized WHERE n >= 100)
+), again AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY x ORDER BY doc_id, i) > 1
+), numbered AS (
+  SELECT doc_id, i, count(*) FILTER (apart) OVER (PARTITION BY doc_id ORDER BY i) AS k
+  FROM (SELECT *, i - coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -1000) > 100 AS apart FROM again)
+), spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS z FROM numbered GROUP BY doc_id, k
+), ends AS (
+  SELECT doc_id, a, z FROM spans UNION ALL SELECT doc_id, n, n FROM sized
+), pieces AS (
+  SELECT doc_id, a, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a, z), 0) AS since FROM ends
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a, since) AS left_
+  FROM pieces JOIN sized USING (doc_id) GROUP BY doc_id
+), gone AS (
+  SELECT doc_id, sum(z - a) AS bytes, count(*) AS runs FROM spans GROUP BY doc_id
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(bytes, 0)::BIGINT AS n_removed,
+  coalesce(runs, 0)::BIGINT AS n_spans, sha256(unhex(left_)) AS kept_sha256
+FROM sized JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op4_repeats": OP4_REPEATS, "op6_topk": OP6_TOPK, "op9_jaccard": OP9_JACCARD}
