@@ -184,7 +184,7 @@ def dedup_lines(
 
     occurrences = written(rows.mapInArrow(occur, "doc long, tie int, place int, line long"), "lines")
     keyed = rows.mapInArrow(sketch, "id long, whole long, n int, keys binary")
-    roots = linked_components(keyed, fetch, shingles, block)
+    roots = linked_components(keyed, fetch, shingles, block, width=4)
     first = occurrences.groupBy("line").agg(
         F.min(F.struct("doc", "tie", "place")).alias("first"), F.count(F.lit(1)).alias("times")
     )

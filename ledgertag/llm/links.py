@@ -74,21 +74,21 @@ def _cells(keyed: DataFrame, parts: int, block: int) -> DataFrame:
 
     def deal(batches):
         for b in batches:
-            keys, bounds = utf8(b.column("keys"))
+            ids, n = (b.column(c).to_numpy(zero_copy_only=False) for c in ("id", "n"))
+            whole = b.column("whole").to_numpy(zero_copy_only=False).view(np.uint64)
+            order = np.lexsort((ids, whole))
+            order = order[np.diff(whole[order], prepend=~whole[order[:1]]) != 0]  # of equal sets the least id
+            keys, bounds = utf8(b.column("keys").take(pa.array(order)))
             count = np.diff(bounds) // 8
             r = np.empty(int(count.sum()), _KEY)
             r["key"] = np.frombuffer(keys.tobytes(), np.uint64)
-            for c in ("id", "whole", "n"):
-                v = b.column(c).to_numpy(zero_copy_only=False)
-                r[c] = np.repeat(v.view(np.uint64) if c == "whole" else v, count)
-            r = r[np.lexsort((r["id"], r["whole"], r["key"]))]
-            new = np.ones(len(r), bool)
-            new[1:] = (r["key"][1:] != r["key"][:-1]) | (r["whole"][1:] != r["whole"][:-1])
-            r = r[new]
-            to = (mixed(r["key"].copy()) % np.uint64(parts)).astype(np.int64)
+            for c, v in (("id", ids), ("whole", whole), ("n", n)):
+                r[c] = np.repeat(v[order], count)
+            to = (mixed(r["key"].copy()) % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.int64)
             order = np.argsort(to, kind="stable")
             cuts = np.searchsorted(to[order], np.arange(parts + 1))
-            some = [(k, r[order[x:z]].tobytes()) for k, (x, z) in enumerate(zip(cuts, cuts[1:], strict=False)) if z > x]
+            r = r[order]
+            some = [(k, r[x:z].tobytes()) for k, (x, z) in enumerate(zip(cuts, cuts[1:], strict=False)) if z > x]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in some], pa.int32()), pa.array([p for _, p in some], pa.binary())],
                 ["part", "payload"],
@@ -99,6 +99,12 @@ def _cells(keyed: DataFrame, parts: int, block: int) -> DataFrame:
         if not parts_:
             return
         r = np.concatenate(parts_)
+        keys = np.sort(r["key"])
+        often = np.unique(keys[1:][keys[1:] == keys[:-1]])  # most keys occur once
+        if not len(often):
+            return
+        at = np.searchsorted(often, r["key"])
+        r = r[often[np.minimum(at, len(often) - 1)] == r["key"]]
         r = r[np.lexsort((r["id"], r["whole"], r["key"]))]
         same = r["key"][1:] == r["key"][:-1]
         r = r[np.concatenate([[True], ~(same & (r["whole"][1:] == r["whole"][:-1]))])]
@@ -442,26 +448,29 @@ def components(links: DataFrame) -> DataFrame:
     """``id, root``: the smallest id of each component of the links (a, b), for ids that have links.
 
     Large-star and small-star steps: each joins neighbours to the least neighbour of
-    a node; both are grouped minima, which are combined before they are shuffled. Ends when no root has a link of its
-    own and no id has two.
+    a node; both are grouped minima, which are combined before they are shuffled. Ends when the links,
+    by number and hash, don't change any more.
     """
     edges = settled(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
+    state = None
     while True:
-        both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.inline(ways))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = settled(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = settled(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct())
-        nodes = edges.select("u", F.lit(1).alias("out"), F.lit(0).alias("into")).unionAll(
-            edges.select("v", F.lit(0), F.lit(1)).distinct()
-        )
-        if nodes.groupBy("u").agg(F.sum("out").alias("out"), F.sum("into").alias("into")).filter("out + into > 1").isEmpty():
+        # Each neighbour but the least is joined to it, and so is the node itself.
+        ends = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+        small = large.join(least, "u").select(ends.alias("u"), F.col("m").alias("v"))
+        edges = settled(small.distinct())
+        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if now == state:
             return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
+        state = now
 
 
 def linked_components(
-    keyed: DataFrame, fetch: Callable[[np.ndarray], DataFrame], tokens: Tokens, block: int = BLOCK
+    keyed: DataFrame, fetch: Callable[[np.ndarray], DataFrame], tokens: Tokens, block: int = BLOCK, width: int = 2
 ) -> DataFrame:
     """``id, root`` for every set that is linked with a different one; ``root`` is the least id.
 
@@ -469,6 +478,7 @@ def linked_components(
     cells shan't be cut by size) and packed 64-bit ``keys``. ``fetch`` gets a Bloom filter of ids
     and returns ``id, text`` of at least those. ``tokens`` makes sets of texts: sorted
     distinct hashes and bounds. Cells of more than ``block`` sets are cut into pairs of blocks.
+    Bitmaps have ``width`` to twice as many bits per member.
     """
     parts = tasks(keyed.sparkSession)
     cells = written(_cells(keyed, parts, block), "cells")
@@ -478,12 +488,15 @@ def linked_components(
     def by_cell(members: DataFrame) -> DataFrame:
         return members.repartition(parts, "cell").sortWithinPartitions("cell")
 
-    members = cells.join(signatures(items, tokens, 1), "id").select("cell", "id", "side", "n", "bits")
+    members = cells.join(signatures(items, tokens, width), "id").select("cell", "id", "side", "n", "bits")
     found = written(_forests(by_cell(members)), "pairs")
     checked = written(verify(found.select("a", "b").distinct(), items, tokens), "checked")
-    roots = components(checked.filter("linked"))
+    links = checked.filter("linked").select("a", "b")
+    # Who shares the least partner is connected; that is enough to leave out most pairs.
+    partner = links.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
+    partner = partner.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("a")).alias("label"))
     failed = found.join(checked.filter("NOT linked"), ["a", "b"], "left_semi")
-    members = cells.join(failed.select("cell").distinct(), "cell", "left_semi").join(roots, "id", "left")
-    members = members.join(items, "id").withColumn("label", F.coalesce("root", "id"))
+    members = cells.join(failed.select("cell").distinct(), "cell", "left_semi").join(partner, "id", "left")
+    members = members.join(items, "id").withColumn("label", F.coalesce("label", "id"))
     more = _exact(by_cell(members.select("cell", "id", "side", "label", "text")), tokens)
-    return components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionAll(more))
+    return components(links.unionAll(more))
