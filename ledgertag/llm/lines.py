@@ -196,10 +196,10 @@ def dedup_lines(
     stays = named.groupBy("group").agg(F.min("first").alias("stays"))
     many = named.join(stays, "group").select("line", "stays")
     gone = occurrences.join(many, "line").filter(F.struct("doc", "tie", "place") != F.col("stays"))
-    gone = gone.groupBy("doc", "tie").agg(F.collect_list("place").alias("_dl_gone"))
-    joined = keyed_docs.join(
-        gone, (F.col("_dl_doc") == F.col("doc")) & (F.col("_dl_tie") == F.col("tie")), "left"
-    ).drop("_dl_doc", "_dl_tie", "doc", "tie")
+    gone = gone.groupBy(F.col("doc").alias("_dl_doc"), F.col("tie").alias("_dl_tie")).agg(
+        F.collect_list("place").alias("_dl_gone")
+    )
+    joined = keyed_docs.join(gone, ["_dl_doc", "_dl_tie"], "left").drop("_dl_doc", "_dl_tie")
     names = [c for c in joined.columns if c != "_dl_gone"]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields if f.name != "_dl_gone")
 

@@ -7,7 +7,7 @@ from ledgertag.llm.common import utf8
 from ledgertag.llm.lines import CHARS, dedup_lines, shingles, trimmed_lines
 from tests.llm import brute
 
-SCHEMA = "doc_id long, text string, n_lines string, line string, id int"
+SCHEMA = "doc_id long, text string, n_lines string, doc string, tie int"
 
 
 def plain(rows):
@@ -39,7 +39,7 @@ def plain(rows):
 def run(spark, rows, parts=5):
     df = spark.createDataFrame([(i, t, "n", "l", 1) for i, t in rows], SCHEMA).repartition(parts)
     got = dedup_lines(df)
-    assert got.columns == ["doc_id", "text", "line", "id", "n_lines", "n_removed"]
+    assert got.columns == ["doc_id", "text", "doc", "tie", "n_lines", "n_removed"]
     return {r["doc_id"]: (r["text"], r["n_removed"]) for r in got.collect()}
 
 
