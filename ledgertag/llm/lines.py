@@ -95,11 +95,13 @@ def band_keys(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """The hashes of each line's bands: one row of ``BANDS`` per line."""
     slots, n = BANDS * ROWS, len(bounds) - 1
     empty = np.uint32(0xFFFFFFFF)
-    least = np.full(n * slots, empty, np.uint32)
-    slot = ((hashes >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
-    slot += np.repeat(np.arange(n) * slots, np.diff(bounds))
-    np.minimum.at(least, slot, (hashes & np.uint64(0x7FFFFFFF)).astype(np.uint32))
-    least = least.reshape(n, slots)
+    wide = 1 << (slots - 1).bit_length()  # the upper bits of a hash name its slot, of which the first count
+    least = np.full(n * wide, empty, np.uint32)
+    halves = hashes.view("<u4")
+    slot = (halves[1::2] >> np.uint32(33 - wide.bit_length())).astype(np.int64)
+    slot += np.repeat(np.arange(n) * wide, np.diff(bounds))
+    np.minimum.at(least, slot, halves[0::2] >> np.uint32(1))
+    least = least.reshape(n, wide)[:, :slots].copy()
     full = least != empty
     full[~full.any(axis=1)] = True  # no shingles at all
     own = least.copy()
@@ -199,7 +201,8 @@ def dedup_lines(
     gone = gone.groupBy(F.col("doc").alias("_dl_doc"), F.col("tie").alias("_dl_tie")).agg(
         F.collect_list("place").alias("_dl_gone")
     )
-    joined = keyed_docs.join(gone, ["_dl_doc", "_dl_tie"], "left").drop("_dl_doc", "_dl_tie")
+    # Hashing the places instead of sorting the texts.
+    joined = keyed_docs.join(gone.hint("shuffle_hash"), ["_dl_doc", "_dl_tie"], "left").drop("_dl_doc", "_dl_tie")
     names = [c for c in joined.columns if c != "_dl_gone"]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields if f.name != "_dl_gone")
 

@@ -99,12 +99,12 @@ def _cells(keyed: DataFrame, parts: int, block: int) -> DataFrame:
         if not parts_:
             return
         r = np.concatenate(parts_)
-        keys = np.sort(r["key"])
-        often = np.unique(keys[1:][keys[1:] == keys[:-1]])  # most keys occur once
-        if not len(often):
+        order = np.argsort(r["key"])
+        twice = np.diff(r["key"][order]) == 0
+        often = np.concatenate([twice, [False]]) | np.concatenate([[False], twice])
+        r = r[order[often]]  # most keys occur once
+        if not len(r):
             return
-        at = np.searchsorted(often, r["key"])
-        r = r[often[np.minimum(at, len(often) - 1)] == r["key"]]
         r = r[np.lexsort((r["id"], r["whole"], r["key"]))]
         same = r["key"][1:] == r["key"][:-1]
         r = r[np.concatenate([[True], ~(same & (r["whole"][1:] == r["whole"][:-1]))])]
@@ -339,17 +339,15 @@ def _exact(members: DataFrame, tokens: Tokens) -> DataFrame:
             # A label that spans cells doesn't tie them together here.
             _, own = np.unique(np.stack([cell, label]), axis=1, return_inverse=True)
             own, found = own.reshape(-1), []
-            while True:
+            for last in (False, False, True):  # forests first, as they connect most; then whatever is still apart
                 apart = own[i] != own[j]
                 i, j = i[apart], j[apart]
-                if not len(i):
-                    break
-                pick = spanning_forest(i, j, own)
-                linked = np.array([_similar(h[bounds[x] : bounds[x + 1]], h[bounds[y] : bounds[y + 1]]) for x, y in zip(i[pick], j[pick], strict=True)])
-                for k in pick[linked]:
-                    found.append((ids[i[k]], ids[j[k]]))
-                    low, high = sorted((own[i[k]], own[j[k]]))
-                    own[own == high] = low
+                pick = np.arange(len(i)) if last else spanning_forest(i, j, own)
+                for x, y in zip(i[pick].tolist(), j[pick].tolist(), strict=True):
+                    if own[x] != own[y] and _similar(h[bounds[x] : bounds[x + 1]], h[bounds[y] : bounds[y + 1]]):
+                        found.append((ids[x], ids[y]))
+                        low, high = sorted((own[x], own[y]))
+                        own[own == high] = low
                 i, j = np.delete(i, pick), np.delete(j, pick)
             a, b = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else (ids[:0], ids[:0])
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
