@@ -23,8 +23,8 @@ from ledgertag.config import DEFAULT, Layout
 from ledgertag.functions.masks import is_literal, literal_prefix, literal_suffix, shape_masks
 from ledgertag.operators.compile import CODE_LISTS, MASK_LISTS
 
-# Widths of keys: all up to 16, then eight to each doubling.
-WIDTHS = sorted({*range(1, 17), *(n << k for n in range(8, 17) for k in range(1, 9))})
+# Keys have at most so many characters.
+WIDEST = 4096
 # Paths are numbered _STEP * (2 * list + from the end) + width; width 0 stands for whole values.
 _STEP = 100_000
 EVERY = -1
@@ -76,9 +76,8 @@ def _option(i: int, name: str, positive: Column, ending: bool) -> Column:
     whole = F.forall(masks, is_literal)
     part = literal_suffix if ending else literal_prefix
     fixed = F.array_min(F.transform(masks, lambda m: F.length(part(m))))
-    widths = F.array(F.lit(0), *[F.lit(w) for w in WIDTHS])
-    width = F.when(whole, 0).otherwise(F.array_max(F.filter(widths, lambda w: w <= fixed)))
-    score = F.when(whole, WIDTHS[-1] + 1).otherwise(width)
+    width = F.when(whole, 0).otherwise(_rounded(F.least(fixed, F.lit(WIDEST))))
+    score = F.when(whole, WIDEST + 1).otherwise(width)
 
     def key(m: Column) -> Column:
         return F.right(m, width) if ending else F.substring(m, F.lit(1), width)
@@ -95,6 +94,12 @@ def _option(i: int, name: str, positive: Column, ending: bool) -> Column:
     )
 
 
+def _rounded(width: Column) -> Column:
+    """A width without its binary digits beyond the first four: eight widths to each doubling."""
+    beyond = F.greatest(F.lit(0), F.length(F.bin(width)) - 4)
+    return F.call_function("shiftleft", F.call_function("shiftright", width, beyond), beyond)
+
+
 def _pair_option() -> Column:
     dt, kt = F.col("dt_codes"), F.col("kt_codes")
     count = F.size(dt) * F.size(kt)
@@ -106,7 +111,7 @@ def _pair_option() -> Column:
         & F.forall(dt, is_literal)
         & F.forall(kt, is_literal),
         F.struct(
-            F.lit(WIDTHS[-1] + 2).alias("score"),
+            F.lit(WIDEST + 2).alias("score"),
             F.lit(0).alias("turn"),
             F.lit(PAIR).alias("path"),
             F.array_distinct(keys).alias("keys"),
