@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from ledgertag.operators.settle import settle, shared_folder
 
 
+#: Bytes of text that are worked on at a time, so that temporary arrays stay small.
+SLICE = 1 << 20
+
+
 def tasks(spark: SparkSession) -> int:
     """The number of partitions that the session deals shuffled rows out to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgertag.llm.common import mixed, slices, text_of, utf8
+from ledgertag.llm.common import SLICE, mixed, slices, text_of, utf8
 from ledgertag.llm.neighbours import OWN, in_runs
 
 #: Levels whose names are sampled: phrases of some 9, 30 and 90 bytes.
@@ -149,7 +149,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def run(batches):
         for b in batches:
             raw, bounds = utf8(b.column("_text"))
-            for a, z in slices(bounds, 1 << 20):
+            for a, z in slices(bounds, SLICE):
                 found = samples(raw[bounds[a] : bounds[z]], bounds[a : z + 1] - bounds[a])
                 yield pa.RecordBatch.from_arrays(
                     [b.column("_id").slice(a, z - a), pa.array([as_string(s) for s in found])], ["_id", "fingerprint"]
@@ -203,7 +203,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 done = True
             a = int(keep[0])
             ends = bounds[a : int(keep[-1]) + 2]
-            for s, z in slices(ends, 1 << 20):
+            for s, z in slices(ends, SLICE):
                 part, own = raw[ends[s] : ends[z]], ends[s : z + 1] - ends[s]
                 texts = [part[own[i] : own[i + 1]].tobytes() for i in range(z - s)]
                 found = samples(part, own)

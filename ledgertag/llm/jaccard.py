@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgertag.llm.common import mixed, slices, text_of, utf8, written
-from ledgertag.llm.links import BLOCK, distinct_sorted, linked_components, may_hold, whole_hash
+from ledgertag.llm.common import SLICE, mixed, slices, tasks, text_of, utf8, written
+from ledgertag.llm.links import BLOCK, DEALT, dealt, distinct_sorted, linked_components, may_hold, whole_hash
 
 WORDS = 5
 MOST_KEYS = 16
@@ -110,7 +110,7 @@ def similar_documents(
     def sketch(batches):
         for b in batches:
             raw, bounds = utf8(b.column("text"))
-            for x, z in slices(bounds, 1 << 21):
+            for x, z in slices(bounds, SLICE):
                 h, own = shingles(raw[bounds[x] : bounds[z]], bounds[x : z + 1] - bounds[x])
                 keys = [keys_of(h[p:q]) for p, q in zip(own, own[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
@@ -133,7 +133,15 @@ def similar_documents(
 
     keyed = written(rows.mapInArrow(sketch, "id long, whole long, n int, keys binary"), "keyed")
     linked = keyed.filter("id IS NOT NULL AND n > 0")
-    roots = linked_components(linked, fetch, shingles, block)
+    parts = tasks(docs.sparkSession)
+
+    def deal(batches):
+        for b in batches:
+            ids, whole, n = (b.column(c).to_numpy(zero_copy_only=False) for c in ("id", "whole", "n"))
+            keys = [np.frombuffer(k, np.uint64) for k in b.column("keys").to_pylist()]
+            yield dealt(ids, whole.view(np.uint64), n, keys, parts)
+
+    roots = linked_components(linked.mapInArrow(deal, DEALT), fetch, shingles, block)
     # Equal sets are told by their hash and size; only the least id of each went on.
     equal = linked.groupBy("whole", "n").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("c"))
     equal = equal.filter("c > 1").select("whole", "n", "least")

@@ -15,8 +15,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgertag.llm.common import mixed, settled, slices, text_of, utf8, written
-from ledgertag.llm.links import BLOCK, distinct_sorted, linked_components, may_hold
+from ledgertag.llm.common import SLICE, mixed, settled, slices, tasks, text_of, utf8, written
+from ledgertag.llm.links import BLOCK, DEALT, dealt, distinct_sorted, linked_components, may_hold
 
 CHARS = 8
 #: At similarity 0.8 a pair shares no band with a chance of (1 - 0.8 ** 4) ** 14 = 0.0006.
@@ -135,7 +135,7 @@ def dedup_lines(
     gives an empty result. Other columns are returned as they are; columns named
     ``n_lines`` or ``n_removed`` are replaced.
     """
-    text = text_of(text_col)
+    text, parts = text_of(text_col), tasks(docs.sparkSession)
     keyed_docs = docs.drop("n_lines", "n_removed").withColumns(
         {"_dl_doc": F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))), "_dl_tie": F.hash(text)}
     )
@@ -145,7 +145,7 @@ def dedup_lines(
         """Some rows and their lines' row, place, bytes and name, a few MB of text at a time."""
         for b in batches:
             raw, bounds = utf8(b.column("text"))
-            for x, z in slices(bounds, 1 << 21):
+            for x, z in slices(bounds, SLICE):
                 own = bounds[x : z + 1]
                 texts = [raw[p:q].tobytes() for p, q in zip(own, own[1:], strict=False)]
                 yield b.slice(x, z - x), *trimmed_lines(texts)
@@ -167,12 +167,8 @@ def dedup_lines(
             _, once = np.unique(name, return_index=True)
             once = np.array([k for k in once if len(lines[k]) >= SHORTEST], np.int64)
             keys = band_keys(*shingle_hashes(*joined_bytes([lines[k] for k in once])))
-            ids = name[once].view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array(ids), pa.array(np.zeros(len(ids), np.int32)),
-                 pa.array([k.tobytes() for k in keys], pa.binary())],
-                ["id", "whole", "n", "keys"],
-            )
+            name = name[once]
+            yield dealt(name.view(np.int64), name, np.zeros(len(name), np.int32), list(keys), parts)
 
     def fetch(wanted):
         def some(batches):
@@ -185,8 +181,7 @@ def dedup_lines(
         return rows.select("_dl_doc", "_dl_tie", "text").mapInArrow(some, "id long, text binary").dropDuplicates(["id"])
 
     occurrences = written(rows.mapInArrow(occur, "doc long, tie int, place int, line long"), "lines")
-    keyed = rows.mapInArrow(sketch, "id long, whole long, n int, keys binary")
-    roots = linked_components(keyed, fetch, shingles, block, width=4)
+    roots = linked_components(rows.mapInArrow(sketch, DEALT), fetch, shingles, block, width=4)
     first = occurrences.groupBy("line").agg(
         F.min(F.struct("doc", "tie", "place")).alias("first"), F.count(F.lit(1)).alias("times")
     )

@@ -19,9 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgertag.llm.common import mixed, settled, slices, tasks, utf8, written
+from ledgertag.llm.common import SLICE, mixed, settled, slices, tasks, utf8, written
 
-KEYED = "id long, whole long, n int, keys binary"
+DEALT = "part int, payload binary"
 #: Cells of more members are cut into blocks of so many, in order of size.
 BLOCK = 512
 LEAF = 16
@@ -64,35 +64,35 @@ def whole_hash(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mixed(sums[bounds[1:]] - sums[bounds[:-1]] + np.diff(bounds).astype(np.uint64))
 
 
-def _cells(keyed: DataFrame, parts: int, block: int) -> DataFrame:
-    """``cell, id, side``: the members of every cell that holds two different sets.
+def dealt(ids: np.ndarray, whole: np.ndarray, n: np.ndarray, keys: list[np.ndarray], parts: int) -> pa.RecordBatch:
+    """The keys (64-bit hashes) of some sets, packed for the partitions in which equal keys meet.
 
-    Keys travel packed, and of equal sets in a batch only the first. A large cell becomes cells of
-    pairs of blocks, whose first block has side 0 and second block side 1; pairs of blocks
-    whose sizes are too far apart are left out.
+    ``whole`` are hashes of the sets; of equal ones only the least id goes on. ``n`` are their sizes, or 0.
     """
+    order = np.lexsort((ids, whole))
+    order = order[np.diff(whole[order], prepend=~whole[order[:1]]) != 0]
+    count = np.array([len(keys[k]) for k in order], np.int64)
+    r = np.empty(int(count.sum()), _KEY)
+    if len(r):
+        r["key"] = np.concatenate([keys[k] for k in order])
+    for c, v in (("id", ids), ("whole", whole), ("n", n)):
+        r[c] = np.repeat(v[order], count)
+    to = (mixed(r["key"].copy()) % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.int64)
+    order = np.argsort(to, kind="stable")
+    cuts = np.searchsorted(to[order], np.arange(parts + 1))
+    r = r[order]
+    some = [(k, r[x:z].tobytes()) for k, (x, z) in enumerate(zip(cuts, cuts[1:], strict=False)) if z > x]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([k for k, _ in some], pa.int32()), pa.array([p for _, p in some], pa.binary())], ["part", "payload"]
+    )
 
-    def deal(batches):
-        for b in batches:
-            ids, n = (b.column(c).to_numpy(zero_copy_only=False) for c in ("id", "n"))
-            whole = b.column("whole").to_numpy(zero_copy_only=False).view(np.uint64)
-            order = np.lexsort((ids, whole))
-            order = order[np.diff(whole[order], prepend=~whole[order[:1]]) != 0]  # of equal sets the least id
-            keys, bounds = utf8(b.column("keys").take(pa.array(order)))
-            count = np.diff(bounds) // 8
-            r = np.empty(int(count.sum()), _KEY)
-            r["key"] = np.frombuffer(keys.tobytes(), np.uint64)
-            for c, v in (("id", ids), ("whole", whole), ("n", n)):
-                r[c] = np.repeat(v[order], count)
-            to = (mixed(r["key"].copy()) % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.int64)
-            order = np.argsort(to, kind="stable")
-            cuts = np.searchsorted(to[order], np.arange(parts + 1))
-            r = r[order]
-            some = [(k, r[x:z].tobytes()) for k, (x, z) in enumerate(zip(cuts, cuts[1:], strict=False)) if z > x]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in some], pa.int32()), pa.array([p for _, p in some], pa.binary())],
-                ["part", "payload"],
-            )
+
+def _cells(payloads: DataFrame, parts: int, block: int) -> DataFrame:
+    """``cell, id, side``: the members of every cell that holds two different sets.
+
+    A large cell becomes cells of pairs of blocks, whose first block has side 0 and second
+    block side 1; pairs of blocks whose sizes are too far apart are left out.
+    """
 
     def meet(batches):
         parts_ = [np.frombuffer(p, _KEY) for b in batches for p in b.column("payload").to_pylist()]
@@ -126,12 +126,7 @@ def _cells(keyed: DataFrame, parts: int, block: int) -> DataFrame:
                     if j > i:
                         yield _members(np.repeat(cell, len(q)), q["id"], 1)
 
-    return (
-        keyed.select("id", "whole", "n", "keys")
-        .mapInArrow(deal, "part int, payload binary")
-        .repartitionById(parts, "part")
-        .mapInArrow(meet, "cell long, id long, side int")
-    )
+    return payloads.repartitionById(parts, "part").mapInArrow(meet, "cell long, id long, side int")
 
 
 def _members(cell: np.ndarray, ids: np.ndarray, side: int) -> pa.RecordBatch:
@@ -328,7 +323,7 @@ def _exact(members: DataFrame, tokens: Tokens) -> DataFrame:
     """
 
     def run(batches):
-        for t in _whole_cells(batches, 1 << 24):
+        for t in _whole_cells(batches, 4 * SLICE):
             ids, cell, label = (t[c].to_numpy() for c in ("id", "cell", "label"))
             h, bounds = _all_tokens(t["text"], tokens)
             sizes = np.diff(bounds)
@@ -357,7 +352,7 @@ def _exact(members: DataFrame, tokens: Tokens) -> DataFrame:
 
 def _all_tokens(texts, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
     raw, bounds = utf8(texts)
-    parts = [tokens(raw[bounds[x] : bounds[z]], bounds[x : z + 1] - bounds[x]) for x, z in slices(bounds, 1 << 21)]
+    parts = [tokens(raw[bounds[x] : bounds[z]], bounds[x : z + 1] - bounds[x]) for x, z in slices(bounds, SLICE)]
     return np.concatenate([h for h, _ in parts]), np.concatenate([[0], np.cumsum(np.concatenate([np.diff(e) for _, e in parts]))])
 
 
@@ -407,7 +402,7 @@ def signatures(items: DataFrame, tokens: Tokens, width: int) -> DataFrame:
     def run(batches):
         for b in batches:
             raw, bounds = utf8(b.column("text"))
-            for x, z in slices(bounds, 1 << 21):
+            for x, z in slices(bounds, SLICE):
                 h, own = tokens(raw[bounds[x] : bounds[z]], bounds[x : z + 1] - bounds[x])
                 bits = [bitmap(h[p:q], width) for p, q in zip(own, own[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
@@ -425,7 +420,7 @@ def verify(pairs: DataFrame, items: DataFrame, tokens: Tokens) -> DataFrame:
         for b in batches:
             raw_a, bounds_a = utf8(b.column("text_a"))
             raw_b, bounds_b = utf8(b.column("text_b"))
-            for x, z in slices(bounds_a + bounds_b, 1 << 21):
+            for x, z in slices(bounds_a + bounds_b, SLICE):
                 sets = []
                 for raw, bounds in ((raw_a, bounds_a), (raw_b, bounds_b)):
                     own = bounds[x : z + 1] - bounds[x]
@@ -468,18 +463,18 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def linked_components(
-    keyed: DataFrame, fetch: Callable[[np.ndarray], DataFrame], tokens: Tokens, block: int = BLOCK, width: int = 2
+    payloads: DataFrame, fetch: Callable[[np.ndarray], DataFrame], tokens: Tokens, block: int = BLOCK, width: int = 2
 ) -> DataFrame:
     """``id, root`` for every set that is linked with a different one; ``root`` is the least id.
 
-    ``keyed`` has a row per set: ``id``, a hash of the ``whole`` set, its size ``n`` (or 0, if large
-    cells shan't be cut by size) and packed 64-bit ``keys``. ``fetch`` gets a Bloom filter of ids
+    ``payloads`` are what ``dealt`` makes of the sets' keys, for as many parts as the session has
+    shuffle partitions; sizes of 0 keep large cells from being cut by size. ``fetch`` gets a Bloom filter of ids
     and returns ``id, text`` of at least those. ``tokens`` makes sets of texts: sorted
     distinct hashes and bounds. Cells of more than ``block`` sets are cut into pairs of blocks.
     Bitmaps have ``width`` to twice as many bits per member.
     """
-    parts = tasks(keyed.sparkSession)
-    cells = written(_cells(keyed, parts, block), "cells")
+    parts = tasks(payloads.sparkSession)
+    cells = written(_cells(payloads, parts, block), "cells")
     ids = cells.select("id").distinct()
     items = written(fetch(id_filter(ids)).join(ids, "id", "left_semi"), "items")
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgertag.llm.common import mixed, slices, text_of, utf8
+from ledgertag.llm.common import SLICE, mixed, slices, text_of, utf8
 
 GOOD, BAD, ABSTAIN, UNASKED = 1, 0, -1, -2
 
@@ -229,7 +229,7 @@ def _walk(batches):
     """Some rows, the bytes of their texts, the texts' bounds and measures, a few MB of text at a time."""
     for b in batches:
         raw, bounds = utf8(b.column("_text"))
-        for a, z in slices(bounds, 1 << 21):
+        for a, z in slices(bounds, SLICE):
             part, own = raw[bounds[a] : bounds[z]], bounds[a : z + 1] - bounds[a]
             some = b.slice(a, z - a)
             yield some, part, own, measures(some.column("_text").to_pylist(), part, own)

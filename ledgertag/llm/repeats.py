@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgertag.llm.common import mixed, slices, tasks, text_of, utf8, written
+from ledgertag.llm.common import SLICE, mixed, slices, tasks, text_of, utf8, written
 
 LENGTH = 100
 GRAM = 32
@@ -159,7 +159,7 @@ def sampled(docs: DataFrame, parts: int) -> DataFrame:
             doc = b.column("_doc").to_numpy(zero_copy_only=False)
             tie = b.column("_tie").to_numpy(zero_copy_only=False)
             some = []
-            for x, z in slices(bounds, 1 << 21):
+            for x, z in slices(bounds, SLICE):
                 own = bounds[x : z + 1] - bounds[x]
                 a, first, last, key, around = anchors(raw[bounds[x] : bounds[z]], own)
                 r = np.empty(len(a), RECORD)
