@@ -4,9 +4,10 @@ Pages of a host are put in order of their URL's path, and each page is paired wi
 the neighbour whose path shares the longer head with its own. Both are cut into
 lines (one per block of text), the lines are aligned by a longest common
 subsequence, and shared lines are deleted, as templates repeat from page to
-page and articles don't. An exact check by the page's own structure follows: a shared
-line that stands in the article is put back, and what a page marks as menu, header,
-footer, sidebar, notice, advert, form or comment goes, shared or not.
+page and articles don't. A check by the page's own structure follows, line by line: a shared
+line that stands in what the page marks as its article is put back, and what a page marks as menu, header,
+footer, sidebar, notice, advert, form or comment goes, shared or not. All other lines are
+left to differencing, on pages with a marked article too.
 """
 
 from __future__ import annotations
@@ -174,18 +175,13 @@ def shared_lines(a: list[str], b: list[str]) -> list[bool]:
 
 def main_text(lines: list[tuple[str, int]], partner: list[tuple[str, int]] | None) -> str:
     """The lines that are left after differencing and the check by structure."""
-    shared = shared_lines([x for x, _ in lines], [x for x, _ in partner]) if partner else [False] * len(lines)
-    has_main = any(kind == MAIN for _, kind in lines)
-    kept = []
-    for (line, kind), template in zip(lines, shared, strict=True):
-        left = not template
-        if kind == MAIN:
-            left = True
-        elif kind == CHROME or has_main:
-            left = False
-        if left:
-            kept.append(line)
-    return "\n".join(kept)
+    if partner:
+        gone = shared_lines([x for x, _ in lines], [x for x, _ in partner])
+    else:  # nothing to compare with: what stands outside a marked article isn't the article
+        gone = [any(kind == MAIN for _, kind in lines)] * len(lines)
+    return "\n".join(
+        line for (line, kind), out in zip(lines, gone, strict=True) if kind == MAIN or (kind == PLAIN and not out)
+    )
 
 
 def _common(a: str, b: str) -> int:

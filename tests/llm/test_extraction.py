@@ -71,3 +71,15 @@ def test_differencing_finds_unmarked_templates(spark):
 def test_very_long_page():
     page = "<article>" + "<p>word " * 20000 + "</article>"
     assert main_text(lines_of(page), lines_of(page)).count("\n") == 19999
+
+
+def test_differencing_decides_on_pages_with_an_article(spark):
+    def page(i):
+        return (
+            f"<div>Home</div><h1>Title {i}</h1><article><p>story {i}</p><p>quoted</p></article>"
+            f"<nav>menu {i}</nav><div>All rights kept</div>"
+        )
+
+    rows = [(i, f"http://h.example/a/{i}", page(i), "t", "h") for i in range(20)]
+    got = {r["page_id"]: r["text"] for r in extract_pages(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert got == {i: f"Title {i}\nstory {i}\nquoted" for i in range(20)}
