@@ -14,6 +14,7 @@ from __future__ import annotations
 import heapq
 import math
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -22,40 +23,52 @@ from pyspark.sql import functions as F
 
 from ledgertag.llm.common import positions, settled, tasks, text_of
 
-#: Slots in a period, so weights are rounded to thousandths.
-PERIOD = 1000
-#: The schedule of all phases is sent to the tasks, so the number of sources is bounded.
+#: There are as many phases as sources, so the number of sources is bounded.
 MOST_SOURCES = 256
 
 
-def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
+def exact(weights: dict[str, float]) -> dict[str, int]:
+    """The least whole numbers in the very proportion of the weights."""
+    ratios = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*(x.denominator for x in ratios.values()))
+    whole = {s: int(x * scale) for s, x in ratios.items()}
+    common = math.gcd(*whole.values())
+    return {s: x // common for s, x in whole.items()}
+
+
+def shares(weights: dict[str, float], period: int) -> dict[str, int]:
     """Whole shares of a period, at least 1 each, that sum up to it (largest remainders)."""
     total = sum(weights.values())
-    exact = {s: w / total * period for s, w in weights.items()}
-    out = {s: max(1, math.floor(x)) for s, x in exact.items()}
-    by_need = sorted(exact, key=lambda s: (out[s] - exact[s], s))
+    wanted = {s: w / total * period for s, w in weights.items()}
+    out = {s: max(1, math.floor(x)) for s, x in wanted.items()}
+    by_need = sorted(wanted, key=lambda s: (out[s] - wanted[s], s))
     while (left := period - sum(out.values())) > 0:
         for s in by_need[:left]:
             out[s] += 1
     while sum(out.values()) > period:
-        s = max((s for s in out if out[s] > 1), key=lambda s: (out[s] - exact[s], s))
+        s = max((s for s in out if out[s] > 1), key=lambda s: (out[s] - wanted[s], s))
         out[s] -= 1
     return out
 
 
-def schedule(parts: dict[str, int]) -> list[str]:
-    """The sources of one period's slots: released blocks by earliest deadline, then by name."""
+def schedule(parts: dict[str, int], blocks: dict[str, int] | None = None) -> list[str]:
+    """The sources of one period's slots: released blocks by earliest deadline, then by name.
+
+    With ``blocks``, it ends before the first slot whose source has none left.
+    """
     period = sum(parts.values())
     waiting: list[tuple[int, str, int]] = []  # by release
     due: list[tuple[int, str, int]] = []  # by deadline
     for s in parts:
         heapq.heappush(waiting, (0, s, 0))
-    slots = []
-    for t in range(period):
-        while waiting and waiting[0][0] <= t:
+    slots: list[str] = []
+    while len(slots) < period:
+        while waiting and waiting[0][0] <= len(slots):
             _, s, j = heapq.heappop(waiting)
             heapq.heappush(due, (-(-(j + 1) * period // parts[s]), s, j))
         _, s, j = heapq.heappop(due)
+        if blocks is not None and j >= blocks[s]:
+            break
         slots.append(s)
         if j + 1 < parts[s]:
             heapq.heappush(waiting, ((j + 1) * period // parts[s], s, j + 1))
@@ -65,7 +78,7 @@ def schedule(parts: dict[str, int]) -> list[str]:
 @dataclass
 class Phase:
     """A stretch of slots with the same sources: first slot, slots, shares, and per source the
-    first block and the places of its blocks in a period."""
+    first block and the places of its blocks in a period, or in the phase if that is shorter."""
 
     start: int
     slots: int
@@ -74,19 +87,26 @@ class Phase:
     places: dict[str, np.ndarray]
 
 
-def phases(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> list[Phase]:
-    """The phases in which sources with so many blocks run out."""
+def phases(blocks: dict[str, int], weights: dict[str, float], period: int | None = None) -> list[Phase]:
+    """The phases in which sources with so many blocks run out.
+
+    With a ``period``, weights are rounded to whole shares of it.
+    """
     left, out, start = {s: n for s, n in blocks.items() if n}, [], 0
     while left:
-        parts = shares({s: weights[s] for s in left}, max(period, len(left)))
-        order = schedule(parts)
-        places = {s: np.flatnonzero(np.array([x == s for x in order])) for s in left}
-        whole = min(left[s] // parts[s] for s in left)
-        rest = {s: left[s] - whole * parts[s] for s in left}
+        some = {s: weights[s] for s in left}
+        parts = shares(some, max(period, len(left))) if period else exact(some)
+        order = schedule(parts, left)
+        number = {s: k for k, s in enumerate(left)}
+        codes = np.fromiter((number[s] for s in order), np.int16, len(order))
+        bounds = np.cumsum(np.bincount(codes, minlength=len(left)))[:-1]
+        places = dict(zip(left, np.split(np.argsort(codes, kind="stable"), bounds), strict=True))
         # The phase ends at the first slot whose source has no block left.
-        extra = min(
-            (int(places[s][rest[s]]) for s in left if rest[s] < parts[s]), default=0
-        )
+        whole, extra = 0, len(order)
+        if len(order) == sum(parts.values()):
+            whole = min(left[s] // parts[s] for s in left)
+            rest = {s: left[s] - whole * parts[s] for s in left}
+            extra = min((int(places[s][rest[s]]) for s in left if rest[s] < parts[s]), default=0)
         slots = whole * len(order) + extra
         first = {s: blocks[s] - left[s] for s in left}
         out.append(Phase(start, slots, parts, first, places))
@@ -112,7 +132,7 @@ def place_rows(
     ``weights`` are by source and must be positive; sources that it lacks raise an error. Without it, a source's weight is
     its number of rows to the power ``temperature``. Rows of a source come in order of
     id (nulls first, then a hash of the text), which also numbers its blocks of ``block_rows`` rows; the last one may be smaller. A null source counts
-    as the source named "". Repeated rows are rows like any other. An
+    as the source named "". ``share`` is the source's weight as a part of the weights of its phase. Repeated rows are rows like any other. An
     empty table gives an empty result; other columns are ignored. More than ``MOST_SOURCES`` sources raise an error.
     """
     if block_rows < 1:
@@ -132,8 +152,14 @@ def place_rows(
     if bad := [s for s in counts if not weights.get(s, 0) > 0]:
         raise ValueError(f"sources without a positive weight: {sorted(bad)}")
     plan = phases({s: -(-n // block_rows) for s, n in counts.items()}, weights)
+    periods = [sum(p.parts.values()) for p in plan]
     by_source = {
-        s: [(k, p.first[s], p.start, sum(p.parts.values()), p.parts[s], p.places[s]) for k, p in enumerate(plan) if s in p.parts]
+        s: [
+            # Parts and periods beyond any number of blocks are never gone through a second time.
+            (k, p.first[s], p.start, min(period, 1 << 62), min(p.parts[s], 1 << 62), p.places[s], p.parts[s] / period)
+            for k, (p, period) in enumerate(zip(plan, periods, strict=True))
+            if s in p.parts
+        ]
         for s in counts
     }
 
@@ -152,11 +178,11 @@ def place_rows(
                 firsts = np.array([x[1] for x in stretches])
                 k = np.searchsorted(firsts, block[mine], "right") - 1
                 for i in np.unique(k):
-                    number, first, start, period, part, places = stretches[i]
+                    number, first, start, period, part, places, ratio = stretches[i]
                     some = mine[k == i]
                     turn, step = np.divmod(block[some] - first, part)
                     slot[some] = start + turn * period + places[step]
-                    phase[some], share[some] = number, part / period
+                    phase[some], share[some] = number, ratio
             yield pa.RecordBatch.from_arrays(
                 [b.column("_id"), b.column("_tie"), b.column("_source"), pa.array(block), pa.array(slot),
                  pa.array(place), pa.array(phase), pa.array(share)],

@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -70,6 +71,30 @@ def test_rows(spark, weights):
         assert order == sorted(order)
 
 
+@pytest.mark.parametrize("rows", [250_000, 3_000_000])
+def test_no_prefix_drifts_from_the_given_weights(rows):
+    sizes = {f"s{i:02}": rows // 3 if not i else rows * 2 // 3 * i // 190 for i in range(20)}
+    blocks = {s: -(-n // 32) for s, n in sizes.items()}
+    weights = {s: n**0.5 for s, n in sizes.items()}
+    plan = phases(blocks, weights)
+    assert sum(p.slots for p in plan) == sum(blocks.values())
+    for p in plan:
+        total = sum(weights[s] for s in p.parts)
+        t = np.arange(p.slots + 1)
+        for s, places in p.places.items():
+            period = min(sum(p.parts.values()), p.slots)
+            seen = t // period * len(places) + np.searchsorted(places, t % period)
+            assert np.abs(seen - t * (weights[s] / total)).max() < 1
+
+
+def test_a_source_of_little_weight_gets_its_share(spark):
+    rows = [(i, "t", "big" if i % 50 else "small", 1, "k") for i in range(5000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = mix_sources(df, weights={"big": 1.0, "small": 0.0002}, block_rows=1).filter("phase = 0").collect()
+    assert {r["source"]: r["share"] for r in got}["big"] == 1 / 1.0002
+    assert sum(r["source"] == "small" for r in got) <= 1
+
+
 def test_documents_come_in_order_of_the_mix(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     places = {r["doc_id"]: (r["slot"], r["place"]) for r in mix_sources(docs, block_rows=4).collect()}
