@@ -6,7 +6,8 @@ telling tokens (highest BM25 weight), so that related items share a shard. Each
 is an inverted index with BM25 weights, whose document counts and lengths are those of the whole
 corpus. The first unused item is a seed; its unused neighbours, best first, fill its
 window, and the last one is cut where the window ends and stays in the index with its
-rest. So only the last window of a shard is padded.
+rest. So only the last window of a shard is padded. Sequences are numbered over all shards in the order
+of the documents that begin them, full windows included.
 """
 
 from __future__ import annotations
@@ -21,12 +22,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgertag.llm.common import tasks, text_of, written
+from ledgertag.llm.common import positions, tasks, text_of, written
 
 #: Fixed value: how byte-level BPE vocabularies of this kind cut text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 K1, B = 1.2, 0.75
-PIECES = "_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+PIECES = (
+    "_id {id}, start long, length long, ids_crc32 long, doc_tokens long, offset long, "
+    "_seed_order {order}, _seed_row long, _seed_start long"
+)
 
 
 @functools.cache
@@ -200,8 +204,10 @@ def pack_documents(
 
     A document's tokens are those of its text and one ``end``; ``start`` counts its tokens before the piece,
     ``offset`` the sequence's. A sequence has at most ``window`` tokens. ``tokenizer`` is the path of a byte-level BPE
-    file that all executors have. Seeds are taken in order of ``order_col`` (the id, if there is none) within a
-    shard of at most ``shard_items`` items. Null texts are empty, and have one token. Null, repeated
+    file that all executors have. Seeds are taken in order of ``order_col`` (the id, if there is none; nulls first) within a
+    shard of at most ``shard_items`` items, and ``sequence_id`` counts all sequences from 0 in that order of the document that
+    their first piece is of. So what comes up to a document's first piece as a seed holds all documents before it, whole,
+    and of later ones only what was taken as neighbours. Null texts are empty, and have one token. Null, repeated
     and equal rows are packed like any other; an empty table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -232,28 +238,28 @@ def pack_documents(
     near = keyed.repartitionByRange(parts, "one", "two", "row").sortWithinPartitions("one", "two", "row")
 
     def pack(batches):
-        task = TaskContext.get()
-        number = (task.partitionId() if task else 0) << 40
         held: list[pa.RecordBatch] = []
 
         def shard(t: pa.Table):
-            nonlocal number
             keys = list(zip(map(_place, t["_order"].to_pylist()), t["row"].to_pylist(), strict=True))
             t = t.take(pa.array(sorted(range(len(keys)), key=keys.__getitem__), pa.int64()))
             ids = [np.frombuffer(x, id_kind) for x in t["tail"].to_pylist()]
             n = t["n"].to_numpy()
-            cols: list[list] = [[] for _ in range(7)]
+            cols: list[list] = [[] for _ in range(8)]
             for pieces in fill_windows(ids, stats, window):
-                offset = 0
+                offset, (seed, seed_first, _) = 0, pieces[0]
                 for k, first, size in pieces:
-                    values = (k, int(n[k]) - len(ids[k]) + first, size, _crc(ids[k][first : first + size]), int(n[k]), 2 * number, offset)
+                    begin = int(n[k]) - len(ids[k])
+                    values = (k, begin + first, size, _crc(ids[k][first : first + size]), int(n[k]), offset, seed, int(n[seed]) - len(ids[seed]) + seed_first)
                     for c, v in zip(cols, values, strict=True):
                         c.append(v)
                     offset += size
-                number += 1
-            arrays = [t["_id"].combine_chunks().take(pa.array(cols[0]))] + [pa.array(c, pa.int64()) for c in cols[1:]]
+            seeds = pa.array(cols[6], pa.int64())
+            arrays = [t["_id"].combine_chunks().take(pa.array(cols[0]))] + [pa.array(c, pa.int64()) for c in cols[1:6]]
+            arrays += [t[c].combine_chunks().take(seeds) for c in ("_order", "row")] + [pa.array(cols[7], pa.int64())]
             return pa.RecordBatch.from_arrays(
-                arrays, ["_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+                arrays,
+                ["_id", "start", "length", "ids_crc32", "doc_tokens", "offset", "_seed_order", "_seed_row", "_seed_start"],
             )
 
         for b in batches:
@@ -271,15 +277,25 @@ def pack_documents(
             if cut < t.num_rows:
                 yield shard(t.slice(cut))
 
-    packed = near.mapInArrow(pack, PIECES.format(id=kind))
-    whole = table.select("_id", "row", F.col("n").alias("doc_tokens"), F.posexplode("crcs").alias("k", "ids_crc32"))
+    packed = near.mapInArrow(pack, PIECES.format(id=kind, order=order))
+    whole = table.select("_id", "_order", "row", F.col("n").alias("doc_tokens"), F.posexplode("crcs").alias("k", "ids_crc32"))
+    start = (F.col("k") * window).cast("long")
     whole = whole.select(
         "_id",
-        (F.col("k") * window).cast("long").alias("start"),
+        start.alias("start"),
         F.lit(window).cast("long").alias("length"),
         "ids_crc32",
         "doc_tokens",
-        (2 * (F.col("row") + F.col("k")) + 1).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
+        F.col("_order").alias("_seed_order"),
+        F.col("row").alias("_seed_row"),
+        start.alias("_seed_start"),
+    )
+    pieces = whole.unionByName(packed).withColumn("_first", F.when(F.col("offset") == 0, 1).otherwise(0).cast("long"))
+    numbered = positions(pieces, ["_seed_order", "_seed_row", "_seed_start", "offset"], size="_first")
+    return numbered.select(
+        F.col("_id").alias(id_col),
+        *["start", "length", "ids_crc32", "doc_tokens"],
+        (F.col("before") + F.col("_first") - 1).alias("sequence_id"),
+        "offset",
     )
-    return whole.unionByName(packed).withColumnRenamed("_id", id_col)

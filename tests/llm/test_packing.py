@@ -107,3 +107,21 @@ def test_neighbours_are_the_best_unused_by_bm25():
                 first = False
             want.append(pieces)
     assert fill_windows(tails, stats, 64) == want
+
+
+def test_sequences_are_numbered_in_order_of_their_seeds(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(rng.randrange(150)))) for i in range(600)]
+    place = list(range(600))
+    rng.shuffle(place)
+    df = spark.createDataFrame([(i, t, place[i]) for i, t in rows], "doc_id long, text string, place int").repartition(5)
+    got = pack_documents(df, PATH, window=64, shard_items=32, order_col="place").collect()
+    seeds = {r["sequence_id"]: place[r["doc_id"]] for r in got if r["offset"] == 0}
+    assert sorted(seeds) == list(range(len(seeds)))
+    assert [seeds[k] for k in range(len(seeds))] == sorted(seeds.values())
+    # Every prefix holds all documents before its last seed, whole.
+    last = {}
+    for r in got:
+        last[place[r["doc_id"]]] = max(last.get(place[r["doc_id"]], 0), r["sequence_id"])
+    for k, at in seeds.items():
+        assert all(last[p] <= k for p in range(at))

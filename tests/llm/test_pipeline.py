@@ -1,9 +1,12 @@
+import random
+from collections import Counter
+
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from ledgertag.llm.mixing import mix_sources
+from ledgertag.llm.mixing import mix_sources, mixed_documents
 from ledgertag.llm.quality import classify_quality
 from tests.llm import brute
 from tests.llm.test_lines import plain
@@ -66,6 +69,35 @@ def test_packing_is_a_round_trip(staged):
     check(staged[5].collect(), ids, 1024)
 
 
+def test_prefixes_of_the_sequences_keep_the_weights(spark, tmp_path):
+    """A prefix that ends with the seed at place p of the mix holds of each source its share of p documents, less one
+    block, and beyond it no more than the neighbours that were taken early."""
+    words = {"a": "alpha apple arrow", "b": "beta berry basin", "c": "gamma grape gravel"}
+    rng = random.Random(6)
+    rows = [(i, rng.choice("aaaaaabbbc")) for i in range(1500)]
+    rows = [(i, " ".join(rng.choice(words[s].split()) for _ in range(rng.randrange(1, 900))), "en", s, 1) for i, s in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    how = {"block_rows": 2, "temperature": 0.5}
+    mixed_documents(docs, **how).write.parquet(str(tmp_path / "mix"))
+    pieces = corpus_pipeline.packing(spark, spark.read.parquet(str(tmp_path / "mix")), DATA).collect()
+    placed = mix_sources(docs, **how).collect()
+    rank = {r["doc_id"]: k for k, r in enumerate(sorted(placed, key=lambda r: (r["slot"], r["place"])))}
+    source, share = {r["doc_id"]: r["source"] for r in placed}, {r["source"]: r["share"] for r in placed if not r["phase"]}
+    ends = sum(not r["phase"] for r in placed)
+    last, seeds = {}, {}
+    for r in pieces:
+        last[r["doc_id"]] = max(last.get(r["doc_id"], 0), r["sequence_id"])
+        if not r["offset"]:
+            seeds[r["sequence_id"]] = rank[r["doc_id"]]
+    assert [seeds[k] for k in range(len(seeds))] == sorted(seeds.values())
+    for k, p in seeds.items():
+        if p < ends:
+            whole = Counter(source[i] for i, at in last.items() if at <= k)
+            early = sum(whole.values()) - p
+            assert early >= 0
+            assert all(-2 <= whole[s] - p * w <= 2 + early for s, w in share.items())
+
+
 def test_run_is_the_stages(spark, staged):
     got = corpus_pipeline.run(spark, DATA)
     key = ["doc_id", "start", "length", "ids_crc32"]
