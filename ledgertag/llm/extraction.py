@@ -36,21 +36,33 @@ CHROME_ELEMENTS = frozenset("nav aside footer form menu dialog button select fie
 CHROME_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split()
 )
-#: Words in a class or id that mark what isn't the article.
+#: Classes and ids that mark what isn't the article, as whole names: "related-work" isn't "related".
 CHROME_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation "
     "menu sidebar footer header masthead breadcrumb breadcrumbs cookie cookies consent notice notices popup modal "
     "newsletter subscribe signup login share sharing social comment comments reply replies disqus related widget "
-    "pagination pager toolbar".split()
+    "pagination pager toolbar cookie-notice cookie-banner cookie-consent site-header site-footer site-nav main-nav "
+    "main-menu related-posts related-articles share-buttons social-share comment-list skip-link".split()
 )
+#: An article may have such parts of its own, as it does the element ``header``.
+CHROME_INSIDE = CHROME_WORDS - {"header", "banner", "masthead"}
+TEXTS = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:"[^"]*"|'[^']*'|[^'">])*>""",
     re.S,
 )
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_MARKED = re.compile(r"""\s(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
-_WORDS = re.compile(r"[a-z]+")
+_MARKED = re.compile(r"""[\s"'/](?:class|id|role|hidden)\b""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+
+
+def attributes(tag: str) -> dict[str, str]:
+    """The attributes of a tag, names in lower case; of repeated ones the first."""
+    out: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(tag, _NAME.match(tag).end()):
+        out.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+    return out
 
 
 def _kind(name: str, tag: str, outer: int) -> int:
@@ -58,21 +70,22 @@ def _kind(name: str, tag: str, outer: int) -> int:
     if outer == CHROME or name in CHROME_ELEMENTS or (name == "header" and outer != MAIN):
         return CHROME
     found = MAIN if name in ("article", "main") else outer
-    if " " in tag or "\n" in tag or "\t" in tag:
-        for m in _MARKED.finditer(tag):
-            key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-            if key == "hidden":
-                return CHROME
-            if key == "role":
-                if value.strip() in CHROME_ROLES:
-                    return CHROME
-                found = MAIN if value.strip() in ("main", "article") else found
-            elif name not in ("html", "body", "article", "main"):
-                if not CHROME_WORDS.isdisjoint(_WORDS.findall(value)):
-                    return CHROME
-            elif not {"comment", "comments", "reply"}.isdisjoint(_WORDS.findall(value)):
-                return CHROME
-    return found
+    if not _MARKED.search(tag):
+        return found
+    marks = attributes(tag)
+    roles = marks.get("role", "").lower().split()
+    if "hidden" in marks or not CHROME_ROLES.isdisjoint(roles[:1]):
+        return CHROME
+    if roles[:1] in (["main"], ["article"]):
+        found = MAIN
+    words = {*marks.get("class", "").lower().split(), *marks.get("id", "").lower().split()}
+    if name in ("article", "main"):
+        chrome = words & {"comment", "comments", "reply"}
+    elif name in ("html", "body") or (outer == MAIN and name in TEXTS):
+        chrome = None
+    else:
+        chrome = words & (CHROME_INSIDE if outer == MAIN else CHROME_WORDS)
+    return CHROME if chrome else found
 
 
 def lines_of(page: str) -> list[tuple[str, int]]:

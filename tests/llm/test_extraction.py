@@ -83,3 +83,14 @@ def test_differencing_decides_on_pages_with_an_article(spark):
     rows = [(i, f"http://h.example/a/{i}", page(i), "t", "h") for i in range(20)]
     got = {r["page_id"]: r["text"] for r in extract_pages(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
     assert got == {i: f"Title {i}\nstory {i}\nquoted" for i in range(20)}
+
+
+def test_words_of_the_article_are_not_marks():
+    page = (
+        "<nav class=x>menu</nav><article><div class='article-header'><h1 id=share>Title</h1></div><h2 id='related-work'>Related</h2>"
+        "<p class='social-policy'>policy</p><section id='share-prices'><p class=promo>prices</section>"
+        "<p>see <a title='The hidden door' href=/x>the door</a> and <a data-x='a class=ad b' href=/y>more</a></p>"
+        "<div class='box Ad'>advert</div><p HIDDEN>not shown</p><div id=newsletter>subscribe</div><p hidden=''>nor this</p></article>"
+    )
+    assert main_text(lines_of(page), None) == "Title\nRelated\npolicy\nprices\nsee the door and more"
+    assert lines_of("<html class=nav><body class=menu><div class='share-prices'>a</div><div class='share'>b") == [("a", 0), ("b", 2)]
