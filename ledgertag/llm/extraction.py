@@ -7,7 +7,8 @@ subsequence, and shared lines are deleted, as templates repeat from page to
 page and articles don't. A check by the page's own structure follows, line by line: a shared
 line that stands in what the page marks as its article is put back, and what a page marks as menu, header,
 footer, sidebar, notice, advert, form or comment goes, shared or not. All other lines are
-left to differencing, on pages with a marked article too.
+left to differencing, on pages with a marked article too. Copies of a page tell nothing about its
+template, so they are passed over for the nearest page that is different.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from ledgertag.llm.common import text_of
 from ledgertag.llm.neighbours import OWN, in_runs
 
 PLAIN, MAIN, CHROME = 0, 1, 2
+#: Pages of one host that have this part of their text in common are copies.
+COPY = 0.95
 
 # Names of HTML elements.
 BLOCKS = frozenset(
@@ -187,16 +190,28 @@ def shared_lines(a: list[str], b: list[str]) -> list[bool]:
 
 
 def main_text(lines: list[tuple[str, int]], partner: list[tuple[str, int]] | None) -> str:
-    """The lines that are left after differencing and the check by structure."""
-    if partner:
-        gone = shared_lines([x for x, _ in lines], [x for x, _ in partner])
-    else:  # nothing to compare with: what stands outside a marked article isn't the article
+    """The lines that are left after differencing and the check by structure.
+
+    Differencing that leaves nothing of a page doesn't count.
+    """
+    gone = shared_lines([x for x, _ in lines], [x for x, _ in partner or []])
+    if not partner or all(out for (_, kind), out in zip(lines, gone, strict=True) if kind == PLAIN):
+        # By structure alone, what stands outside a marked article isn't the article.
         gone = [any(kind == MAIN for _, kind in lines)] * len(lines)
     return "\n".join(
         line for (line, kind), out in zip(lines, gone, strict=True) if kind == MAIN or (kind == PLAIN and not out)
     )
 
 
+def copies(a: list[tuple[str, int]], b: list[tuple[str, int]]) -> bool:
+    """Whether two pages have all or nearly all of their text in common, by their distinct lines."""
+    if a == b:
+        return True
+    x, y = {line for line, _ in a}, {line for line, _ in b}
+    most = max(sum(map(len, x)), sum(map(len, y)))
+    return sum(map(len, x & y)) >= COPY * most
+
+
 def _common(a: str, b: str) -> int:
     """How many segments two paths share at their heads, and how many characters."""
     n = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
@@ -208,8 +223,10 @@ def extract_pages(
 ) -> DataFrame:
     """Id, URL, ``text`` (main text, blocks joined by newlines) of every page.
 
-    A null page is empty and gives an empty text; a page without a neighbour on its host is judged by its
-    structure alone, as is any line that the page itself marks. Pages without
+    A null page is empty and gives an empty text; a page without a different neighbour on its host is judged by its
+    structure alone, as is any line that the page itself marks. Copies that follow each other are held in
+    memory until a different page follows. A different page is looked for among the pages of the same run (see ``in_runs``) and
+    the ones at its borders, so copies that fill a run to its borders are judged by structure too. Pages without
     a URL count as one host. Equal paths are ordered by id and content; repeated rows stay repeated.
     An empty table gives an empty result; other columns are ignored.
     """
@@ -225,14 +242,16 @@ def extract_pages(
     id_type = rows.schema["_id"].dataType.simpleString()
 
     def run(batches):
-        before = now = None  # (side, id, url, host, path, lines)
+        before = None  # the last page before the group
+        group: list[tuple] = []  # copies of its first page: (side, id, url, host, path, lines)
         out: list[tuple] = []
 
-        def finish(row, after):
-            near = [x for x in (before, after) if x is not None and x[3] == row[3]]
-            partner = max(near, key=lambda x: _common(x[4], row[4]), default=None)
-            text = main_text(row[5], partner[5] if partner else None)
-            return row[1], row[2], text
+        def finish(after):
+            for row in group:
+                if row[0] == OWN:
+                    near = [x for x in (before, after) if x is not None and x[3] == row[3]]
+                    partner = max(near, key=lambda x: _common(x[4], row[4]), default=None)
+                    out.append((row[1], row[2], main_text(row[5], partner[5] if partner else None)))
 
         def emit():
             cols = list(zip(*out, strict=True))
@@ -245,22 +264,24 @@ def extract_pages(
         for b in batches:
             kind = b.schema.field("_id").type
             for i in range(b.num_rows):
-                side = b.column("_side")[i].as_py()
-                if side > OWN and now is not None and now[0] > OWN:
+                if group and group[0][0] > OWN:
                     break
                 row = (
-                    side,
-                    *(b.column(c)[i].as_py() for c in ("_id", "_url", "_host", "_path")),
+                    *(b.column(c)[i].as_py() for c in ("_side", "_id", "_url", "_host", "_path")),
                     lines_of(b.column("_html")[i].as_py()),
                 )
-                if now is not None and now[0] == OWN:
-                    out.append(finish(now, row))
-                before, now = now, row
+                if group and group[0][3] == row[3] and copies(group[0][5], row[5]):
+                    same = row[5] == group[0][5]
+                    group.append((*row[:5], group[0][5]) if same else row)
+                    continue
+                if group:
+                    finish(row)
+                    before = group[-1]
+                group = [row]
                 if len(out) >= 500:
                     yield emit()
-                    out = []
-        if now is not None and now[0] == OWN:
-            out.append(finish(now, None))
+                    out.clear()
+        finish(None)
         if out:
             yield emit()
 

@@ -3,6 +3,8 @@ import html
 import random
 import re
 
+import pytest
+
 from ledgertag.llm.extraction import extract_pages, lines_of, main_text, shared_lines
 
 SCHEMA = "page_id long, url string, html string, text string, _host string"
@@ -94,3 +96,34 @@ def test_words_of_the_article_are_not_marks():
     )
     assert main_text(lines_of(page), None) == "Title\nRelated\npolicy\nprices\nsee the door and more"
     assert lines_of("<html class=nav><body class=menu><div class='share-prices'>a</div><div class='share'>b") == [("a", 0), ("b", 2)]
+
+
+def test_a_page_that_would_go_is_judged_by_structure():
+    page, other = lines_of("<p>all</p><p>of it</p><nav>a</nav>"), lines_of("<p>all</p><p>of it</p><nav>b</nav>")
+    assert main_text(page, other) == "all\nof it"
+
+
+@pytest.mark.parametrize("runs", [1, 8])
+def test_copies_of_unmarked_pages(spark, runs):
+    def page(i, day=""):
+        body = f"story {i} " * 30
+        return f"<div>Home</div><div>Latest offers</div><p>{body}</p><div>All rights kept</div><div>{day}</div>"
+
+    rows = [(10 * i + k, f"http://h.example/a/{i}?utm_source={k}", page(i)) for i in range(6) for k in range(4)]
+    rows += [(10 * i + 5, f"http://h.example/a/{i}", page(i, f"seen on day {i}")) for i in range(6)]
+    rows += [(3, "http://h.example/a/0?utm_source=3", page(0))]
+    rows += [(1000 + k, f"http://only.example/x?{k}", page(7)) for k in range(3)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", runs)
+    try:
+        df = spark.createDataFrame([(i, u, h, "t", "h") for i, u, h in rows], SCHEMA).repartition(3)
+        got = [(r["page_id"], r["text"]) for r in extract_pages(df).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(got) == len(rows)
+    for i, text in got:
+        story = ("story 7 " if i >= 1000 else f"story {i // 10} ") * 30
+        assert story.strip() in text.split("\n")
+        if runs == 1:
+            day = f"\nseen on day {i // 10}" if i % 10 == 5 and i < 1000 else ""
+            assert text == story.strip() + day or (i >= 1000 and text.startswith("Home\n"))
