@@ -21,8 +21,8 @@ from ledgertag.llm.links import BLOCK, DEALT, dealt, distinct_sorted, linked_com
 CHARS = 8
 #: At similarity 0.8 a pair shares no band with a chance of (1 - 0.8 ** 4) ** 14 = 0.0006.
 BANDS, ROWS = 14, 4
-#: Shorter lines have too few shingles to be similar without being equal.
-SHORTEST = CHARS + 3
+#: Shorter lines (in bytes) are one shingle each, the line itself, so only equal ones are similar.
+SHORTEST = CHARS
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BLANKS = b" \t\r\n\f\v"

@@ -95,3 +95,9 @@ def test_whole_table(spark):
     want = plain([(r["doc_id"], r["text"]) for r in docs.collect()])
     got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in dedup_lines(docs).collect()}
     assert sum(got[i] != want[i] for i in want) <= len(want) // 200
+
+
+def test_rules_of_any_length_are_similar(spark):
+    rules = [c * n for c in "-*=" for n in (6, 7, 8, 9, 10, 11, 12, 40)] + ["-=" * 4, "-=" * 5, "-=" * 6, "éééé", "é" * 9, "é" * 20]
+    rows = [(i, f"line of its own, number {i * 7919}\n{r}") for i, r in enumerate(rules)]
+    assert run(spark, rows) == plain(rows)
