@@ -11,6 +11,7 @@ import corpus_pipeline
 from ledgertag.llm import sql
 from ledgertag.llm.extraction import extract_pages
 from ledgertag.llm.fingerprints import fingerprint_edits
+from ledgertag.llm.infill import fill_in_middle, restore_documents
 from ledgertag.llm.jaccard import similar_documents
 from ledgertag.llm.lines import dedup_lines
 from ledgertag.llm.mixing import mix_sources
@@ -18,6 +19,7 @@ from ledgertag.llm.packing import pack_documents
 from ledgertag.llm.quality import classify_quality
 from ledgertag.llm.repeats import remove_repeats
 from ledgertag.llm.sharding import shard_documents
+from ledgertag.llm.simhash import simhash_duplicates
 from ledgertag.llm.topk import top_k
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +115,21 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), window=1024, end=0)
 
 
+@query
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their middle at the end, and the texts restored from that."""
+    arranged = fill_in_middle(table(spark, sf_dir, "documents")).drop("pieces")
+    return restore_documents(arranged).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"
+    )
+
+
+@query
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SimHash of every document and its component of near fingerprints."""
+    return simhash_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""

@@ -80,4 +80,40 @@ SELECT doc_id, n::BIGINT AS n_bytes, coalesce(bytes, 0)::BIGINT AS n_removed,
 FROM sized JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op4_repeats": OP4_REPEATS, "op6_topk": OP6_TOPK, "op9_jaccard": OP9_JACCARD}
+# Tokens are listed, cut as lists and joined again.
+OP12_INFILL = """
+WITH listed AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS t,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), drawn AS (
+  SELECT doc_id, text, t, len(t) AS n,
+    list_transform([1, 9, 17, 25], lambda k: ('0x' || substr(h, k, 8))::BIGINT) AS d
+  FROM listed
+), cut AS (
+  SELECT doc_id, text, t, n, least(d[1] % (n + 1), d[2] % (n + 1)) AS p, greatest(d[1] % (n + 1), d[2] % (n + 1)) AS m,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR d[3] % 100 >= 90
+      THEN 'plain' WHEN d[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT doc_id, text, n, form, array_to_string(t[1 : p], '') AS prefix,
+    array_to_string(t[p + 1 : m], '') AS middle, array_to_string(t[m + 1 : n], '') AS suffix
+  FROM cut
+)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(prefix || middle || suffix) AS restored_sha256
+FROM parts
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_repeats": OP4_REPEATS,
+    "op6_topk": OP6_TOPK,
+    "op9_jaccard": OP9_JACCARD,
+    "op12_infill": OP12_INFILL,
+}
