@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgertag.llm import sql
+from ledgertag.llm.alignment import align_tokenizers
 from ledgertag.llm.extraction import extract_pages
 from ledgertag.llm.fingerprints import fingerprint_edits
 from ledgertag.llm.infill import fill_in_middle, restore_documents
@@ -33,10 +34,10 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,6 +116,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), window=1024, end=0)
 
 
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, groups and links of two tokenizers over every document."""
+    docs = table(spark, sf_dir, "documents")
+    return align_tokenizers(docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))[0]
+
+
 @query
 def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their middle at the end, and the texts restored from that."""
