@@ -24,8 +24,10 @@ _PLAIN = r"[^%_\\]"
 # A LIKE pattern whose escapes are all allowed ones.
 _VALID = r"\A(?:[^\\]++|\\[%_\\])*+\z"
 
-# Shapes of a mask. All but the last need no regular expression.
-EQUALS, FROM_START, FROM_END, CONTAINS, GENERAL = range(5)
+# Masks with wildcards that any list may have and still be checked without higher-order functions.
+SLOTS = 3
+# Marks masks that fit values of any length.
+ANY_LENGTH = 2**31 - 1
 
 
 def compile_masks(mask_list: Column) -> Column:
@@ -75,75 +77,106 @@ def literal_suffix(pattern: Column) -> Column:
     return F.regexp_extract(pattern, _PLAIN + r"*\z", 0)
 
 
-def shape_masks(patterns: Column) -> Column:
-    """Sort LIKE patterns by shape: ``struct<whole, shaped>``.
+def parse_masks(patterns: Column) -> Column:
+    """LIKE patterns taken apart: an array of structs.
 
-    A pattern that comes from a column is compiled to a regular expression again
-    for every row. Whole values are listed by themselves, to be looked up. Masks with ``%`` at
-    their ends only are cut into pieces of fixed text at fixed places, which
-    are counted from the start or from the end of the value. Only masks with an inner ``%`` or an
-    escape are left to LIKE.
+    A value that fits ``mask`` starts with ``head``, ends with ``tail``, holds ``run``, the longest fixed text, and has ``least`` to
+    ``most`` characters. For an ``exact`` mask that is also enough; others (text between wildcards, escapes) must be
+    checked with LIKE, which compiles a regular expression per row when its pattern is a column. A framed value that fits
+    holds ``text``; for a mask that is ``told`` by it, that is enough if it has ``length`` characters (-1 for any).
     """
-    whole = F.filter(patterns, is_literal)
-    others = F.filter(patterns, lambda p: ~is_literal(p))
-    return F.struct(whole.alias("whole"), F.transform(others, _shape).alias("shaped"))
-
-
-def _shape(p: Column) -> Column:
-    shape = (
-        F.when(p.rlike(r"\A[^%\\]*%*\z"), FROM_START)
-        .when(p.rlike(r"\A%+[^%\\]*\z"), FROM_END)
-        .when(p.rlike(rf"\A%+{_PLAIN}+%+\z"), CONTAINS)
-        .otherwise(GENERAL)
+    return F.transform(patterns, _parsed)
+
+
+def _parsed(p: Column) -> Column:
+    head, tail, literal = literal_prefix(p), literal_suffix(p), is_literal(p)
+    runs = F.regexp_extract_all(p, F.lit(_PLAIN + "+"), F.lit(0))
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(F.char_length(r).alias("n"), r.alias("text"))))["text"]
+    run = F.coalesce(longest, F.lit(""))
+    open_ended = F.contains(F.regexp_replace(p, r"(?s)\\.", ""), F.lit("%"))
+    size = F.char_length(F.regexp_replace(p, r"(?s)\\(.)|%", "$1"))
+    # At most one run of fixed text at each end, or one that may stand anywhere.
+    ends_only = p.rlike(rf"\A{_PLAIN}*[%_]*{_PLAIN}*\z")
+    held = p.rlike(rf"\A%+{_PLAIN}+%+\z")
+    # What to look for in a framed value.
+    text = (
+        F.when(literal, F.concat(edge(), p, edge()))
+        .when(p.rlike(r"\A%+\z"), edge())
+        .when((run != "") & (run == head), F.concat(edge(), head))
+        .when((run != "") & (run == tail), F.concat(tail, edge()))
+        .otherwise(run)
     )
-    body = F.regexp_replace(p, r"\A%+|%+\z", "")
-    # Without a trailing %, a mask that starts at the start has an exact length.
-    exact = (shape == FROM_START) & ~F.endswith(p, F.lit("%"))
+    one_end = p.rlike(rf"\A(?:{_PLAIN}*%+|%+{_PLAIN}*)\z")
+    counted = p.rlike(rf"\A(?:{_PLAIN}*_+|_+{_PLAIN}*)\z")
     return F.struct(
-        shape.alias("shape"),
-        F.when(shape == GENERAL, p).otherwise(body).alias("text"),
-        F.char_length(body).alias("size"),
-        F.coalesce(exact, F.lit(False)).alias("exact"),
-        _pieces(body).alias("pieces"),
+        p.alias("mask"),
+        literal.alias("literal"),
+        head.alias("head"),
+        tail.alias("tail"),
+        run.alias("run"),
+        size.alias("least"),
+        F.when(open_ended, ANY_LENGTH).otherwise(size).alias("most"),
+        (ends_only | held).alias("exact"),
+        text.alias("text"),
+        F.when(counted & ~literal, size).otherwise(-1).alias("length"),
+        (literal | held | one_end | counted).alias("told"),
+    )
+
+
+def fits(value: Column, mask: Column) -> Column:
+    """Whether a value fits a parsed mask; LIKE only where nothing cheaper refuses it."""
+    size = F.char_length(value)
+    return (
+        F.startswith(value, mask["head"])
+        & F.endswith(value, mask["tail"])
+        & F.contains(value, mask["run"])
+        & size.between(mask["least"], mask["most"])
+        & (mask["exact"] | F.like(value, mask["mask"]))
     )
 
 
-def _pieces(body: Column) -> Column:
-    """Runs of fixed characters with the number of characters before them."""
-    runs = F.regexp_extract_all(body, F.lit(r"(_+|[^_]+)"), F.lit(1))
-    start = F.struct(
-        F.lit(0).alias("at"), F.array().cast("array<struct<at:int,text:string>>").alias("found")
+def any_mask(value: Column, masks: Column) -> Column:
+    """Same result as :func:`any_like`, over the output of :func:`parse_masks`."""
+    return F.exists(masks, lambda m: fits(value, m))
+
+
+def edge() -> Column:
+    """Stands before and after a framed value: a byte that no text in UTF-8 has."""
+    return F.lit(bytearray(b"\xff")).cast("string")
+
+
+def framed(value: Column) -> Column:
+    """The value between two edges, so that its ends can be looked for as well; empty for null."""
+    return F.coalesce(F.concat(edge(), value, edge()), F.lit(""))
+
+
+def frames(masks: Column, required: Column, slots: Column) -> Column:
+    """A parsed list as texts to look for in a framed value: ``struct<n, whole, texts, sizes, exact>``.
+
+    Whole values are listed, framed, in ``whole``. A value passes if it is one of them, or holds one of the ``texts`` (as many as
+    there are ``slots``) and has that text's number of characters (-1 for any). An empty list lets everything pass. Where texts
+    can't decide, the form isn't ``exact``: it lets too much pass, whether the list is ``required`` or excludes.
+    """
+    others = F.filter(masks, lambda m: ~m["literal"])
+    few = F.size(others) <= slots
+    exact = few & F.forall(others, lambda m: m["told"])
+    open_ = F.struct(F.lit("").alias("text"), F.lit(-1).alias("size"))
+    never = F.concat(edge(), edge(), edge())
+    found = F.transform(others, lambda m: F.struct(m["text"].alias("text"), m["length"].alias("size")))
+    found = (
+        F.when(exact | (required & few), F.when(F.size(masks) == 0, F.array(open_)).otherwise(found))
+        .when(required, F.array(open_))
+        .otherwise(F.slice(found, 1, 0))
     )
 
-    def add(state: Column, run: Column) -> Column:
-        piece = F.struct(state["at"].alias("at"), run.alias("text"))
-        found = F.when(F.startswith(run, F.lit("_")), state["found"]).otherwise(
-            F.concat(state["found"], F.array(piece))
-        )
-        return F.struct((state["at"] + F.char_length(run)).alias("at"), found.alias("found"))
-
-    return F.aggregate(runs, start, add, lambda state: state["found"])
-
-
-def any_shape(value: Column, masks: Column) -> Column:
-    """Same result as :func:`any_like`, over the output of :func:`shape_masks`."""
-
-    def hit(m: Column) -> Column:
-        # Places from the end are turned into places from the start.
-        skipped = F.when(m["shape"] == FROM_END, F.char_length(value) - m["size"]).otherwise(F.lit(0))
-        long_enough = F.when(m["exact"], F.char_length(value) == m["size"]).otherwise(
-            F.char_length(value) >= m["size"]
-        )
-        fits = F.forall(
-            m["pieces"],
-            lambda x: F.substring(value, skipped + x["at"] + 1, F.char_length(x["text"])) == x["text"],
-        )
-        return (
-            F.when(m["shape"] == GENERAL, F.like(value, m["text"]))
-            .when(m["shape"] == CONTAINS, F.contains(value, m["text"]))
-            .otherwise(long_enough & fits)
-        )
-
-    listed = F.array_contains(masks["whole"], value)
-    shaped = F.when(F.size(masks["shaped"]) > 0, F.exists(masks["shaped"], hit)).otherwise(F.lit(False))
-    return F.when(value.isNotNull(), listed | shaped)
+    def each(of: str, other: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda k: F.coalesce(F.get(found, k)[of], other))
+
+    whole = F.transform(F.filter(masks, lambda m: m["literal"]), lambda m: m["text"])
+    return F.struct(
+        F.size(masks).alias("n"),
+        F.when(exact | required, whole).otherwise(F.slice(whole, 1, 0)).alias("whole"),
+        each("text", never).alias("texts"),
+        each("size", F.lit(-1)).alias("sizes"),
+        exact.alias("exact"),
+    )

@@ -13,71 +13,66 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgertag.config import DEFAULT, Layout
+from ledgertag.functions.masks import any_mask
 
-AnyOf = Callable[[Column, Column], Column]
+Field = Callable[[str], Column]
 
+# Masks with wildcards that each list may have and still be checked by the plain condition.
+LIST_SLOTS = {"dt_codes": 1, "kt_codes": 1, "dt_accounts": 2, "kt_accounts": 2, "purposes": 3}
 
-def some(masks: Column) -> Column:
-    """Whether a shaped list has masks at all."""
-    return (F.size(masks["whole"]) > 0) | (F.size(masks["shaped"]) > 0)
 
-
-def if_present(value: Column, masks: Column, any_of: AnyOf) -> Column:
-    return F.when(some(masks), any_of(value, masks)).otherwise(F.lit(True))
+def if_present(n: Column, found: Column) -> Column:
+    return (n == 0) | found
 
 
 def include_or_not(condition: Column, include: Column) -> Column:
     return F.when(include, condition).otherwise(~condition)
 
 
-def code_condition(
-    value: Callable[[str], Column],
-    masks: Callable[[str], Column],
-    any_of: AnyOf,
-    layout: Layout = DEFAULT,
-) -> Column:
+def rule_condition(value: Field, masks: Field, layout: Layout = DEFAULT) -> Column:
+    """The whole condition, over parsed mask lists. Has higher-order functions.
+
+    Excluding accounts negates both sides together, so one side that differs is enough.
+    """
     dt, kt = layout.sides
-    return if_present(value(dt.code), masks("dt_codes"), any_of) & if_present(
-        value(kt.code), masks("kt_codes"), any_of
-    )
 
+    def found(column: str, name: str) -> Column:
+        return if_present(F.size(masks(name)), any_mask(value(column), masks(name)))
 
-def account_condition(
-    value: Callable[[str], Column],
-    masks: Callable[[str], Column],
-    any_of: AnyOf,
-    layout: Layout = DEFAULT,
-) -> Column:
-    """Excluding negates both sides together, so one side that differs is enough."""
-    dt, kt = layout.sides
-    both = if_present(value(dt.account), masks("dt_accounts"), any_of) & if_present(
-        value(kt.account), masks("kt_accounts"), any_of
-    )
-    present = some(masks("dt_accounts")) | some(masks("kt_accounts"))
-    return F.when(present, include_or_not(both, masks("account_include"))).otherwise(F.lit(True))
-
-
-def purpose_condition(
-    value: Callable[[str], Column],
-    masks: Callable[[str], Column],
-    any_of: AnyOf,
-    layout: Layout = DEFAULT,
-) -> Column:
-    found = any_of(value(layout.purpose), masks("purposes"))
-    return F.when(some(masks("purposes")), include_or_not(found, masks("purpose_include"))).otherwise(
-        F.lit(True)
+    accounts = found(dt.account, "dt_accounts") & found(kt.account, "kt_accounts")
+    with_accounts = (F.size(masks("dt_accounts")) > 0) | (F.size(masks("kt_accounts")) > 0)
+    purposes = any_mask(value(layout.purpose), masks("purposes"))
+    return (
+        found(dt.code, "dt_codes")
+        & found(kt.code, "kt_codes")
+        & F.when(with_accounts, include_or_not(accounts, masks("account_include"))).otherwise(F.lit(True))
+        & F.when(F.size(masks("purposes")) > 0, include_or_not(purposes, masks("purpose_include"))).otherwise(F.lit(True))
     )
 
 
-def rule_condition(
-    value: Callable[[str], Column],
-    masks: Callable[[str], Column],
-    any_of: AnyOf,
-    layout: Layout = DEFAULT,
-) -> Column:
-    """All conditions of a rule together."""
+def plain_condition(value: Field, form: Field) -> Column:
+    """What :func:`ledgertag.functions.masks.frames` can tell: true wherever the whole condition is.
+
+    For rules whose lists are all exact it is the whole condition. Neither side has nulls, so that little code is generated: Java
+    compiles a method of a join only up to 8,000 bytes. A null value is framed as the empty text, which meets absent
+    lists only, and fails no excluding list.
+    """
+
+    def hit(name: str) -> Column:
+        text = value(f"_{name}")
+        found = F.array_contains(form(f"{name}_whole"), text)
+        for k in range(LIST_SLOTS[name]):
+            size = form(f"{name}_size{k}")
+            found = found | (F.contains(text, form(f"{name}_text{k}")) & ((size < 0) | (F.char_length(text) == size + 2)))
+        return found
+
+    def fails(name: str, include: Column) -> Column:
+        return ~hit(name) & (include | (value(f"_{name}") != ""))
+
+    accounts, purposes = form("account_include"), form("purpose_include")
     return (
-        code_condition(value, masks, any_of, layout)
-        & account_condition(value, masks, any_of, layout)
-        & purpose_condition(value, masks, any_of, layout)
+        hit("dt_codes")
+        & hit("kt_codes")
+        & (fails("purposes", purposes) != purposes)
+        & ((fails("dt_accounts", accounts) | fails("kt_accounts", accounts)) != accounts)
     )

@@ -44,25 +44,26 @@ def test_random_lists_agree_with_the_model(spark):
         assert got == model.masks(text), repr(text)
 
 
-def test_shapes_agree_with_like(spark):
-    rng = random.Random(2)
+def random_lists(rng, n, most):
+    def word(letters, size):
+        return "".join(rng.choices(letters, k=rng.randrange(size)))
 
-    def word(letters, most):
-        return "".join(rng.choices(letters, k=rng.randrange(most)))
-
-    rows = [
+    return [
         (
-            rng.choice([None, word("ab\nй", 6)]) if n % 9 == 0 else word("abй", 6),
-            [word("abй%%_", 5) for _ in range(rng.randrange(1, 4))],
+            rng.choice([None, word("ab\nй", 6)]) if k % 9 == 0 else word("abй", 6),
+            [word("abй%%_", 5) for _ in range(rng.randrange(1, most))],
         )
-        for n in range(4000)
-    ]
-    rows += [("a%b", ["a\\%b"]), ("a_b", ["a\\_%"]), ("axb", ["a\\_b"])]
+        for k in range(n)
+    ] + [("a%b", ["a\\%b"]), ("a_b", ["a\\_%"]), ("axb", ["a\\_b"]), ("", [""]), (None, [""]), ("", ["%"]), (None, ["%"])]
+
+
+def test_parsed_masks_agree_with_like(spark):
+    rows = random_lists(random.Random(2), 4000, 4)
     df = spark.createDataFrame(rows, "v string, p array<string>").select(
         "v",
         "p",
         m.any_like(F.col("v"), F.col("p")).alias("slow"),
-        m.any_shape(F.col("v"), m.shape_masks(F.col("p"))).alias("fast"),
+        m.any_mask(F.col("v"), m.parse_masks(F.col("p"))).alias("fast"),
     )
     for r in df.collect():
         assert r.slow == r.fast, r
@@ -70,26 +71,46 @@ def test_shapes_agree_with_like(spark):
             assert r.fast == model.any_like(r.v, r.p), r
 
 
-def test_shape_of_each_mask(spark):
+@pytest.mark.parametrize("required", [True, False])
+def test_framed_texts_let_all_pass_that_may(spark, required):
+    """Where a form is exact it decides; else it only lets too much pass. Lists that exclude refuse null values."""
+    rows = random_lists(random.Random(3), 3000, 5)
+    df = spark.createDataFrame(rows, "v string, p array<string>")
+    form = m.frames(m.parse_masks(F.col("p")), F.lit(required), F.lit(m.SLOTS))
+    df = df.select("v", "p", m.framed(F.col("v")).alias("w"), m.any_like(F.col("v"), F.col("p")).alias("hit"), form.alias("f"))
+    hit = F.array_contains("f.whole", F.col("w"))
+    for k in range(m.SLOTS):
+        size = F.get("f.sizes", F.lit(k))
+        hit = hit | (F.contains("w", F.get("f.texts", F.lit(k))) & ((size < 0) | (F.char_length("w") == size + 2)))
+    passes = hit if required else ~hit & (F.col("w") != "")
+    found = df.select("v", "p", "hit", "f.exact", passes.alias("passes")).collect()
+    for r in found:
+        want = r.hit is True if required else r.hit is False
+        assert r.passes == want if r.exact else r.passes >= want, r
+    assert sum(r.exact for r in found) > 500 and sum(not r.exact for r in found) > 500
+
+
+def test_what_is_looked_for(spark):
+    e = "\ufffd"  # how the edge's byte is read back
     cases = {
-        "%": m.FROM_START,
-        "ab%%": m.FROM_START,
-        "ab__": m.FROM_START,
-        "_": m.FROM_START,
-        "a_%": m.FROM_START,
-        "47423_____________37%": m.FROM_START,
-        "%ab": m.FROM_END,
-        "%a_b": m.FROM_END,
-        "%ab%": m.CONTAINS,
-        "a%b": m.GENERAL,
-        "%a_b%": m.GENERAL,
-        "a\\%": m.GENERAL,
+        "abc": (f"{e}abc{e}", -1, True),
+        "": (e + e, -1, True),
+        "%": (e, -1, True),
+        "ab%%": (e + "ab", -1, True),
+        "ab__": (e + "ab", 4, True),
+        "__ab": ("ab" + e, 4, True),
+        "_": ("", 1, True),
+        "%ab": ("ab" + e, -1, True),
+        "%ab%": ("ab", -1, True),
+        "a_%": (e + "a", -1, False),
+        "a%bc": ("bc" + e, -1, False),
+        "47423_____________37%": (e + "47423", -1, False),
+        "%a_bcd_e%": ("bcd", -1, False),
+        "a\\%": (e + "a", -1, False),
     }
-    df = spark.createDataFrame([(["", "abc", *cases],)], "p array<string>")
-    got = df.select(m.shape_masks(F.col("p"))).head()[0]
-    assert got.whole == ["", "abc"]
-    assert [s.shape for s in got.shaped] == list(cases.values())
-    assert [tuple(x) for x in got.shaped[5].pieces] == [(0, "47423"), (18, "37")]
+    df = spark.createDataFrame([(list(cases),)], "p array<string>")
+    got = df.select(F.inline(m.parse_masks(F.col("p")))).select("text", "length", "told").collect()
+    assert [(bytes(r.text, "utf-8", "replace").decode(), r.length, r.told) for r in got] == list(cases.values())
 
 
 def test_patterns_that_like_refuses_are_found(spark):
@@ -101,4 +122,4 @@ def test_patterns_that_like_refuses_are_found(spark):
 
 def test_underscore_is_a_wildcard(spark):
     df = spark.createDataFrame([("AUTO-KNU", ["AUTO_KNU"])], "v string, p array<string>")
-    assert df.select(m.any_shape(F.col("v"), m.shape_masks(F.col("p")))).head()[0]
+    assert df.select(m.any_mask(F.col("v"), m.parse_masks(F.col("p")))).head()[0]

@@ -1,5 +1,7 @@
 """The shape of the plans, and what a hot key does to them."""
 
+import contextlib
+import io
 import re
 from datetime import date, datetime
 
@@ -8,11 +10,13 @@ from pyspark.sql import functions as F
 
 from ledgertag import classify
 from ledgertag.functions.period import Period
-from ledgertag.operators.apply import SALTS, apply_rules
+from ledgertag.operators import lookup
+from ledgertag.operators import apply as application
+from ledgertag.operators.apply import apply_rules, deal
 from ledgertag.operators.compile import compile_rules
-from ledgertag.operators.lookup import EVERY, PAIR, by_key, path_of, transaction_keys, with_path
+from ledgertag.operators.lookup import EVERY, PAIR, filed, measure, path_of, refiled, with_path
 from ledgertag.operators.resolve import merge_ids, resolve_side
-from ledgertag.config import DEBIT
+from ledgertag.config import DEBIT, DEFAULT
 from tests.test_strategies import END, START, frames, make_data
 from workload.strategies import STRATEGIES, classify_by
 
@@ -38,7 +42,8 @@ def test_join_plan_has_one_scan_one_exchange_and_one_hash_join(inputs):
     plan = plan_of(classify(*inputs, START, END))
     assert count(plan, "FileScan parquet") == 1
     assert count(plan, "Exchange") == 1
-    assert count(plan, "BroadcastHashJoin") == 1
+    # One for the keys, and one for the rules whose whole condition needs more than framed texts.
+    assert 1 <= count(plan, "BroadcastHashJoin") <= 2
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
@@ -70,33 +75,145 @@ def test_building_runs_few_jobs(spark, inputs):
     assert 0 < len(jobs) <= 12
 
 
-def test_rules_beyond_the_limit_meet_in_one_salted_join(spark):
-    """One scan for the keyed rules, and a key with all rows is spread over the salts."""
-    _, rule_df, _ = frames(spark, [], make_data(7, rules=40)[1], [])
-    compiled = compile_rules(rule_df, Period(START, END)).filter("size(dt_codes) > 0")
-    n = F.col("id")
-    tx = spark.range(0, 20_000, 1, 4).select(
-        n.cast("string").alias("id_pk"),
+def plain_rules(spark, n, codes=None, purposes=None, dates=None):
+    """Rules with the given expressions of ``id`` for code and purpose lists and dates."""
+    i, blank = F.col("id"), F.lit("")
+    lo, hi = dates or (F.lit(None).cast("date"), F.lit(None).cast("date"))
+    return spark.range(n).select(
+        i.alias("id_pk"),
+        F.lit("30000").alias("dt_tax_item"),
+        blank.alias("kt_tax_item"),
+        (codes if codes is not None else blank).alias("dt_tax_item_ofr_list"),
+        *[blank.alias(c) for c in ("kt_tax_item_ofr_list", "account_mask_rule", "dt_account_mask_list", "kt_account_mask_list")],
+        F.lit("INCLUDE").alias("payment_purpose_rule"),
+        (purposes if purposes is not None else blank).alias("payment_purpose_pattern_list"),
+        lo.alias("start_date"),
+        hi.alias("end_date"),
+    )
+
+
+def plain_transactions(spark, n, code, purpose="pay x", at="2021-02-01 10:00:00"):
+    return spark.range(0, n, 1, 6).select(
+        F.col("id").cast("string").alias("id_pk"),
         F.lit("2021-02-01").cast("date").alias("input_dt"),
-        F.lit("2021-02-01 10:00:00").cast("timestamp").alias("operation_date"),
+        F.lit(at).cast("timestamp").alias("operation_date"),
         F.lit("70601").alias("dt_account"),
         F.lit("70602").alias("kt_account"),
-        F.lit("A1").alias("dt_tax_item_ofr"),
+        code.alias("dt_tax_item_ofr"),
         F.lit("C").alias("kt_tax_item_ofr"),
-        F.lit("pay x").alias("payment_purpose"),
+        F.lit(purpose).alias("payment_purpose"),
     )
-    keyed = with_path(compiled).filter(F.col("path") != EVERY).drop("path", "keys")
-    joined = apply_rules(tx, keyed, broadcast_bytes=1)
-    plan = plan_of(joined)
-    assert count(plan, "Range") == 1 and "Broadcast" not in plan
-    assert count(plan, "ShuffledHashJoin") == 1
+
+
+def test_a_hot_key_beyond_the_limit_is_salted_in_proportion(spark):
+    """A third of all rows have one key; no task gets much more than the others, and cold rules come once."""
+    compiled = compile_rules(plain_rules(spark, 4000, F.concat(F.lit("c"), F.col("id"))), Period(START, END))
+    n = F.col("id")
+    tx = plain_transactions(spark, 60_000, F.when(n % 3 == 0, "c7").otherwise(F.concat(F.lit("c"), n % 4000)))
+    rules = lookup.filed(compiled)
+    found = measure(rules)
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        parts = joined.select(F.spark_partition_id().alias("p")).distinct().count()
+        joined = apply_rules(tx, compiled, broadcast_bytes=1)
+        plan = plan_of(joined)
+        assert count(plan, "ShuffledHashJoin") == 1 and count(plan, "SortMergeJoin") == 0
+        dealt, spread = deal(tx, rules, found, 1)
+        copies = [r["count"] for r in spread.groupBy("key").count().filter("count > 1").collect()]
+        assert len(copies) == 1 and 40 <= copies[0] <= 60 and spread.count() == 3999 + copies[0]
+        placed = dealt.repartition(40, "_path", "_slot", "_key", "_salt").groupBy(F.spark_partition_id()).count()
+        sizes = sorted(r["count"] for r in placed.collect())
+        assert len(sizes) == 40 and sizes[-1] <= 3 * sizes[20]
+        assert joined.count() == 60_000
     finally:
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert joined.count() == apply_rules(tx, keyed).count() > 20_000
-    assert parts >= 4 and SALTS > 8
+
+
+def test_rules_without_a_key_beyond_the_limit_are_dealt_to_blocks(spark):
+    """Every transaction meets every block once, in one join of one scan; nothing that grows is broadcast."""
+    masks = F.concat(F.lit("%"), F.col("id") % 7, F.lit("%"))
+    compiled = compile_rules(plain_rules(spark, 500, purposes=masks), Period(START, END))
+    tx = plain_transactions(spark, 2000, F.lit("c"), "pay 1 and 2")
+    rules = lookup.filed(compiled)
+    found = measure(rules)
+    assert found.paths == [EVERY] and not found.crowded
+    limit = found.every_bytes // 3
+    dealt, spread = deal(tx, rules, found, limit)
+    blocks = dealt.select("_slot").distinct().count()
+    assert blocks >= 16 and dealt.count() == 2000 * blocks
+    per_task = spread.withColumn("bytes", lookup.row_bytes(rules.select(*[c for c in rules.columns if c in spread.columns]).schema))
+    per_task = per_task.repartition(8, "path", "slot", "key", "salt").groupBy(F.spark_partition_id()).agg(F.sum("bytes")).collect()
+    assert max(r[1] for r in per_task) <= limit
+    joined = apply_rules(tx, compiled, broadcast_bytes=limit)
+    assert joined.count() == 2000 * sum(n % 7 in (1, 2) for n in range(500))
+
+
+def candidates_of(spark, rules, purpose, day):
+    """Pairs of one transaction and filed rules that share a key."""
+    found = measure(rules)
+    tx = plain_transactions(spark, 1, F.lit("c"), purpose, f"{day} 10:00:00")
+    probe = application._probe(tx, found.paths, DEFAULT)
+    on = (F.col("_path") == F.col("path")) & (F.col("_key") == F.col("key")) & (F.col("_slot") == F.col("slot"))
+    return probe.join(rules, on).count()
+
+
+def test_candidates_among_many_rules_for_inner_texts(spark):
+    """Rules that fix no end of a value are found by the rarest characters of their texts."""
+    texts = F.concat(F.lit("%contract no "), F.format_string("%06d", F.col("id")), F.lit("%"))
+    compiled = compile_rules(plain_rules(spark, 20_000, purposes=texts), Period(START, END))
+    first = filed(compiled)
+    assert measure(first).crowded and measure(first).paths == [EVERY]
+    rules = refiled(first).cache()
+    assert rules.filter(F.col("path") == EVERY).isEmpty() and rules.count() == 20_000
+    assert candidates_of(spark, rules, "payment under contract no 004242, second part", "2021-02-01") <= 12
+    tx = plain_transactions(spark, 3, F.lit("c"), "payment under contract no 004242, contract no 004243")
+    assert sorted({r.rid for r in apply_rules(tx, compiled).collect()}) == [4242, 4243]
+    assert apply_rules(tx, compiled).count() == 6
+    rules.unpersist()
+
+
+def test_candidates_among_many_versions_of_a_rule(spark):
+    """Ten thousand versions, each valid for a month, meet a day by its dyadic intervals."""
+    first = F.add_months(F.lit("1200-01-01").cast("date"), F.col("id").cast("int"))
+    versions = plain_rules(spark, 10_000, F.lit("c"), dates=(first, F.last_day(first)))
+    period = Period(date(1200, 1, 1), date(2030, 1, 1))
+    rules = refiled(filed(compile_rules(versions, period))).cache()
+    assert rules.count() <= 10_000 * 10
+    assert rules.groupBy("uid").count().filter("count > 10").isEmpty()
+    assert measure(filed(compile_rules(versions, period))).crowded
+    assert candidates_of(spark, rules, "x", "2021-02-01") == 1
+    assert candidates_of(spark, rules, "x", "1900-12-31") == 1
+    tx = plain_transactions(spark, 2, F.lit("c"))
+    got = apply_rules(tx, compile_rules(versions, period)).collect()
+    assert [r.rid for r in got] == [(2021 - 1200) * 12 + 1] * 2
+    rules.unpersist()
+
+
+def test_dyadic_intervals(spark):
+    rows = [(lo, lo + n) for lo in (-40, -3, 0, 5, 8, 1023) for n in (0, 1, 2, 3, 7, 8, 30, 364, 5000)]
+    df = spark.createDataFrame(rows, "lo int, hi int").select("lo", "hi", lookup.dyadic(F.col("lo"), F.col("hi")).alias("p"))
+    for r in df.collect():
+        days = [d for p in r.p for d in range(p.place << p.level, (p.place + 1) << p.level)]
+        assert sorted(days) == list(range(r.lo, r.hi + 1))
+        assert len(r.p) <= 2 * (r.hi - r.lo + 1).bit_length()
+
+
+def test_the_residual_stays_in_generated_code_that_java_compiles(spark, inputs):
+    """No higher-order function in the join, and no method of more than 8,000 bytes."""
+    tx, rules, classifier = inputs
+    joined = apply_rules(tx, compile_rules(rules, Period(START, END)))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            joined.explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+    plan = next(part for part in out.getvalue().split("== Subtree") if "Generate" in part and "BroadcastHashJoin" in part)
+    assert max(sizes) <= 8000 and "array_contains" in plan
 
 
 def test_candidates_per_transaction_among_many_rules(spark):
@@ -116,14 +233,14 @@ def test_candidates_per_transaction_among_many_rules(spark):
         F.lit(None).cast("date").alias("end_date"),
     )
     rules = rules.withColumn("payment_purpose_pattern_list", F.replace("payment_purpose_pattern_list", F.lit("%, "), F.lit("%")))
-    keyed = by_key(compile_rules(rules, Period(START, END)))
+    keyed = filed(compile_rules(rules, Period(START, END)))
     per_key = keyed.groupBy("path", "key").count().agg(F.max("count")).head()[0]
     assert per_key <= 12
     assert keyed.filter(F.col("path") == EVERY).isEmpty()
     paths = [r.path for r in keyed.select("path").distinct().collect()]
     one = spark.createDataFrame([("x", "payment under contract 4242-7 and ref 4243")], "a string, payment_purpose string")
     one = one.withColumns({c: F.lit("") for c in ("dt_tax_item_ofr", "kt_tax_item_ofr", "dt_account", "kt_account")})
-    probe = one.select(F.inline(transaction_keys(paths)))
+    probe = one.select(F.inline(lookup.probes(paths, F.lit(START))))
     assert probe.join(keyed, ["path", "key"]).count() <= 24
 
 
@@ -159,7 +276,7 @@ def test_a_pair_of_transaction_and_rule_meets_once(spark, inputs):
     numbered = tx.withColumn("n", F.monotonically_increasing_id())
     pairs = apply_rules(numbered, compiled)
     assert pairs.groupBy("n", "rid").count().filter("count > 1").isEmpty()
-    assert by_key(compiled).groupBy("rid", "path", "key").count().filter(
+    assert filed(compiled).groupBy("rid", "path", "key").count().filter(
         "count > 1"
     ).isEmpty()
 

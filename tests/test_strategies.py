@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ledgertag import classify
 from ledgertag.functions.period import Period
 from ledgertag.operators import apply as application
+from ledgertag.operators import lookup
 from ledgertag.operators.compile import compile_rules, rejected_rules
-from ledgertag.operators.lookup import EVERY, by_key, measure, shaped
+from ledgertag.operators.lookup import EVERY, filed, measure
 from ledgertag.operators.resolve import (
     candidates,
     consolidate,
@@ -149,17 +150,14 @@ def test_matches_equal_the_model(data, strategy):
     assert Counter(tuple(r[n] for n in names) for r in got.collect()) == expected
 
 
-@pytest.mark.parametrize("part", ["chunks", "salted", "nothing fits"])
+@pytest.mark.parametrize("part", ["blocks", "salted", "nothing fits"])
 def test_rules_beyond_the_broadcast_limit(data, part):
-    """Chunks of rules without a key, and the salted join of the others, change nothing."""
+    """The salted join, with the rules without a key in one block or in many, changes nothing."""
     (txs, rules, _), (tx, rule_df, _) = data
     compiled = compile_rules(rule_df, Period(START, END))
-    found = measure(shaped(by_key(compiled)))
-    assert EVERY in found.paths and len(found.paths) > 3
-    every = sum(found.every_bytes.values())
-    limit = {"chunks": max(found.keyed_bytes, every // 2), "salted": found.keyed_bytes - 1, "nothing fits": 1}[part]
-    chunks = found.chunks(limit)
-    assert sorted(c for chunk in chunks for c in chunk) == sorted(found.every_bytes)
+    found = measure(filed(compiled))
+    assert EVERY in found.paths and len(found.paths) > 3 and found.general
+    limit = {"blocks": found.every_bytes // 2, "salted": found.keyed_bytes - 1, "nothing fits": 1}[part]
     got = application.apply_rules(tx, compiled, broadcast_bytes=limit)
     expected = Counter(
         (t["id_pk"], r["id_pk"]) for t, r in model.pairs(txs, rules, START, END)
@@ -168,6 +166,34 @@ def test_rules_beyond_the_broadcast_limit(data, part):
     assert Counter((r.id_pk, r.rid) for r in got.collect()) == expected
 
 
+@pytest.mark.parametrize("limit", [application.BROADCAST_BYTES, 1])
+def test_crowded_keys_are_filed_anew(spark, limit, monkeypatch):
+    """Rules by inner texts and by days give the pairs of the plain model, one row per pair of rows."""
+    monkeypatch.setattr(lookup, "CROWD", 3)
+    rng = random.Random(4)
+    txs, rules, _ = make_data(5, transactions=300, rules=30)
+    words = ["abcde", "bcdef", "cdefgh", "payment", "ментал", "aaaaaa", "ab", "tax, x"]
+    for t in txs:
+        t["payment_purpose"] = rng.choice([None, "", " ".join(rng.choices(words, k=rng.randrange(1, 6)))])
+    for r in rules:
+        masks = [f"%{rng.choice(words)[: rng.randrange(3, 8)].replace(',', '/,')}%" for _ in range(rng.choice([1, 1, 2, 3, 5]))]
+        r["payment_purpose_pattern_list"] = ", ".join(masks + rng.choice([[], [], ["%a%b%"], ["%cdefgh%pay_ent%"]]))
+        r["payment_purpose_rule"] = rng.choice(["INCLUDE", "INCLUDE", "INCLUDE", "EXCLUDE"])
+        if rng.random() < 0.7:
+            r["dt_tax_item_ofr_list"] = r["kt_tax_item_ofr_list"] = ""
+            r["dt_account_mask_list"] = r["kt_account_mask_list"] = ""
+        r["start_date"] = START + timedelta(days=rng.randrange(60))
+        r["end_date"] = r["start_date"] + timedelta(days=rng.randrange(12))
+    tx, rule_df, _ = frames(spark, txs, rules, [])
+    compiled = compile_rules(rule_df, Period(START, END))
+    kinds = {lookup.undated(p) for p in measure(lookup.refiled(filed(compiled))).paths}
+    assert any(b >= lookup.gram_path(4, 0) for b, _ in kinds) and any(level >= 0 for _, level in kinds)
+    got = application.apply_rules(tx, compiled, broadcast_bytes=limit)
+    expected = Counter((t["id_pk"], r["id_pk"]) for t, r in model.pairs(txs, rules, START, END))
+    assert sum(expected.values()) > 40
+    assert Counter((r.id_pk, r.rid) for r in got.collect()) == expected
+
+
 def test_the_steps_one_by_one_give_the_same_result(data):
     """Side winners, union, greatest items and join back, against the fast form."""
     _, (tx, rules, classifier) = data
