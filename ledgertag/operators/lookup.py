@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from ledgertag.config import DEFAULT, Layout
 from ledgertag.functions.masks import frames, parse_masks
+from ledgertag.functions.period import dyadic, interval_of
 from ledgertag.functions.predicates import LIST_SLOTS
 from ledgertag.operators.compile import CODE_LISTS, MASK_LISTS
 
@@ -48,8 +49,6 @@ GRAM_WIDTHS = (12, 8, 5, 3)
 # Values have about as many keys of that kind, which is what looking them up costs. With fewer rules that
 # have no other key, checking each is cheaper.
 CROWD = 64
-# Days are halved so often: 2 ** 23 days are more than all years with four digits.
-LEVELS = 23
 
 # Cells in which the size of the rules is measured.
 CELLS = 256
@@ -270,7 +269,7 @@ def _crowded() -> Column:
 def _by_days(rules: DataFrame) -> DataFrame:
     crowded = rules.groupBy("path", "key").agg(_crowded().alias("_crowded")).filter("_crowded")
     placed = rules.join(crowded, ["path", "key"], "left")
-    pieces = F.when(F.col("_crowded"), dyadic(F.unix_date("lo"), F.unix_date("hi"))).otherwise(
+    pieces = F.when(F.col("_crowded"), dyadic(F.col("lo"), F.col("hi"))).otherwise(
         F.array(F.struct(F.lit(-1).alias("level"), F.col("slot").alias("place")))
     )
     other = [c for c in rules.columns if c not in ("path", "slot", "nth")]
@@ -283,28 +282,6 @@ def _by_days(rules: DataFrame) -> DataFrame:
     ).select(*rules.columns)
 
 
-def dyadic(lo: Column, hi: Column) -> Column:
-    """The fewest dyadic intervals that make up the days ``lo`` to ``hi``: ``array<struct<level, place>>``.
-
-    At each level the first interval stays if its place is odd, and so does the last if it has an even one.
-    """
-
-    def at(level: Column) -> Column:
-        size = F.call_function("shiftleft", F.lit(1).cast("long"), level)
-        first = F.ceil(lo / size)
-        end = F.floor((hi + 1) / size)
-
-        def piece(wanted: Column, place: Column) -> Column:
-            return F.when(
-                (first < end) & wanted, F.struct(level.alias("level"), place.cast("int").alias("place"))
-            )
-
-        return F.array(piece(F.pmod(first, F.lit(2)) == 1, first), piece(F.pmod(end, F.lit(2)) == 1, end - 1))
-
-    levels = F.sequence(F.lit(0), F.lit(LEVELS - 1))
-    return F.array_compact(F.flatten(F.transform(levels, at)))
-
-
 def probes(paths: list[int], day: Column, blocks: int = 1, layout: Layout = DEFAULT) -> Column:
     """What one transaction looks up: ``array<struct<path, slot, key, value, width>>``.
 
@@ -333,7 +310,7 @@ def probes(paths: list[int], day: Column, blocks: int = 1, layout: Layout = DEFA
         base, level = undated(path)
         slots = [F.lit(b) for b in range(blocks if path == EVERY else 1)]
         if level >= 0:
-            slots = [F.call_function("shiftright", F.unix_date(day), F.lit(level))]
+            slots = [interval_of(day, level)]
         texts = []
         if with_texts:
             i, width = divmod(base - _GRAMS, _PER_LIST) if base >= _GRAMS else (0, 0)

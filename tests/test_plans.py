@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgertag import classify
-from ledgertag.functions.period import Period
+from ledgertag.functions.period import Period, dyadic
 from ledgertag.operators import lookup
 from ledgertag.operators import apply as application
 from ledgertag.operators.apply import apply_rules, deal
@@ -192,8 +192,9 @@ def test_candidates_among_many_versions_of_a_rule(spark):
 
 
 def test_dyadic_intervals(spark):
-    rows = [(lo, lo + n) for lo in (-40, -3, 0, 5, 8, 1023) for n in (0, 1, 2, 3, 7, 8, 30, 364, 5000)]
-    df = spark.createDataFrame(rows, "lo int, hi int").select("lo", "hi", lookup.dyadic(F.col("lo"), F.col("hi")).alias("p"))
+    rows = [(5, 4), *((lo, lo + n) for lo in (-40, -3, 0, 5, 8, 1023) for n in (0, 1, 2, 3, 7, 8, 30, 364, 5000))]
+    days = [F.date_add(F.lit("1970-01-01").cast("date"), F.col(c)) for c in ("lo", "hi")]
+    df = spark.createDataFrame(rows, "lo int, hi int").select("lo", "hi", dyadic(*days).alias("p"))
     for r in df.collect():
         days = [d for p in r.p for d in range(p.place << p.level, (p.place + 1) << p.level)]
         assert sorted(days) == list(range(r.lo, r.hi + 1))
