@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgertag.config import DEFAULT, Layout
@@ -15,6 +15,41 @@ from ledgertag.operators.compile import assigning, compile_rules
 from ledgertag.operators.resolve import candidates, consolidate, merge_ids
 from ledgertag.operators.tag import tag_sides
 from ledgertag.operators.validate import validate_rules
+from ledgertag.sources.readers import BROKEN
+
+
+class Watch:
+    """Counts taken while the result is computed, without an action of their own.
+
+    As rows are counted where they pass, a stage that runs again after a loss of executors may be counted again.
+    Without names nothing is counted and no plan changes.
+    """
+
+    def __init__(self, lines: str | None = None, matches: str | None = None, result: str | None = None):
+        self._seen = {k: Observation(n) if n else None for k, n in (("lines", lines), ("matches", matches), ("result", result))}
+
+    def lines(self, read: DataFrame) -> DataFrame:
+        """Counts the lines of a scan that can't be read."""
+        broken = F.count_if(F.col(BROKEN).isNotNull()) if BROKEN in read.columns else F.lit(0).cast("long")
+        return self._observe("lines", read, F.count(F.lit(1)).alias("lines"), broken.alias("broken"))
+
+    def matches(self, pairs: DataFrame) -> DataFrame:
+        """Counts pairs of transactions and rules, and the rules that matched, approximately."""
+        return self._observe(
+            "matches", pairs, F.count(F.lit(1)).alias("matches"), F.approx_count_distinct("rid").alias("rules")
+        )
+
+    def result(self, rows: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
+        tagged = [F.count(s.result).alias(f"{s.name}_tagged") for s in layout.sides]
+        return self._observe("result", rows, F.count(F.lit(1)).alias("rows"), *tagged)
+
+    def _observe(self, name: str, df: DataFrame, *metrics: Column) -> DataFrame:
+        seen = self._seen[name]
+        return df.observe(seen, *metrics) if seen else df
+
+    def found(self) -> dict[str, int]:
+        """All counts, once the result has been computed."""
+        return {k: v for seen in self._seen.values() if seen for k, v in seen.get.items()}
 
 
 def classify(
@@ -24,20 +59,23 @@ def classify(
     start_date: str | date,
     end_date: str | date,
     layout: Layout = DEFAULT,
+    watch: Watch | None = None,
 ) -> DataFrame:
     """Tag transactions of a period with the items of the rules they meet.
 
     Building the plan checks, freezes and measures the rules, which are two actions over
     them; the transactions are not read before the caller's action. A rule that can't be
     applied (see :func:`ledgertag.operators.compile.rejected_rules`) raises an error that
-    names it. Without a rule that applies the result is empty and has the same columns.
+    names it. Without a rule that applies the result is empty and has the same columns. ``watch`` counts
+    what passes while the result is computed.
     """
+    watch = watch or Watch()
     period = Period.parse(start_date, end_date)
     valid = validate_rules(rules, classifier, period, layout)
     compiled = assigning(compile_rules(valid, period, layout))
-    matches = apply_rules(taggable_rows(tx, period, layout), compiled, layout)
+    matches = watch.matches(apply_rules(taggable_rows(tx, period, layout), compiled, layout))
     found = candidates(tag_sides(matches, layout), layout)
-    result = consolidate(merge_ids(found, layout), layout)
+    result = watch.result(consolidate(merge_ids(found, layout), layout), layout)
     return result.select(
         layout.key,
         layout.loaded,

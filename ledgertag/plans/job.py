@@ -5,14 +5,21 @@ from __future__ import annotations
 import argparse
 import logging
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgertag.config import DEFAULT, Layout
 from ledgertag.functions.period import Period
 from ledgertag.operators.compile import rejected_rules
 from ledgertag.operators.validate import applied_rules, validate_rules
-from ledgertag.plans.classify import classify
-from ledgertag.sources.readers import read_classifier, read_rules, read_transactions
+from ledgertag.plans.classify import Watch, classify
+from ledgertag.sources.readers import (
+    BROKEN,
+    broken_lines,
+    read_classifier,
+    read_rules,
+    read_transactions,
+    sound_rows,
+)
 from ledgertag.sources.sinks import write_result
 
 log = logging.getLogger(__name__)
@@ -31,23 +38,37 @@ def run_job(
     mode: str = "errorifexists",
     source: str = "json",
     zone: str = "UTC",
+    quarantine: str | None = None,
     layout: Layout = DEFAULT,
-) -> None:
+) -> dict[str, int]:
     """``paths`` names the ``transactions``, ``rules`` and ``classifier`` files.
 
     Moments are read and cut to days in ``zone``, whatever the session's own. Reports the
     ids of the rules that are applied, and warns if there are none. Rules that
-    can't be applied at all end the job before anything is written.
+    can't be applied at all end the job before anything is written. ``mode`` may be ``refresh``, which replaces the
+    load dates that the result has and leaves others as they are.
+
+    Lines of transactions that can't be read, as far as the job reads them, are counted and warned of. A transaction of which the id could be read takes part, with nulls for
+    what could not. A broken line among the rules or the classifier
+    ends the job, unless ``quarantine`` names a folder: there all broken lines are written, with their files, below
+    the name of their input and the period, and the job goes on without them. Returns the counts of the run, which come from the
+    pass that writes the result.
     """
     own = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        rules = read_rules(spark, paths["rules"], source)
-        classifier = read_classifier(spark, paths["classifier"], source)
+        period = Period.parse(start_date, end_date)
+        read = {
+            "rules": read_rules(spark, paths["rules"], source, broken=True),
+            "classifier": read_classifier(spark, paths["classifier"], source, broken=True),
+            "transactions": read_transactions(spark, paths["transactions"], source, broken=True),
+        }
+        for name in ("rules", "classifier"):
+            _refuse_broken(read[name], name, quarantine, period)
+        rules, classifier = (sound_rows(read[n]) for n in ("rules", "classifier"))
         if bad := rejected_rules(rules, layout).limit(MOST_LISTED).collect():
             listed = ", ".join(f"{r['rid']} ({r['reason']})" for r in bad)
             raise ValueError(f"rules that can't be applied: {listed}")
-        period = Period.parse(start_date, end_date)
         valid = validate_rules(rules, classifier, period, layout)
         ids = [r["rid"] for r in applied_rules(valid, layout).limit(MOST_LISTED + 1).collect()]
         if ids:
@@ -55,13 +76,40 @@ def run_job(
             log.info("applied rules: %s%s", ", ".join(map(str, ids[:MOST_LISTED])), more)
         else:
             log.warning("no rule applies between %s and %s", start_date, end_date)
-        transactions = read_transactions(spark, paths["transactions"], source)
-        result = classify(transactions, rules, classifier, start_date, end_date, layout)
+        transactions = read["transactions"]
+        has_lines = BROKEN in transactions.columns
+        # A scan of another format is left as it is, so that filters reach it.
+        watch = Watch("lines" if has_lines else None, "matches" if ids else None, "result")
+        result = classify(sound_rows(watch.lines(transactions), layout.key), rules, classifier, start_date, end_date, layout, watch)
         write_result(result, out, mode, layout)
+        counts = (watch.found() if ids else {}) or {"rows": 0}
+        log.info("counts: %s", ", ".join(f"{k} {v}" for k, v in counts.items()))
+        if counts.get("broken"):
+            log.warning("%d lines of the transactions can't be read", counts["broken"])
+            if quarantine:
+                _keep_broken(transactions, "transactions", quarantine, period)
+        return counts
     finally:
         spark.conf.set("spark.sql.session.timeZone", own)
 
 
+def _refuse_broken(read: DataFrame, name: str, quarantine: str | None, period: Period) -> None:
+    if BROKEN not in read.columns:
+        return
+    n = broken_lines(read).count()
+    if not n:
+        return
+    if not quarantine:
+        raise ValueError(f"{n} lines of the {name} can't be read")
+    log.warning("%d lines of the %s can't be read", n, name)
+    _keep_broken(read, name, quarantine, period)
+
+
+def _keep_broken(read: DataFrame, name: str, quarantine: str, period: Period) -> None:
+    """Write the broken lines; a run for the same period replaces them."""
+    broken_lines(read).write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/{name}/period={period.start}_{period.end}")
+
+
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="ledgertag", description=__doc__)
     # How the flags are spelt.
@@ -75,6 +123,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--mode", default="errorifexists")
     parser.add_argument("--source", default="json")
     parser.add_argument("--zone", default="UTC")
+    parser.add_argument("--quarantine")
     return parser.parse_args(argv)
 
 
@@ -93,6 +142,7 @@ def main(argv: list[str] | None = None) -> None:
         args.mode,
         args.source,
         args.zone,
+        args.quarantine,
     )
 
 

@@ -3,30 +3,64 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from ledgertag.schemas import CLASSIFIER_SCHEMA, RULE_SCHEMA, TX_SCHEMA
 
+# Holds the text of a line that can't be read, null for all others.
+BROKEN = "_broken_line"
+# Formats whose lines may be broken.
+LINES = ("json", "csv")
 
-def read_transactions(
-    spark: SparkSession, path: str, source: str = "json"
-) -> DataFrame:
-    return _scan(spark, path, source, TX_SCHEMA)
+
+def read_transactions(spark: SparkSession, path: str, source: str = "json", broken: bool = False) -> DataFrame:
+    return _scan(spark, path, source, TX_SCHEMA, broken)
 
 
-def read_rules(spark: SparkSession, path: str, source: str = "json") -> DataFrame:
-    return _scan(spark, path, source, RULE_SCHEMA)
+def read_rules(spark: SparkSession, path: str, source: str = "json", broken: bool = False) -> DataFrame:
+    return _scan(spark, path, source, RULE_SCHEMA, broken)
 
 
-def read_classifier(spark: SparkSession, path: str, source: str = "json") -> DataFrame:
-    return _scan(spark, path, source, CLASSIFIER_SCHEMA)
+def read_classifier(spark: SparkSession, path: str, source: str = "json", broken: bool = False) -> DataFrame:
+    return _scan(spark, path, source, CLASSIFIER_SCHEMA, broken)
 
 
 def _scan(
-    spark: SparkSession, path: str, source: str, schema: StructType
+    spark: SparkSession, path: str, source: str, schema: StructType, broken: bool
 ) -> DataFrame:
-    reader = spark.read.schema(schema)
+    """Rows of the declared schema.
+
+    A line that can't be read becomes a row of nulls, as does a value that isn't of its type. With ``broken``, and a
+    format that has lines, such lines stand in the column ``BROKEN``.
+    """
+    reader = spark.read
+    if broken and source in LINES:
+        schema = StructType([*schema.fields]).add(BROKEN, StringType())
+        reader = reader.option("columnNameOfCorruptRecord", BROKEN)
     if source == "json":
         # One record per line, so a large file is read by many tasks.
         reader = reader.option("multiLine", False)
-    return reader.format(source).load(path)
+    return reader.schema(schema).format(source).load(path)
+
+
+def broken_lines(read: DataFrame) -> DataFrame:
+    """``file, line`` of the lines of a scan with ``broken`` that can't be read, wholly or in part."""
+    # Only columns that are asked for are looked at; a hash asks for all, and refuses none.
+    asked = F.xxhash64(*[c for c in read.columns if c != BROKEN]) >= -(2**63)
+    return read.filter(F.col(BROKEN).isNotNull() & asked).select(
+        F.col("_metadata.file_path").alias("file"), F.col(BROKEN).alias("line")
+    )
+
+
+def sound_rows(read: DataFrame, key: str | None = None) -> DataFrame:
+    """The rows of a scan with ``broken`` whose lines could be read.
+
+    With a ``key`` also those of which the key at least could be read; what could not is null there.
+    """
+    if BROKEN not in read.columns:
+        return read
+    sound = F.col(BROKEN).isNull()
+    if key:
+        sound = sound | F.col(key).isNotNull()
+    return read.filter(sound).drop(BROKEN)

@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame
 
 from ledgertag.config import DEFAULT, Layout
 
+# Replaces the load dates that the result has, and leaves all others as they are.
+REFRESH = "refresh"
+# Ids of one file that its Bloom filters are made for.
+IDS_PER_FILE = 1_000_000
+
 
 def write_result(
     result: DataFrame,
@@ -18,14 +23,23 @@ def write_result(
 
     Rows are rebalanced by load date first, so that each date gets few files.
     Unlike a plain repartition this splits a date that holds most of the rows
-    over several tasks.
+    over several tasks. Files are sorted by id and have Bloom filters of the ids, so that :func:`lookup` reads few
+    row groups. ``mode`` is one of Spark's, or ``refresh``: a run for dates that were written
+    before replaces those, and only those.
     """
-    (
+    writer = (
         result.hint("rebalance", layout.loaded)
-        .write.mode(mode)
-        .partitionBy(layout.loaded)
-        .parquet(path)
+        .sortWithinPartitions(layout.loaded, layout.key)
+        .write.partitionBy(layout.loaded)
+        .option(f"parquet.bloom.filter.enabled#{layout.key}", "true")
+        .option(f"parquet.bloom.filter.expected.ndv#{layout.key}", str(IDS_PER_FILE))
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
     )
+    if mode == REFRESH:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode).option("partitionOverwriteMode", "static")
+    writer.parquet(path)
 
 
 def materialise(df: DataFrame) -> int:
@@ -34,5 +48,8 @@ def materialise(df: DataFrame) -> int:
 
 
 def lookup(df: DataFrame, key: str, layout: Layout = DEFAULT) -> DataFrame:
-    """Rows of one transaction id."""
+    """Rows of one transaction id.
+
+    In a written result only row groups are read whose range of ids holds the id and whose Bloom filter doesn't refuse it.
+    """
     return df.filter(df[layout.key] == key)

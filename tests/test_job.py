@@ -10,7 +10,7 @@ from ledgertag.functions.period import Period
 from ledgertag.operators.validate import applied_rules, validate_rules
 from ledgertag.plans.job import arguments
 from ledgertag.schemas import OUT_SCHEMA, RULE_SCHEMA
-from ledgertag.sources.readers import read_classifier, read_rules, read_transactions
+from ledgertag.sources.readers import broken_lines, read_classifier, read_rules, read_transactions, sound_rows
 from ledgertag.sources.sinks import lookup, materialise, write_result
 from tests import fixed_rows as rows
 from workload.strategies import STRATEGIES, classify_by
@@ -158,6 +158,115 @@ def test_job_reports_the_rules_it_applies(spark, paths, tmp_path, caplog):
     assert any(r.levelname == "WARNING" and "no rule applies" in r.message for r in caplog.records)
 
 
+def test_broken_lines_are_counted_and_kept(spark, paths, tmp_path, caplog):
+    """The transactions end in a broken line; rules and classifier get one each."""
+    kept = tmp_path / "kept"
+    bad = dict(paths)
+    for name in ("rules", "classifier"):
+        bad[name] = str(tmp_path / f"{name}.json")
+        with open(paths[name], encoding="utf-8") as f, open(bad[name], "w", encoding="utf-8") as g:
+            g.write(f.read() + '{"id_pk": 99, "tax_item_ofr": 1\n')
+        with pytest.raises(ValueError, match=f"1 lines of the {name}"):
+            run_job(spark, paths | {name: bad[name]}, *WHOLE, out=str(tmp_path / "refused"))
+    assert not (tmp_path / "refused").exists()
+    caplog.set_level("INFO", logger="ledgertag.plans.job")
+    for _ in range(2):  # a second run replaces what the first one kept
+        counts = run_job(spark, bad, *WHOLE, out=str(tmp_path / "out"), mode="refresh", quarantine=str(kept))
+    assert counts["broken"] == 1 and counts["lines"] >= 15 and counts["rows"] == len(rows.EXPECTED)
+    assert counts["matches"] >= counts["rows"] and counts["rules"] >= 1
+    tagged = [sum(t[n] is not None for t in rows.EXPECTED.values()) for n in (0, 1)]
+    assert [counts["dt_tagged"], counts["kt_tagged"]] == tagged
+    assert "1 lines of the transactions can't be read" in caplog.text and "counts: lines" in caplog.text
+    for name in ("transactions", "rules", "classifier"):
+        (line,) = spark.read.parquet(f"{kept}/{name}").select("file", "line").collect()
+        assert line.file.endswith(bad[name].split("/")[-1]) and line.line.startswith("{")
+    assert spark.read.parquet(str(tmp_path / "out")).count() == len(rows.EXPECTED)
+
+
+def test_a_transaction_that_can_be_read_in_part_takes_part(spark, tmp_path):
+    path = tmp_path / "part.json"
+    path.write_text('{"id_pk": "a", "operation_date": "2021-01-01T00:00:00Z", "input_dt": "x"}\n{"id_pk": \n{"id_pk": "b"}\n')
+    read = read_transactions(spark, str(path), broken=True)
+    assert sorted(r.id_pk for r in sound_rows(read, "id_pk").collect()) == ["a", "b"]
+    assert [r.id_pk for r in sound_rows(read).collect()] == ["b"]
+    assert broken_lines(read).count() == 2
+    assert "_broken_line" not in read_transactions(spark, str(path)).columns
+
+
+def test_files_of_other_formats_are_read_as_before(spark, inputs, tmp_path):
+    names = ("transactions", "rules", "classifier")
+    files = {n: str(tmp_path / n) for n in names}
+    for name, df in zip(names, inputs, strict=True):
+        df.filter("id_pk IS NOT NULL" if name != "classifier" else "true").write.parquet(files[name])
+    counts = run_job(spark, files, *WHOLE, out=str(tmp_path / "out"), source="parquet")
+    assert counts["rows"] == len(rows.EXPECTED) and "lines" not in counts
+
+
+def result_frame(spark, days, tag="1"):
+    return spark.range(40_000).select(
+        F.format_string("id-%08d", F.xxhash64("id") % 90_000_000).alias("id_pk"),
+        F.date_add(F.lit("2021-01-01").cast("date"), (F.col("id") % days).cast("int")).alias("input_dt"),
+        F.lit(tag).alias("dt_tax_item_auto"),
+    )
+
+
+def test_a_run_for_dates_that_exist_replaces_only_those(spark, tmp_path):
+    out = tmp_path / "out"
+    write_result(result_frame(spark, 3), str(out))
+
+    def files(day):
+        return {p.name: (p.stat().st_mtime_ns, p.read_bytes()) for p in (out / f"input_dt=2021-01-0{day}").glob("*.parquet")}
+
+    def contents(day):
+        return sorted(map(tuple, spark.read.parquet(str(out)).filter(f"input_dt = DATE'2021-01-0{day}'").collect()))
+
+    before, first = {d: files(d) for d in (1, 2, 3)}, contents(2)
+    one_day = result_frame(spark, 3).filter("input_dt = DATE'2021-01-02'")
+    write_result(one_day, str(out), "refresh")
+    assert files(1) == before[1] and files(3) == before[3]
+    assert {len(b) for _, b in files(2).values()} == {len(b) for _, b in before[2].values()}  # the same rows once more
+    assert contents(2) == first
+    write_result(one_day.withColumn("dt_tax_item_auto", F.lit("2")).limit(5), str(out), "refresh")
+    assert [r[1] for r in contents(2)] == ["2"] * 5 and files(1) == before[1]
+    write_result(one_day, str(out), "overwrite")
+    assert [p.name for p in out.glob("input_dt=*")] == ["input_dt=2021-01-02"]
+
+
+def rows_read(df):
+    """Rows that the scan passed on, after row groups are left out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if "Adaptive" in plan.nodeName() else plan
+    while plan.children().size():
+        plan = plan.children().apply(0)
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_a_lookup_reads_few_row_groups(spark, tmp_path):
+    """Files are sorted by id, and Bloom filters refuse ids that lie in a group's range."""
+    out = str(tmp_path / "out")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("parquet.block.size", "65536")
+    conf.set("parquet.page.row.count.limit", "1000")
+    try:
+        write_result(result_frame(spark, 2), out)
+    finally:
+        conf.unset("parquet.block.size")
+        conf.unset("parquet.page.row.count.limit")
+    written = spark.read.parquet(out)
+    files = written.inputFiles()
+    groups = sum(spark._jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
+        spark._jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(spark._jvm.org.apache.hadoop.fs.Path(f), conf)
+    ).getRowGroups().size() for f in files)
+    assert groups >= 6
+    held = written.select("id_pk").orderBy("id_pk").limit(20_000).collect()[-1].id_pk
+    assert lookup(written, held).count() >= 1
+    assert rows_read(lookup(written, held)) <= 40_000 / groups * 3
+    absent = [f"{held}x{n}" for n in range(20)]
+    read = [rows_read(lookup(written, a)) for a in absent]
+    assert sum(n == 0 for n in read) >= 18
+
+
 def test_job_refuses_rules_that_cannot_be_applied(spark, paths, tmp_path):
     records = list(rows.rule_records())
     broken = records[0] | {"id_pk": 77, "payment_purpose_pattern_list": "a\\b"}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -17,7 +18,8 @@ from ledgertag.operators.apply import apply_rules
 from ledgertag.operators.lookup import finds_whole_values, with_path
 from ledgertag.operators.tag import blank_tags, tag_sides, with_priorities
 from ledgertag.functions.tags import forced
-from ledgertag.sources.sinks import lookup
+from ledgertag.operators.settle import shared_folder
+from ledgertag.sources.sinks import lookup, write_result
 from workload import tables
 from workload.strategies import classify_by
 
@@ -79,6 +81,12 @@ class Inputs:
     def tagged(self) -> DataFrame:
         return blank_tags(tag_sides(self.matches))
 
+    def written(self) -> DataFrame:
+        """The result as the sink has written it, below the shared folder."""
+        path = f"{shared_folder(self.spark).rstrip('/')}/result-{uuid.uuid4().hex}"
+        write_result(self.classified(), path)
+        return self.spark.read.parquet(path)
+
     def classified(self) -> DataFrame:
         return classify(
             self.tx, self.rules, self.classifier, tables.START, tables.END
@@ -396,7 +404,7 @@ def rejected_rules(i: Inputs) -> DataFrame:
 
 @query
 def sink_partition_counts(i: Inputs) -> DataFrame:
-    return i.classified().groupBy("input_dt").agg(F.count("*").alias("n"))
+    return i.written().groupBy("input_dt").agg(F.count("*").alias("n"))
 
 
 @query
@@ -406,4 +414,4 @@ def count_tagged(i: Inputs) -> DataFrame:
 
 @query
 def point_lookup(i: Inputs) -> DataFrame:
-    return lookup(i.classified(), LOOKED_UP)
+    return lookup(i.written(), LOOKED_UP).select(*RESULT)
