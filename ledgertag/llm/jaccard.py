@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgertag.llm.common import SLICE, mixed, slices, tasks, text_of, utf8, written
+from ledgertag.llm.hubs import join_hubs
 from ledgertag.llm.links import BLOCK, DEALT, dealt, distinct_sorted, linked_components, may_hold, whole_hash
 
 WORDS = 5
@@ -144,8 +145,8 @@ def similar_documents(
     roots = linked_components(linked.mapInArrow(deal, DEALT), fetch, shingles, block)
     # Equal sets are told by their hash and size; only the least id of each went on.
     equal = linked.groupBy("whole", "n").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("c"))
-    equal = equal.filter("c > 1").select("whole", "n", "least")
-    placed = keyed.select("id", "n", "whole").join(equal, ["whole", "n"], "left")
+    equal = written(equal.filter("c > 1"), "equal")
+    placed = join_hubs(keyed.select("id", "n", "whole"), equal, ["whole", "n"], keyed.count(), count="c")
     placed = placed.withColumn("least", F.when(F.col("id").isNotNull(), F.coalesce("least", "id")))
     roots = roots.select(F.col("id").alias("least"), "root")
     return placed.join(roots, "least", "left").select(

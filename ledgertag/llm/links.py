@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgertag.llm.common import SLICE, mixed, settled, slices, tasks, utf8, written
+from ledgertag.llm.hubs import join_hubs
 
 DEALT = "part int, payload binary"
 #: Cells of more members are cut into blocks of so many, in order of size.
@@ -441,25 +442,26 @@ def components(links: DataFrame) -> DataFrame:
     """``id, root``: the smallest id of each component of the links (a, b), for ids that have links.
 
     Large-star and small-star steps: each joins neighbours to the least neighbour of
-    a node; both are grouped minima, which are combined before they are shuffled. Ends when the links,
-    by number and hash, don't change any more.
+    a node; both are grouped minima, which are combined before they are shuffled, and nodes with very many
+    neighbours are met by broadcast. Ends when the links, by number and hash, don't change any more.
     """
-    edges = settled(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
+    ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     state = None
     while True:
-        ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
-        both = edges.select(F.inline(ways))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        both = settled(edges.select(F.inline(ways)))
+        now = both.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if now == state:
+            return both.filter("u > v").select(F.col("u").alias("id"), F.col("v").alias("root"))
+        state, total = now, now[0]
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = join_hubs(both, least, "u", total, "inner").filter("v > u")
+        large = settled(large.select(F.col("v").alias("u"), F.col("m").alias("v")))
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
         # Each neighbour but the least is joined to it, and so is the node itself.
         ends = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
-        small = large.join(least, "u").select(ends.alias("u"), F.col("m").alias("v"))
-        edges = settled(small.distinct())
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == state:
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
-        state = now
+        small = join_hubs(large, least, "u", total // 2, "inner").select(ends.alias("u"), F.col("m").alias("v"))
+        edges = small.distinct()
 
 
 def linked_components(
