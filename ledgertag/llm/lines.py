@@ -26,6 +26,10 @@ SHORTEST = CHARS
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BLANKS = b" \t\r\n\f\v"
+#: For each slot of a signature, all slots in an order of its own.
+_ORDERS = np.argsort(
+    mixed(np.arange(1, (BANDS * ROWS) ** 2 + 1, dtype=np.uint64) * _STEP).reshape(BANDS * ROWS, -1), axis=1
+)
 
 
 def trimmed_lines(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
@@ -105,15 +109,19 @@ def band_keys(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     full = least != empty
     full[~full.any(axis=1)] = True  # no shingles at all
     own = least.copy()
-    open_ = np.argwhere(~full)
-    attempt = 0
-    while len(open_):  # an empty slot takes the value of the first full one in its own sequence
-        attempt += 1
-        rows, cols = open_.T
-        pick = (mixed(cols.astype(np.uint64) + _STEP * np.arange(attempt, attempt + 1, dtype=np.uint64)) % np.uint64(slots)).astype(np.int64)
+    lone = np.flatnonzero(full.sum(axis=1) == 1)
+    least[lone] = own[lone, full[lone].argmax(axis=1)][:, None]
+    open_ = ~full
+    open_[lone] = False
+    rows, cols = np.nonzero(open_)
+    # An empty slot takes the value of the first full one in its own order of all slots.
+    for k in range(slots if len(rows) else 0):
+        pick = _ORDERS[cols, k]
         ok = full[rows, pick]
         least[rows[ok], cols[ok]] = own[rows[ok], pick[ok]]
-        open_ = open_[~ok]
+        rows, cols = rows[~ok], cols[~ok]
+        if not len(rows):
+            break
     bands = least.reshape(n, BANDS, ROWS).astype(np.uint64)
     key = np.zeros((n, BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(ROWS):
@@ -136,16 +144,21 @@ def dedup_lines(
     ``n_lines`` or ``n_removed`` are replaced.
     """
     text, parts = text_of(text_col), tasks(docs.sparkSession)
-    keyed_docs = docs.drop("n_lines", "n_removed").withColumns(
-        {"_dl_doc": F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))), "_dl_tie": F.hash(text)}
+    # The row is one column here, so that no name of its columns clashes.
+    keyed_docs = docs.drop("n_lines", "n_removed").select(
+        F.struct("*").alias("_row"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("_dl_doc"),
+        F.hash(text).alias("_dl_tie"),
+    )
+    rows = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("_dl_doc"), F.hash(text).alias("_dl_tie"), text.alias("text")
     )
-    rows = keyed_docs.select("_dl_doc", "_dl_tie", text.alias("text"))
 
     def each(batches):
-        """Some rows and their lines' row, place, bytes and name, a few MB of text at a time."""
+        """Some rows and their lines' row, place, bytes and name, some text at a time."""
         for b in batches:
             raw, bounds = utf8(b.column("text"))
-            for x, z in slices(bounds, SLICE):
+            for x, z in slices(bounds, SLICE >> 2):
                 own = bounds[x : z + 1]
                 texts = [raw[p:q].tobytes() for p, q in zip(own, own[1:], strict=False)]
                 yield b.slice(x, z - x), *trimmed_lines(texts)
@@ -198,20 +211,22 @@ def dedup_lines(
     )
     # Hashing the places instead of sorting the texts.
     joined = keyed_docs.join(gone.hint("shuffle_hash"), ["_dl_doc", "_dl_tie"], "left").drop("_dl_doc", "_dl_tie")
-    names = [c for c in joined.columns if c != "_dl_gone"]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields if f.name != "_dl_gone")
+    own = joined.schema["_row"].dataType
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own)
 
     def cut(batches):
         for b in batches:
             texts, counts, removed = [], [], []
-            for t, gone_ in zip(b.column(text_col).to_pylist(), b.column("_dl_gone").to_pylist(), strict=True):
+            row = b.column("_row")
+            for t, gone_ in zip(row.field(text_col).to_pylist(), b.column("_dl_gone").to_pylist(), strict=True):
                 lines = (t or "").split("\n")
                 solid = [bool(x.strip(" \t\r\f\v")) for x in lines]
                 out = set(gone_ or ())
                 counts.append(sum(solid))
                 removed.append(len(out))
                 texts.append("\n".join(x for k, x in enumerate(lines) if k not in out) if out else t)
-            columns = [pa.array(texts, pa.string()) if c == text_col else b.column(c) for c in names]
+            names = own.names
+            columns = [pa.array(texts, pa.string()) if c == text_col else row.field(c) for c in names]
             columns += [pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*names, "n_lines", "n_removed"])
 

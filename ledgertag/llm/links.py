@@ -27,6 +27,8 @@ DEALT = "part int, payload binary"
 BLOCK = 512
 LEAF = 16
 FILTER_BITS = 23
+#: Bytes of text whose tokens are made at a time; temporary arrays take some 60 times as much.
+WORK = SLICE >> 2
 
 _KEY = np.dtype([("key", "<u8"), ("id", "<i8"), ("whole", "<u8"), ("n", "<i4")])
 _ROW = np.uint64(0xD6E8FEB86659FD93)
@@ -353,7 +355,7 @@ def _exact(members: DataFrame, tokens: Tokens) -> DataFrame:
 
 def _all_tokens(texts, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
     raw, bounds = utf8(texts)
-    parts = [tokens(raw[bounds[x] : bounds[z]], bounds[x : z + 1] - bounds[x]) for x, z in slices(bounds, SLICE)]
+    parts = [tokens(raw[bounds[x] : bounds[z]], bounds[x : z + 1] - bounds[x]) for x, z in slices(bounds, WORK)]
     return np.concatenate([h for h, _ in parts]), np.concatenate([[0], np.cumsum(np.concatenate([np.diff(e) for _, e in parts]))])
 
 
@@ -403,7 +405,7 @@ def signatures(items: DataFrame, tokens: Tokens, width: int) -> DataFrame:
     def run(batches):
         for b in batches:
             raw, bounds = utf8(b.column("text"))
-            for x, z in slices(bounds, SLICE):
+            for x, z in slices(bounds, WORK):
                 h, own = tokens(raw[bounds[x] : bounds[z]], bounds[x : z + 1] - bounds[x])
                 bits = [bitmap(h[p:q], width) for p, q in zip(own, own[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
@@ -421,7 +423,7 @@ def verify(pairs: DataFrame, items: DataFrame, tokens: Tokens) -> DataFrame:
         for b in batches:
             raw_a, bounds_a = utf8(b.column("text_a"))
             raw_b, bounds_b = utf8(b.column("text_b"))
-            for x, z in slices(bounds_a + bounds_b, SLICE):
+            for x, z in slices(bounds_a + bounds_b, WORK):
                 sets = []
                 for raw, bounds in ((raw_a, bounds_a), (raw_b, bounds_b)):
                     own = bounds[x : z + 1] - bounds[x]

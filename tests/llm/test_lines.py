@@ -1,10 +1,11 @@
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
 
 from ledgertag.llm.common import utf8
-from ledgertag.llm.lines import CHARS, dedup_lines, shingles, trimmed_lines
+from ledgertag.llm.lines import CHARS, band_keys, dedup_lines, shingle_hashes, shingles, trimmed_lines
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, n_lines string, doc string, tie int"
@@ -90,6 +91,21 @@ def test_repeated_rows_and_empty(spark):
     assert dedup_lines(df.limit(0)).collect() == []
 
 
+def test_columns_of_any_name(spark):
+    names = ["doc_id", "text", "_row", "_dl_gone", "_dl_doc", "_dl_tie", "line", "n_lines"]
+    rows = [(i, f"one line of text\nline number {i}{i}{i}", *[i] * 6) for i in range(6)]
+    got = sorted(map(tuple, dedup_lines(spark.createDataFrame(rows, names)).collect()))
+    assert [r[:7] for r in got] == [(i, t if not i else t.split("\n")[1], *[i] * 5) for i, t, *_ in rows]
+
+
+def test_short_lines_are_fast():
+    """A megabyte of numbers, one a line."""
+    digits = np.random.default_rng(1).integers(48, 58, 8 * 110_000).astype(np.uint8)
+    begin = time.process_time()
+    keys = band_keys(*shingle_hashes(digits, np.arange(110_001) * 8))
+    assert keys.shape == (110_000, 14) and time.process_time() - begin < 5
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     want = plain([(r["doc_id"], r["text"]) for r in docs.collect()])
