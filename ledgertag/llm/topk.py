@@ -11,6 +11,11 @@ resolved exactly by id.
 
 from __future__ import annotations
 
+import heapq
+import math
+from fractions import Fraction
+from operator import mul
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -18,27 +23,58 @@ from pyspark.sql import functions as F
 
 from ledgertag.llm.common import tasks
 
-#: Quantised components must lie within 2**LIMIT_BITS, so that sums fit in 64 bits.
+#: Vectors with a quantised component of 2**LIMIT_BITS or more aren't sliced, as sums must fit in 64 bits: their products are
+#: added as whole numbers of any size.
 LIMIT_BITS = 24
+_LEAST, _MOST = -(2**63), 2**63 - 1
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """``_id`` and ``_v`` (array of long) of the rows that take part."""
+    """``_id``, ``_v`` (array of double, whole numbers) and, for large ones, ``_x`` (as it was) of the rows that take part."""
     whole = F.col(vector_col).isNotNull() & F.forall(
         vector_col,
         lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")),
     )
+
+    def floor(x):
+        scaled = x.cast("double") * float(scale)
+        # From 2**53 on all doubles are whole numbers.
+        return F.when(F.abs(scaled) < 2.0**53, F.floor(scaled).cast("double")).otherwise(scaled)
+
     rows = vectors.filter(F.col(id_col).isNotNull() & F.coalesce(whole, F.lit(False))).select(
         F.col(id_col).cast("long").alias("_id"),
-        F.transform(vector_col, lambda x: F.floor(x.cast("double") * float(scale))).alias("_v"),
-    )
-    small = F.forall("_v", lambda x: F.abs(x) < 2**LIMIT_BITS)
-    return rows.withColumn(
-        "_v",
-        F.when(small, F.col("_v")).otherwise(
-            F.raise_error(F.lit(f"a component times the scale reaches 2**{LIMIT_BITS}"))
-        ),
+        F.transform(vector_col, floor).alias("_v"),
+        F.transform(vector_col, lambda x: x.cast("double")).alias("_x"),
     )
+    large = F.exists("_v", lambda x: F.abs(x) >= 2.0**LIMIT_BITS)
+    return rows.withColumn("_x", F.when(large, F.col("_x")))
+
+
+def whole_numbers(values, scale: int) -> list[int]:
+    """floor(scale * x) of finite doubles, however large."""
+    return [math.floor(Fraction(x) * scale) if abs(x) * scale == math.inf else math.floor(x * scale) for x in values]
+
+
+def held_values(slices: np.ndarray, low: np.ndarray, n: int) -> np.ndarray:
+    """The values of a sliced block, row by row."""
+    bits = np.unpackbits(slices.view(np.uint8), axis=2, count=n, bitorder="little").astype(np.int64)
+    return ((bits << np.arange(slices.shape[1])[None, :, None]).sum(axis=1) + low[:, None]).T
+
+
+def best_products(rows: list[list[int]], ids: np.ndarray, weights: list[int], own: int, k: int) -> list[tuple[int, int]]:
+    """The ``k`` best of some rows by products of any size: (id, product)."""
+    found = [(-sum(map(mul, row, weights)), i) for row, i in zip(rows, ids.tolist(), strict=True) if i != own]
+    return [(i, -s) for s, i in heapq.nsmallest(k, found)]
+
+
+def beyond(score: int) -> str:
+    """Orders scores that 64 bits don't hold, as text, beside "m" for those that they do."""
+    if _LEAST <= score <= _MOST:
+        return "m"
+    digits = str(abs(score))
+    if score > 0:
+        return f"p{len(digits):05d}{digits}"
+    return f"a{99_999 - len(digits):05d}" + "".join(str(9 - int(c)) for c in digits)
 
 
 def build_slices(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +158,8 @@ def top_k(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` best other rows, exactly.
 
-    Components are floor(``scale`` * x). Rows with a null id, a null vector, or a
+    Components are floor(``scale`` * x), however large; a score that 64 bits don't hold is ranked by its true value
+    and returned as the nearest 64-bit one. Rows with a null id, a null vector, or a
     null or non-finite component take no part; a query meets the rows whose
     vectors have its length. A query leaves out the rows that have its own id; of
     queries with the same id the one with the smallest vector counts. Repeated
@@ -137,13 +174,15 @@ def top_k(
     parts = tasks(spark)
 
     def index(batches):
-        held: dict[int, list] = {}
+        held: dict[tuple[int, bool], list] = {}
 
-        def block(d):
-            ids, values = (np.concatenate(x) for x in zip(*held.pop(d), strict=True))
+        def block(key):
+            d, large = key
+            ids, values = (np.concatenate(x) for x in zip(*held.pop(key), strict=True))
             order = np.argsort(ids, kind="stable")
             ids, values = ids[order], values[order]
-            slices, low = build_slices(values)
+            # Large vectors are kept as they are, without digits.
+            slices, low = (values[:, :0, None], values[0]) if large else build_slices(values.astype(np.int64))
             return pa.RecordBatch.from_pydict(
                 {
                     "_bucket": pa.array([int(ids[0]) % parts], pa.int32()),
@@ -151,36 +190,39 @@ def top_k(
                     "_digits": pa.array([slices.shape[1]], pa.int32()),
                     "_ids": pa.array([ids.tobytes()]),
                     "_low": pa.array([low.tobytes()]),
-                    "_slices": pa.array([slices.tobytes()]),
+                    "_slices": pa.array([(values if large else slices).tobytes()]),
                 }
             )
 
         for b in batches:
-            vs = b.column("_v")
-            lengths = vs.value_lengths().to_numpy(zero_copy_only=False)
+            lengths = b.column("_v").value_lengths().to_numpy(zero_copy_only=False)
             ids = b.column("_id").to_numpy(zero_copy_only=False)
-            flat = vs.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            starts = np.cumsum(lengths) - lengths
-            for d in np.unique(lengths):
-                rows = np.flatnonzero(lengths == d)
-                for at in range(0, len(rows), block_rows):
-                    some = rows[at : at + block_rows]
-                    values = flat[starts[some][:, None] + np.arange(d)[None, :]]
-                    held.setdefault(int(d), []).append((ids[some], values))
-                    if sum(len(x[0]) for x in held[int(d)]) >= block_rows:
-                        yield block(int(d))
-        for d in list(held):
-            yield block(d)
+            large = b.column("_x").is_valid().to_numpy(zero_copy_only=False)
+            for wide, column in ((False, "_v"), (True, "_x")):
+                rows_ = np.flatnonzero(large == wide)
+                flat = b.column(column).take(pa.array(rows_)).flatten().to_numpy(zero_copy_only=False)
+                own = lengths[rows_]
+                starts = np.cumsum(own) - own
+                for d in np.unique(own):
+                    rows = np.flatnonzero(own == d)
+                    for at in range(0, len(rows), block_rows):
+                        some = rows[at : at + block_rows]
+                        values = flat[starts[some][:, None] + np.arange(d)[None, :]]
+                        held.setdefault((int(d), wide), []).append((ids[rows_[some]], values))
+                        if sum(len(x[0]) for x in held[int(d), wide]) >= block_rows:
+                            yield block((int(d), wide))
+        for key in list(held):
+            yield block(key)
 
     blocks = quantised(vectors, id_col, vector_col, scale).mapInArrow(
         index, "_bucket int, _dims int, _digits int, _ids binary, _low binary, _slices binary"
     )
     asked = quantised(queries, id_col, vector_col, scale)
-    asked = asked.groupBy("_id").agg(F.min("_v").alias("_v"))
+    asked = asked.groupBy("_id").agg(F.min(F.struct("_v", "_x")).alias("_q")).select("_id", "_q.*")
     n = asked.count()
     groups = asked.withColumn("_group", F.pmod(F.xxhash64("_id"), F.lit(-(-n // query_rows) or 1)))
     groups = groups.groupBy("_group", F.size("_v").alias("_qdims")).agg(
-        F.collect_list(F.struct("_id", "_v")).alias("_asked")
+        F.collect_list(F.struct("_id", "_v", "_x")).alias("_asked")
     )
     groups = groups.withColumn("_to", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     pairs = blocks.join(
@@ -191,14 +233,26 @@ def top_k(
         for b in batches:
             for r in range(b.num_rows):
                 row = {c: b.column(c)[r] for c in b.schema.names}
-                d = row["_dims"].as_py()
+                d, digits = row["_dims"].as_py(), row["_digits"].as_py()
                 ids = np.frombuffer(row["_ids"].as_buffer(), np.int64)
-                low = np.frombuffer(row["_low"].as_buffer(), np.int64)
-                slices = np.frombuffer(row["_slices"].as_buffer(), np.uint64)
-                slices = slices.reshape(d, row["_digits"].as_py(), -(-len(ids) // 64))
+                raw = row["_slices"].as_buffer()
+                whole = None  # the rows' values as whole numbers, where they are needed
+                if digits:
+                    low = np.frombuffer(row["_low"].as_buffer(), np.int64)
+                    slices = np.frombuffer(raw, np.uint64).reshape(d, digits, -(-len(ids) // 64))
                 out = []
                 for q in row["_asked"].as_py():
-                    weights = np.array(q["_v"], np.int64)
+                    if not digits or q["_x"] is not None:
+                        if whole is None and digits:
+                            whole = held_values(slices, low, len(ids)).tolist()
+                        elif whole is None:
+                            values = np.frombuffer(raw, np.float64).reshape(len(ids), d)
+                            whole = [whole_numbers(v, scale) for v in values.tolist()]
+                        weights = whole_numbers(q["_x"], scale) if q["_x"] is not None else [int(x) for x in q["_v"]]
+                        best = best_products(whole, ids, weights, q["_id"], k)
+                        out += [(q["_id"], i, min(max(s, _LEAST), _MOST), beyond(s)) for i, s in best]
+                        continue
+                    weights = np.array(q["_v"], np.float64).astype(np.int64)
                     sums, shift = add_slices(slices, low, weights)
                     mask = np.zeros(slices.shape[2] * 64, np.uint8)
                     mask[: len(ids)] = ids != q["_id"]
@@ -206,15 +260,16 @@ def top_k(
                     best = best_rows(sums, allowed, k)
                     bits = (sums[:, best >> 6] >> (best & 63).astype(np.uint64)) & np.uint64(1)
                     score = (bits.astype(np.int64) << np.arange(len(sums))[:, None]).sum(axis=0)
-                    out.append((np.full(len(best), q["_id"]), ids[best], score + shift))
+                    out += [(q["_id"], i, s, "m") for i, s in zip(ids[best].tolist(), (score + shift).tolist(), strict=True)]
                 if out:
-                    cols = [np.concatenate(x).astype(np.int64) for x in zip(*out, strict=True)]
+                    cols = list(zip(*out, strict=True))
+                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c) for c in cols], ["query_id", "vec_id", "score"]
+                        [pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["query_id", "vec_id", "score", "_beyond"]
                     )
 
-    found = pairs.mapInArrow(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = pairs.mapInArrow(search, "query_id long, vec_id long, score long, _beyond string")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("_beyond"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)

@@ -1,5 +1,6 @@
 import math
 import random
+from fractions import Fraction
 
 import pytest
 
@@ -39,6 +40,26 @@ def test_like_brute_force(spark, seed):
     assert sorted(map(tuple, got.collect())) == brute(rows, 7)
 
 
+def test_components_of_any_size(spark):
+    """Large vectors meet all others exactly; scores beyond 64 bits are ranked by their true value."""
+    rng = random.Random(6)
+    sizes = [0.3, 0.3, 20.0, 16_384.0, 1e9, 1e30, 1e300, 1.7e308]
+    rows = [(i, [rng.choice([-1, 1]) * rng.random() * rng.choice(sizes) for _ in range(4)]) for i in range(120)]
+    rows += [(i, [0.25 * (i % 3), 1.0, -2.0, 0.0]) for i in range(120, 200)]
+    rows += [(200 + i, [2.0**31, 0.0, 0.0, 0.0]) for i in range(4)] + [(210, [2.0**12, 0.0, 0.0, 0.0]), (220, [-(2.0**12), 0.0, 0.0, 0.0])]
+    schema = SCHEMA.replace("float", "double")
+    df = spark.createDataFrame([(i, v, 1, 2, "x") for i, v in rows], schema).repartition(5)
+    got = sorted(map(tuple, top_k(df, df.filter("vec_id % 10 = 0"), k=9, block_rows=32, query_rows=4).collect()))
+    whole = {i: [math.floor(Fraction(x) * 1024) for x in v] for i, v in rows}
+    want = []
+    for i in whole:
+        if i % 10 == 0:
+            hits = sorted((-sum(a * b for a, b in zip(whole[i], v)), j) for j, v in whole.items() if j != i)[:9]
+            want += [(i, r + 1, j, min(max(-s, -(2**63)), 2**63 - 1)) for r, (s, j) in enumerate(hits)]
+    assert got == sorted(want)
+    assert sum(abs(s) >= 2**63 - 1 for *_, s in got) > 40
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert top_k(df, df).collect() == []
