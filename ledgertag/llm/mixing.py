@@ -25,6 +25,8 @@ from ledgertag.llm.common import positions, settled, tasks, text_of
 
 #: There are as many phases as sources, so the number of sources is bounded.
 MOST_SOURCES = 256
+#: Slots are worked out on the driver, one per block, so blocks grow with the rows: their number is bounded.
+MOST_BLOCKS = 1 << 20
 
 
 def exact(weights: dict[str, float]) -> dict[str, int]:
@@ -126,12 +128,14 @@ def place_rows(
     id_col: str = "doc_id",
     source_col: str = "source",
     text_col: str = "text",
+    most_blocks: int = MOST_BLOCKS,
 ) -> DataFrame:
     """Id, ``source``, ``block``, ``slot``, ``place`` (in the block), ``phase`` and ``share`` of every row.
 
     ``weights`` are by source and must be positive; sources that it lacks raise an error. Without it, a source's weight is
     its number of rows to the power ``temperature``. Rows of a source come in order of
-    id (nulls first, then a hash of the text), which also numbers its blocks of ``block_rows`` rows; the last one may be smaller. A null source counts
+    id (nulls first, then a hash of the text), which also numbers its blocks of ``block_rows`` rows, or so many that there are
+    no more than ``most_blocks`` full ones; the last one may be smaller. A null source counts
     as the source named "". ``share`` is the source's weight as a part of the weights of its phase. Repeated rows are rows like any other. An
     empty table gives an empty result; other columns are ignored. More than ``MOST_SOURCES`` sources raise an error.
     """
@@ -151,6 +155,7 @@ def place_rows(
         weights = {s: n**temperature for s, n in counts.items()}
     if bad := [s for s in counts if not weights.get(s, 0) > 0]:
         raise ValueError(f"sources without a positive weight: {sorted(bad)}")
+    block_rows = max(block_rows, -(-sum(counts.values()) // most_blocks))
     plan = phases({s: -(-n // block_rows) for s, n in counts.items()}, weights)
     periods = [sum(p.parts.values()) for p in plan]
     by_source = {
@@ -212,7 +217,9 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total = (placed.agg(F.max("slot")).first()[0] or 0) + 1
     first = placed.groupBy("_id", "_tie").agg(F.min(F.struct("slot", "place")).alias("_mix_at"))
     first = first.select(F.col("_id").alias("_mix_id"), F.col("_tie").alias("_mix_tie"), "_mix_at")
-    same = F.col(id_col).eqNullSafe(F.col("_mix_id")) & (F.xxhash64(text_of(text_col)) == F.col("_mix_tie"))
-    joined = docs.join(first, same).withColumn("_mix_part", F.expr(f"cast(_mix_at.slot * {n} div {total} as int)"))
+    # The row is one column here, so that no name of its columns clashes.
+    row = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_doc"), F.xxhash64(text_of(text_col)).alias("_hash"))
+    same = F.col("_doc").eqNullSafe(F.col("_mix_id")) & (F.col("_hash") == F.col("_mix_tie"))
+    joined = row.join(first, same).withColumn("_mix_part", F.expr(f"cast(_mix_at.slot * {n} div {total} as int)"))
     ordered = joined.repartitionById(n, F.col("_mix_part")).sortWithinPartitions("_mix_at")
-    return ordered.drop("_mix_id", "_mix_tie", "_mix_at", "_mix_part")
+    return ordered.select("_row.*")

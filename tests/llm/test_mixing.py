@@ -95,6 +95,26 @@ def test_a_source_of_little_weight_gets_its_share(spark):
     assert sum(r["source"] == "small" for r in got) <= 1
 
 
+def test_blocks_grow_with_the_rows(spark):
+    """The driver works out a bounded number of slots; each source stays within one of the larger blocks."""
+    rows = [(i, "t", "ab"[i % 3 == 0], 1, "k") for i in range(3000)]
+    got = mix_sources(spark.createDataFrame(rows, SCHEMA), block_rows=2, most_blocks=100).collect()
+    assert len({r["slot"] for r in got}) <= 102 and max(r["place"] for r in got) == 29
+    seen = Counter()
+    phase = [r for r in got if r["phase"] == 0]
+    for t, r in enumerate(sorted((r for r in phase if r["place"] == 0), key=lambda r: r["slot"])):
+        seen[r["source"]] += 1
+        for s, share in {(r["source"], r["share"]) for r in phase}:
+            assert abs(seen[s] - (t + 1) * share) < 1
+
+
+def test_columns_of_any_name(spark):
+    names = ["doc_id", "text", "source", "_row", "_mix_id", "_mix_at", "_mix_part", "_doc", "_hash"]
+    df = spark.createDataFrame([(i, f"t {i}", "s", *[i] * 6) for i in range(20)], names)
+    got = mixed_documents(df)
+    assert got.columns == names and sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
+
+
 def test_documents_come_in_order_of_the_mix(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     places = {r["doc_id"]: (r["slot"], r["place"]) for r in mix_sources(docs, block_rows=4).collect()}
