@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html
 import re
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -164,19 +165,65 @@ def lines_of(page: str) -> list[tuple[str, int]]:
     return out
 
 
-def shared_lines(a: list[str], b: list[str]) -> list[bool]:
-    """Which lines of ``a`` are in its longest common subsequence with ``b``.
+def shared_lines(a: list[str], b: list[str], most_bits: int = 1 << 26) -> list[bool]:
+    """Which lines of ``a`` are in a longest common subsequence with ``b``.
 
-    The table of the subsequence is kept as one bit string per line of ``a``.
+    Equal heads and tails are in it, lines of one page alone aren't. Of what is left the table of the subsequence is
+    kept as one bit string per line of ``a``; where that takes more than ``most_bits`` bits, both pages are
+    cut in two at a place where the halves' subsequences are longest together (Hirschberg's way).
     """
+    out = [False] * len(a)
+    head, most = 0, min(len(a), len(b))
+    while head < most and a[head] == b[head]:
+        out[head] = True
+        head += 1
+    tail = 0
+    while tail < most - head and a[-1 - tail] == b[-1 - tail]:
+        out[-1 - tail] = True
+        tail += 1
+    both = set(a[head : len(a) - tail]) & set(b[head : len(b) - tail])
+    mine = [i for i in range(head, len(a) - tail) if a[i] in both]
+    todo = [(mine, [line for line in b[head : len(b) - tail] if line in both])]
+    while todo:
+        rows, other = todo.pop()
+        if not rows or not other:
+            continue
+        lines = [a[i] for i in rows]
+        if len(lines) * len(other) <= most_bits or len(lines) == 1:
+            for i, shared in zip(rows, _traced(lines, other), strict=True):
+                out[i] = shared
+            continue
+        half = len(lines) // 2
+        first = _lengths(lines[:half], other)
+        second = _lengths(lines[half:][::-1], other[::-1])[::-1]
+        cut = max(range(len(other) + 1), key=lambda j: first[j] + second[j])
+        todo += [(rows[:half], other[:cut]), (rows[half:], other[cut:])]
+    return out
+
+
+def _table(a: list[str], b: list[str]):
+    """Per line of ``a`` a bit string: bit j is 0 where line j of ``b`` makes the common subsequence longer."""
     where: dict[str, int] = {}
     for j, line in enumerate(b):
         where[line] = where.get(line, 0) | 1 << j
-    full, row, rows = (1 << len(b)) - 1, (1 << len(b)) - 1, []
+    full = row = (1 << len(b)) - 1
     for line in a:
         hit = row & where.get(line, 0)
         row = ((row + hit) | (row - hit)) & full
-        rows.append(row)
+        yield row
+
+
+def _lengths(a: list[str], b: list[str]) -> list[int]:
+    """Lengths of the longest common subsequences of ``a`` and the first 0, 1, ... lines of ``b``."""
+    row = (1 << len(b)) - 1
+    for row in _table(a, b):
+        pass
+    bits = bin(row)[2:].zfill(len(b))[::-1] if b else ""
+    return list(accumulate((bit == "0" for bit in bits), initial=0))
+
+
+def _traced(a: list[str], b: list[str]) -> list[bool]:
+    rows = list(_table(a, b))
     out, i, j = [False] * len(a), len(a), len(b)
     while i and j:
         if rows[i - 1] >> (j - 1) & 1:
@@ -224,8 +271,8 @@ def extract_pages(
     """Id, URL, ``text`` (main text, blocks joined by newlines) of every page.
 
     A null page is empty and gives an empty text; a page without a different neighbour on its host is judged by its
-    structure alone, as is any line that the page itself marks. Copies that follow each other are held in
-    memory until a different page follows. A different page is looked for among the pages of the same run (see ``in_runs``) and
+    structure alone, as is any line that the page itself marks. Of copies that follow each other only ids and URLs are held in
+    memory until a different page follows, and the lines of those that aren't quite equal. A different page is looked for among the pages of the same run (see ``in_runs``) and
     the ones at its borders, so copies that fill a run to its borders are judged by structure too. Pages without
     a URL count as one host. Equal paths are ordered by id and content; repeated rows stay repeated.
     An empty table gives an empty result; other columns are ignored.
@@ -242,48 +289,81 @@ def extract_pages(
     id_type = rows.schema["_id"].dataType.simpleString()
 
     def run(batches):
-        before = None  # the last page before the group
-        group: list[tuple] = []  # copies of its first page: (side, id, url, host, path, lines)
-        out: list[tuple] = []
-
-        def finish(after):
-            for row in group:
-                if row[0] == OWN:
-                    near = [x for x in (before, after) if x is not None and x[3] == row[3]]
-                    partner = max(near, key=lambda x: _common(x[4], row[4]), default=None)
-                    out.append((row[1], row[2], main_text(row[5], partner[5] if partner else None)))
+        before = first = after = None  # pages: (side, id, url, host, path, lines)
+        copied: list[pa.Table | list] = []  # the group of the first page's copies: packed ones and the last few
+        kind = pa.null()
+
+        def pack(rows):
+            ids, urls, paths, lines = zip(*rows, strict=True)
+            return pa.table([pa.array(ids, kind), pa.array(urls, pa.string()), pa.array(paths, pa.string())], ["i", "u", "p"]), lines
+
+        def members():
+            for part in copied:
+                if isinstance(part, list):
+                    yield from part
+                else:
+                    for at in range(0, len(part), 1000):
+                        some = part.slice(at, 1000)
+                        columns = (some[c].to_pylist() for c in ("i", "u", "p"))
+                        yield from ((*x, first[5]) for x in zip(*columns, strict=True))
+
+        def finish():
+            """The group's own rows. Copies with the same partner have the same text."""
+            near = [x for x in (before, after) if x is not None and x[3] == first[3]]
+            texts: dict[int, str] = {}
+            out = []
+            for key, url_, path, lines in members():
+                partner = max(near, key=lambda x: _common(x[4], path), default=None)
+                if lines is not first[5]:
+                    text = main_text(lines, partner[5] if partner else None)
+                else:
+                    at = next((k for k, x in enumerate(near) if x is partner), -1)
+                    if at not in texts:
+                        texts[at] = main_text(lines, partner[5] if partner else None)
+                    text = texts[at]
+                out.append((key, url_, text))
+                if len(out) >= 500:
+                    yield emit(out)
+                    out = []
+            if out:
+                yield emit(out)
 
-        def emit():
+        def emit(out):
             cols = list(zip(*out, strict=True))
             return pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], kind), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())],
                 ["_id", "_url", "text"],
             )
 
-        kind = None
         for b in batches:
             kind = b.schema.field("_id").type
             for i in range(b.num_rows):
-                if group and group[0][0] > OWN:
+                if first and first[0] > OWN:
                     break
                 row = (
                     *(b.column(c)[i].as_py() for c in ("_side", "_id", "_url", "_host", "_path")),
                     lines_of(b.column("_html")[i].as_py()),
                 )
-                if group and group[0][3] == row[3] and copies(group[0][5], row[5]):
-                    same = row[5] == group[0][5]
-                    group.append((*row[:5], group[0][5]) if same else row)
-                    continue
-                if group:
-                    finish(row)
-                    before = group[-1]
-                group = [row]
-                if len(out) >= 500:
-                    yield emit()
-                    out.clear()
-        finish(None)
-        if out:
-            yield emit()
+                if first is None or first[3] != row[3] or not copies(first[5], row[5]):
+                    if first:
+                        after = row
+                        yield from finish()
+                        before = last
+                    first, copied = row, [[]]
+                elif row[5] == first[5]:
+                    row = (*row[:5], first[5])
+                last = row
+                if row[0] == OWN:
+                    copied[-1].append((*row[1:3], row[4], row[5]))
+                    # Equal pages are packed; a page that is only nearly equal keeps its own lines.
+                    if len(copied[-1]) >= 4096:
+                        table, lines = pack(copied[-1])
+                        if all(x is first[5] for x in lines):
+                            copied[-1] = table
+                        copied.append([])
+        if first:
+            after = None
+            yield from finish()
 
     found = in_runs(
         rows, ["_host", "_path", "_id"], F.xxhash64("_html"), run, f"_id {id_type}, _url string, text string"

@@ -2,8 +2,10 @@ import difflib
 import html
 import random
 import re
+import tracemalloc
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgertag.llm.extraction import extract_pages, lines_of, main_text, shared_lines
 
@@ -42,6 +44,51 @@ def test_longest_common_subsequence():
     assert all(shared_lines(long, long)) and difflib.SequenceMatcher(None, long, long).ratio() == 1.0
 
 
+def test_long_pages_are_cut_in_two():
+    """The cut way finds a common subsequence of the same length, in little memory."""
+    rng = random.Random(5)
+    for _ in range(150):
+        a = [rng.choice("abcde") for _ in range(rng.randrange(30))]
+        b = [rng.choice("abcde") for _ in range(rng.randrange(30))]
+        marked = shared_lines(a, b, most_bits=rng.choice([1, 8, 40]))
+        assert sum(marked) == sum(shared_lines(a, b))
+        it = iter(b)
+        assert all(x in it for x, m in zip(a, marked) if m)
+    n = 60_000
+    a = [f"line {rng.randrange(40)}" for _ in range(n)]
+    b = [x if rng.random() < 0.9 else f"line {rng.randrange(40)}" for x in a]
+    tracemalloc.start()
+    assert sum(shared_lines(a, b)) > 0.8 * n
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100e6
+    own = [f"{i}" for i in range(200_000)]
+    assert sum(shared_lines(own, own[:50_000] + ["x"] + own[100_000:])) == 150_000
+
+
+def test_many_copies_in_one_run(spark):
+    """Copies of a page and of nearly the same page follow each other between two different ones."""
+    page = "<div>Home</div><p>" + "story " * 40 + "</p><div>All rights kept</div>"
+    n = F.col("id")
+    rows = spark.range(0, 60_000, 1, 4).select(
+        n.alias("page_id"),
+        F.concat(F.lit("http://h.example/m?"), n).alias("url"),
+        F.when(n % 1000 == 7, F.concat(F.lit(page), F.lit("<p>seen "), n)).otherwise(page).alias("html"),
+    )
+    ends = spark.createDataFrame(
+        [(-1, "http://h.example/a", "<div>Home</div><p>first</p>"), (-2, "http://h.example/z", "<div>All rights kept</div><p>last</p>")],
+        "page_id long, url string, html string",
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        found = extract_pages(rows.unionByName(ends)).groupBy(F.regexp_replace("text", "seen .*", "seen").alias("t")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    story = "story " * 39 + "story"
+    assert {r.t: r["count"] for r in found} == {f"{story}\nAll rights kept": 59_940, f"{story}\nAll rights kept\nseen": 60, "first": 1, "last": 1}
+
+
 def test_structure():
     page = (
         "<html><head><title>T</title><style>a{}</style></head><body><header>Top</header><nav>Menu<p>more</nav>"
