@@ -42,8 +42,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Documents without an id stay; rows with equal ids stay or go together.
     """
-    later = similar_documents(docs).filter("component_id <> doc_id").select(F.col("doc_id").alias("_later"))
-    return docs.join(later.distinct(), F.col("doc_id") == F.col("_later"), "left_anti")
+    later = similar_documents(docs).filter("component_id <> doc_id").select("doc_id").distinct()
+    return docs.alias("d").join(later.alias("l"), F.col("d.doc_id") == F.col("l.doc_id"), "left_anti")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
