@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from ledgertag.llm import sql
 from ledgertag.llm.alignment import align_tokenizers
 from ledgertag.llm.extraction import extract_pages
@@ -25,8 +24,6 @@ from ledgertag.llm.topk import top_k
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = dict(sql.ORACLES)
-if corpus_pipeline.ORACLE_SQL is not None:
-    LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -136,9 +133,3 @@ def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The SimHash of every document and its component of near fingerprints."""
     return simhash_duplicates(table(spark, sf_dir, "documents"))
-
-
-@query
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus pipeline over all documents."""
-    return corpus_pipeline.run(spark, sf_dir)
