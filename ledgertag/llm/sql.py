@@ -1,5 +1,32 @@
 """DuckDB SQL for the corpus queries that SQL can express."""
 
+# The checksum is folded over the bytes, with a table made from its polynomial.
+OP1_SHARDING = """
+WITH powers AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), b)) AS t
+), raw AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), sized AS (
+  SELECT doc_id, h, length(h) // 2 AS n FROM raw
+), summed AS (
+  SELECT doc_id, n + 1 AS size, xor(4294967295, list_reduce(
+      list_transform(range(n), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT)) AS text_crc32
+  FROM sized, powers
+), placed AS (
+  SELECT doc_id, size, text_crc32,
+    sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32 ROWS UNBOUNDED PRECEDING) - size AS before,
+    sum(size) OVER () AS total,
+    row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) AS place
+  FROM summed
+), cut AS (
+  SELECT doc_id, size, text_crc32, place, least(15, (2 * before + size) * 16 // (2 * total)) AS shard FROM placed
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard::INTEGER AS shard,
+  (row_number() OVER (PARTITION BY shard ORDER BY place) - 1)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM cut
+"""
+
 OP6_TOPK = """
 WITH valid AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
@@ -112,6 +139,7 @@ FROM parts
 """
 
 ORACLES: dict[str, str] = {
+    "op1_sharding": OP1_SHARDING,
     "op4_repeats": OP4_REPEATS,
     "op6_topk": OP6_TOPK,
     "op9_jaccard": OP9_JACCARD,

@@ -1,8 +1,10 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgertag.llm.quality import ABSTAIN, BAD, GOOD, classify_quality, fit_labels
+from ledgertag.llm.quality import ABSTAIN, BAD, FIRST_CHANCES, GOOD, UNASKED, classify_quality, fit_labels
 
 DATA = "/root/testdata/sf0.01"
 
@@ -31,6 +33,74 @@ def test_label_model_finds_accuracies():
         assert model.chances[k, BAD, BAD + 1] == pytest.approx(0.8 * p, abs=0.04)
 
 
+def plain_em(votes, rounds):
+    """Expectation maximisation by rows, with the same start and pseudo-counts."""
+    n, k = votes.shape
+    prior, chances = 0.7, [[list(c) for c in FIRST_CHANCES] for _ in range(k)]
+    for _ in range(rounds):
+        p = []
+        for row in votes:
+            odds = [1 - prior, prior]
+            for j, v in enumerate(row):
+                if v != UNASKED:
+                    odds = [odds[c] * chances[j][c][v + 1] for c in (0, 1)]
+            p.append(odds[1] / sum(odds))
+        for j in range(k):
+            for c in (0, 1):
+                weight = [0.0] * 3
+                for row, x in zip(votes, p, strict=True):
+                    if row[j] != UNASKED:
+                        weight[row[j] + 1] += x if c else 1 - x
+                chances[j][c] = [(w + f) / (sum(weight) + 1) for w, f in zip(weight, FIRST_CHANCES[c], strict=True)]
+        prior = (sum(p) + 0.7) / (n + 1)
+    return prior, np.array(chances)
+
+
+def test_label_model_like_em_by_rows():
+    rng = np.random.default_rng(8)
+    truth = rng.random(300) < 0.6
+    votes = np.stack([np.where(rng.random(300) < p, truth, ~truth) for p in (0.9, 0.75, 0.6)], axis=1).astype(np.int8)
+    votes[rng.random(votes.shape) < 0.25] = ABSTAIN
+    votes[rng.random(votes.shape) < 0.1] = UNASKED
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    for rounds in (1, 25):
+        model = fit_labels(patterns, counts.astype(float), rounds)
+        prior, chances = plain_em(votes, rounds)
+        assert model.prior == pytest.approx(prior, abs=1e-9)
+        assert np.abs(model.chances - chances).max() < 1e-9
+
+
+def test_prose_that_no_generator_made(spark):
+    """Sentences written by hand against menus, shouting and loops."""
+    prose = [
+        "The river had been rising since noon, and by evening the lower path was gone.",
+        "She counted the coins twice, found the sum a little short, and said nothing about it.",
+        "A good index saves more time than a faster machine, as long as somebody keeps it up to date.",
+        "When the committee met again in March, only three of its members had read the report.",
+        "Bread needs flour, water, salt and patience; the last of these is the hardest to buy.",
+        "Most of the older houses on the square were built of the same grey stone as the church.",
+        "He wrote to his sister every week, though the letters took a month to arrive.",
+        "The experiment was repeated with fresh samples, and the difference disappeared.",
+        "Nobody could say who had planted the orchard, but everyone knew when the apples were ripe.",
+        "If the valve is left open overnight, the pressure drops and the pump has to be started by hand.",
+        "It is easier to explain a rule than to explain why people follow it.",
+        "Our train was late, so we missed the ferry and had to spend the night in the harbour.",
+    ]
+    rng = random.Random(4)
+    good = [" ".join(rng.sample(prose, rng.randrange(4, 11))) for _ in range(60)]
+    menu = ["Home", "About", "Login", "Cart", "Help", "Terms", "Share", "Next", "Tags"]
+    bad = [" ".join(rng.choices(menu, k=1) * 40) for _ in range(12)]
+    bad += ["BUY NOW!!! CHEAP $$$ " * rng.randrange(10, 30) for _ in range(12)]
+    bad += [(rng.choice(prose) + " ") * 25 for _ in range(12)]
+    bad += ["".join(rng.choices("{}[]<>|\\=~^ 0123456789", k=600)) for _ in range(12)]
+    rows = [(i, t) for i, t in enumerate(good + bad)]
+    kept = {r["doc_id"]: r["keep"] for r in classify_quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(kept[i] for i in range(60)) >= 57
+    gone = [sum(not kept[i] for i in range(60 + 12 * k, 72 + 12 * k)) for k in range(4)]
+    # The last kind, runs of symbols, is kept in this mix, as its labellers are outvoted: stated in the README.
+    assert [n >= 11 for n in gone[:3]] == [True, True, True], gone
+
+
 def test_odd_rows(spark):
     prose = "The way was long, and none of them knew where it led. They went on. "
     rows = [(i, prose * (1 + i % 3) + f"Number {i}.") for i in range(40)]
