@@ -63,9 +63,10 @@ def run_job(
             "classifier": read_classifier(spark, paths["classifier"], source, broken=True),
             "transactions": read_transactions(spark, paths["transactions"], source, broken=True),
         }
+        used = _used_columns(layout)
         for name in ("rules", "classifier"):
-            _refuse_broken(read[name], name, quarantine, period)
-        rules, classifier = (sound_rows(read[n]) for n in ("rules", "classifier"))
+            _refuse_broken(read[name], name, used[name], quarantine, period)
+        rules, classifier = (sound_rows(read[n], used[n]) for n in ("rules", "classifier"))
         if bad := rejected_rules(rules, layout).limit(MOST_LISTED).collect():
             listed = ", ".join(f"{r['rid']} ({r['reason']})" for r in bad)
             raise ValueError(f"rules that can't be applied: {listed}")
@@ -80,34 +81,47 @@ def run_job(
         has_lines = BROKEN in transactions.columns
         # A scan of another format is left as it is, so that filters reach it.
         watch = Watch("lines" if has_lines else None, "matches" if ids else None, "result")
-        result = classify(sound_rows(watch.lines(transactions), layout.key), rules, classifier, start_date, end_date, layout, watch)
+        result = classify(sound_rows(watch.lines(transactions), key=layout.key), rules, classifier, start_date, end_date, layout, watch)
         write_result(result, out, mode, layout)
         counts = (watch.found() if ids else {}) or {"rows": 0}
         log.info("counts: %s", ", ".join(f"{k} {v}" for k, v in counts.items()))
         if counts.get("broken"):
             log.warning("%d lines of the transactions can't be read", counts["broken"])
             if quarantine:
-                _keep_broken(transactions, "transactions", quarantine, period)
+                _keep_broken(transactions, "transactions", used["transactions"], quarantine, period)
         return counts
     finally:
         spark.conf.set("spark.sql.session.timeZone", own)
 
 
-def _refuse_broken(read: DataFrame, name: str, quarantine: str | None, period: Period) -> None:
+def _used_columns(layout: Layout) -> dict[str, list[str]]:
+    """The columns that decide about a result. Lines that are broken elsewhere only are as good as others."""
+    of_side = [c for s in layout.sides for c in (s.item, s.code_list, s.account_list)]
+    modes = [layout.account_mode, layout.purpose_mode, layout.purpose_list]
+    both = [c for s in layout.sides for c in (s.account, s.code)]
+    return {
+        "rules": [layout.rule_key, *of_side, *modes, layout.rule_start, layout.rule_end],
+        "classifier": [layout.cls_code, layout.cls_item, layout.cls_from, layout.cls_to],
+        "transactions": [layout.key, layout.posted, layout.loaded, layout.purpose, *both],
+    }
+
+
+def _refuse_broken(read: DataFrame, name: str, columns: list[str], quarantine: str | None, period: Period) -> None:
     if BROKEN not in read.columns:
         return
-    n = broken_lines(read).count()
+    n = broken_lines(read, columns).count()
     if not n:
         return
     if not quarantine:
         raise ValueError(f"{n} lines of the {name} can't be read")
     log.warning("%d lines of the %s can't be read", n, name)
-    _keep_broken(read, name, quarantine, period)
+    _keep_broken(read, name, columns, quarantine, period)
 
 
-def _keep_broken(read: DataFrame, name: str, quarantine: str, period: Period) -> None:
+def _keep_broken(read: DataFrame, name: str, columns: list[str], quarantine: str, period: Period) -> None:
     """Write the broken lines; a run for the same period replaces them."""
-    broken_lines(read).write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/{name}/period={period.start}_{period.end}")
+    path = f"{quarantine.rstrip('/')}/{name}/period={period.start}_{period.end}"
+    broken_lines(read, columns).write.mode("overwrite").parquet(path)
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -44,23 +46,26 @@ def _scan(
     return reader.schema(schema).format(source).load(path)
 
 
-def broken_lines(read: DataFrame) -> DataFrame:
-    """``file, line`` of the lines of a scan with ``broken`` that can't be read, wholly or in part."""
-    # Only columns that are asked for are looked at; a hash asks for all, and refuses none.
-    asked = F.xxhash64(*[c for c in read.columns if c != BROKEN]) >= -(2**63)
-    return read.filter(F.col(BROKEN).isNotNull() & asked).select(
+def _broken(read: DataFrame, columns: Sequence[str] | None) -> Column:
+    # Only columns that are asked for are looked at; a hash asks for them, and refuses none.
+    asked = F.xxhash64(*(columns or [c for c in read.columns if c != BROKEN])) >= -(2**63)
+    return F.col(BROKEN).isNotNull() & asked
+
+
+def broken_lines(read: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``file, line`` of the lines of a scan with ``broken`` of which the columns (all) can't be read, wholly or in part."""
+    return read.filter(_broken(read, columns)).select(
         F.col("_metadata.file_path").alias("file"), F.col(BROKEN).alias("line")
     )
 
 
-def sound_rows(read: DataFrame, key: str | None = None) -> DataFrame:
-    """The rows of a scan with ``broken`` whose lines could be read.
+def sound_rows(read: DataFrame, columns: Sequence[str] | None = None, key: str | None = None) -> DataFrame:
+    """The rows of a scan with ``broken`` of which the columns (all) could be read.
 
-    With a ``key`` also those of which the key at least could be read; what could not is null there.
+    With a ``key`` instead those of which the key could be read, or whose line is sound; what could not be read is null there.
     """
     if BROKEN not in read.columns:
         return read
-    sound = F.col(BROKEN).isNull()
     if key:
-        sound = sound | F.col(key).isNotNull()
-    return read.filter(sound).drop(BROKEN)
+        return read.filter(F.col(BROKEN).isNull() | F.col(key).isNotNull()).drop(BROKEN)
+    return read.filter(~_broken(read, columns)).drop(BROKEN)

@@ -9,8 +9,8 @@ from ledgertag.config import DEFAULT, Layout
 
 # Replaces the load dates that the result has, and leaves all others as they are.
 REFRESH = "refresh"
-# Ids of one file that its Bloom filters are made for.
-IDS_PER_FILE = 1_000_000
+# Sizes of a Bloom filter, each half of the one before, that a row group can choose from: 1 MB down to 512 bytes.
+FILTER_SIZES = 12
 
 
 def write_result(
@@ -32,8 +32,8 @@ def write_result(
         .sortWithinPartitions(layout.loaded, layout.key)
         .write.partitionBy(layout.loaded)
         .option(f"parquet.bloom.filter.enabled#{layout.key}", "true")
-        .option(f"parquet.bloom.filter.expected.ndv#{layout.key}", str(IDS_PER_FILE))
         .option("parquet.bloom.filter.adaptive.enabled", "true")
+        .option(f"parquet.bloom.filter.candidates.number#{layout.key}", str(FILTER_SIZES))
     )
     if mode == REFRESH:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")

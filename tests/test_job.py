@@ -187,9 +187,10 @@ def test_a_transaction_that_can_be_read_in_part_takes_part(spark, tmp_path):
     path = tmp_path / "part.json"
     path.write_text('{"id_pk": "a", "operation_date": "2021-01-01T00:00:00Z", "input_dt": "x"}\n{"id_pk": \n{"id_pk": "b"}\n')
     read = read_transactions(spark, str(path), broken=True)
-    assert sorted(r.id_pk for r in sound_rows(read, "id_pk").collect()) == ["a", "b"]
+    assert sorted(r.id_pk for r in sound_rows(read, key="id_pk").collect()) == ["a", "b"]
     assert [r.id_pk for r in sound_rows(read).collect()] == ["b"]
-    assert broken_lines(read).count() == 2
+    assert broken_lines(read).count() == 2 and broken_lines(read, ["id_pk"]).count() == 1
+    assert sorted(r.id_pk for r in sound_rows(read, ["id_pk"]).select("id_pk").collect()) == ["a", "b"]
     assert "_broken_line" not in read_transactions(spark, str(path)).columns
 
 
