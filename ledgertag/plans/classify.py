@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -27,29 +28,36 @@ class Watch:
 
     def __init__(self, lines: str | None = None, matches: str | None = None, result: str | None = None):
         self._seen = {k: Observation(n) if n else None for k, n in (("lines", lines), ("matches", matches), ("result", result))}
+        self._names: dict[str, list[str]] = {}
 
     def lines(self, read: DataFrame) -> DataFrame:
         """Counts the lines of a scan that can't be read."""
         broken = F.count_if(F.col(BROKEN).isNotNull()) if BROKEN in read.columns else F.lit(0).cast("long")
-        return self._observe("lines", read, F.count(F.lit(1)).alias("lines"), broken.alias("broken"))
+        return self._observe("lines", read, {"lines": F.count(F.lit(1)), "broken": broken})
 
     def matches(self, pairs: DataFrame) -> DataFrame:
         """Counts pairs of transactions and rules, and the rules that matched, approximately."""
-        return self._observe(
-            "matches", pairs, F.count(F.lit(1)).alias("matches"), F.approx_count_distinct("rid").alias("rules")
-        )
+        return self._observe("matches", pairs, {"matches": F.count(F.lit(1)), "rules": F.approx_count_distinct("rid")})
 
     def result(self, rows: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
-        tagged = [F.count(s.result).alias(f"{s.name}_tagged") for s in layout.sides]
-        return self._observe("result", rows, F.count(F.lit(1)).alias("rows"), *tagged)
+        tagged = {f"{s.name}_tagged": F.count(s.result) for s in layout.sides}
+        return self._observe("result", rows, {"rows": F.count(F.lit(1))} | tagged)
 
-    def _observe(self, name: str, df: DataFrame, *metrics: Column) -> DataFrame:
+    def _observe(self, name: str, df: DataFrame, metrics: dict[str, Column]) -> DataFrame:
+        self._names[name] = list(metrics)
         seen = self._seen[name]
-        return df.observe(seen, *metrics) if seen else df
+        return df.observe(seen, *[c.alias(n) for n, c in metrics.items()]) if seen else df
 
     def found(self) -> dict[str, int]:
-        """All counts, once the result has been computed."""
-        return {k: v for seen in self._seen.values() if seen for k, v in seen.get.items()}
+        """All counts, once the result has been computed. What Spark left out of the plan, as no row came there, counts as 0."""
+        counts = {}
+        for name, seen in self._seen.items():
+            if seen:
+                try:
+                    counts |= seen.get
+                except Py4JJavaError:  # an observation without a row
+                    counts |= dict.fromkeys(self._names[name], 0)
+        return counts
 
 
 def classify(

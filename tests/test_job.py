@@ -282,8 +282,9 @@ def test_job_cuts_moments_to_days_in_its_own_zone(spark, paths, tmp_path):
     own = spark.conf.get("spark.sql.session.timeZone")
     for zone, found in (("UTC", 1), ("Asia/Tokyo", 0)):
         out = tmp_path / zone.replace("/", "-")
-        run_job(spark, paths, *WHOLE, out=str(out), zone=zone)
+        counts = run_job(spark, paths, *WHOLE, out=str(out), zone=zone)
         assert len(list(out.glob("input_dt=*"))) == found
+        assert counts["rows"] == (len(rows.EXPECTED) if found else 0)
     assert spark.conf.get("spark.sql.session.timeZone") == own
 
 
