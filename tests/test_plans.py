@@ -14,10 +14,11 @@ from ledgertag.operators import lookup
 from ledgertag.operators import apply as application
 from ledgertag.operators.apply import apply_rules, deal
 from ledgertag.operators.compile import compile_rules
-from ledgertag.operators.lookup import EVERY, PAIR, filed, measure, path_of, refiled, with_path
+from ledgertag.operators.lookup import EVERY, PAIR, filed, finds_whole_values, measure, path_of, refiled, with_path
 from ledgertag.operators.resolve import merge_ids, resolve_side
 from ledgertag.config import DEBIT, DEFAULT
 from tests.test_strategies import END, START, frames, make_data
+from workload.queries import Inputs
 from workload.strategies import STRATEGIES, classify_by
 
 
@@ -105,6 +106,24 @@ def plain_transactions(spark, n, code, purpose="pay x", at="2021-02-01 10:00:00"
     )
 
 
+def test_conditions_on_rules_are_not_tested_on_every_part(spark, tmp_path):
+    """Rules are grouped from parts, and their conditions stay above the grouping."""
+    i = F.col("id")
+    parts = spark.range(40).select(
+        i.alias("p_partkey"),
+        F.lit("PROMO").alias("p_type"),
+        F.concat(F.lit("Brand#"), i % 4).alias("p_brand"),
+        F.lit("blue part").alias("p_name"),
+    )
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    found = Inputs(spark, str(tmp_path))
+    chosen = with_path(found.compiled).filter(finds_whole_values(F.col("path")))
+    plan = plan_of(chosen)
+    assert "part.parquet" not in plan and "Aggregate" not in plan
+    # Three templates of whole codes, and one rule per pair.
+    assert {r.rid for r in chosen.select("rid").collect()} == {21, 22, 32, 1000, 1001, 1002, 1003}
+
+
 def test_a_hot_key_beyond_the_limit_is_salted_in_proportion(spark):
     """A third of all rows have one key; no task gets much more than the others, and cold rules come once."""
     compiled = compile_rules(plain_rules(spark, 4000, F.concat(F.lit("c"), F.col("id"))), Period(START, END))

@@ -18,7 +18,7 @@ from ledgertag.operators.apply import apply_rules
 from ledgertag.operators.lookup import finds_whole_values, with_path
 from ledgertag.operators.tag import blank_tags, tag_sides, with_priorities
 from ledgertag.functions.tags import forced
-from ledgertag.operators.settle import shared_folder
+from ledgertag.operators.settle import settle, shared_folder
 from ledgertag.sources.sinks import lookup, write_result
 from workload import tables
 from workload.strategies import classify_by
@@ -52,7 +52,8 @@ class Inputs:
 
     @cached_property
     def rules(self) -> DataFrame:
-        return tables.rules(self.spark, self.sf_dir)
+        """Frozen: else Spark brings conditions on rules below their grouping and tests them on every part."""
+        return settle(tables.rules(self.spark, self.sf_dir))
 
     @cached_property
     def classifier(self) -> DataFrame:
