@@ -6,6 +6,7 @@ import re
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from ledgertag import classify
@@ -19,7 +20,7 @@ from ledgertag.operators.resolve import merge_ids, resolve_side
 from ledgertag.config import DEBIT, DEFAULT
 from tests.test_strategies import END, START, frames, make_data
 from workload.queries import Inputs
-from workload.strategies import STRATEGIES, classify_by
+from workload.strategies import STRATEGIES, classify_by, match_literal
 
 
 @pytest.fixture(scope="module")
@@ -236,6 +237,35 @@ def test_the_residual_stays_in_generated_code_that_java_compiles(spark, inputs):
     assert max(sizes) <= 8000 and "array_contains" in plan
 
 
+def test_literal_rules_that_differ_in_codes_only_are_one_predicate(spark):
+    """No higher-order function, which Spark interprets, and a plan that grows by codes, not by conditions."""
+
+    def listed(rid, dt, kt, purposes=(), dates=(date(2021, 1, 1), date(2021, 3, 31)), include=True):
+        lists = {"dt_codes": dt, "kt_codes": kt, "dt_accounts": [], "kt_accounts": [], "purposes": list(purposes)}
+        modes = {"account_include": False, "purpose_include": include}
+        return Row(rid=rid, dt_item=f"d{rid}", kt_item=None, lo=dates[0], hi=dates[1], **lists, **modes)
+
+    alike = [listed(n, [f"c{n}"], ["C", "B"]) for n in range(60)]
+    others = [
+        listed(60, ["c1", "c2", "c2"], ["C"]),  # copies, and codes that other rules have
+        listed(61, ["c1"], ["C"], purposes=["pay%"]),
+        listed(62, ["c1"], ["C"], purposes=["pay%"], include=False),
+        listed(63, ["c3"], ["C"], dates=(date(2021, 2, 2), date(2021, 3, 31))),
+        listed(64, ["c%"], ["C"]),
+        listed(65, ["c4"], []),
+        listed(5, ["c5"], ["C"]),
+    ]
+    rules = alike + others
+    code = F.when(F.col("id") < 99, F.concat(F.lit("c"), F.col("id")))
+    tx = plain_transactions(spark, 100, code)
+    found = match_literal(tx, rules)
+    plan = plan_of(found)
+    assert "lambda" not in plan and plan.count("CASE WHEN") < 15
+    expected = [(str(n), n) for n in range(60)] + [("1", 60), ("2", 60), ("1", 61), ("4", 65), ("5", 5)]
+    expected += [(str(n), 64) for n in range(99)]
+    assert sorted((r.id_pk, r.rid) for r in found.collect()) == sorted(expected)
+
+
 def test_candidates_per_transaction_among_many_rules(spark):
     """Masks with a common head or a fixed tail are told apart by their keys."""
     n = F.col("id")

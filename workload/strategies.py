@@ -9,6 +9,7 @@ Both bring the rules to the driver, and their plans grow with the number of rule
 from __future__ import annotations
 
 from functools import reduce
+from itertools import product
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -16,15 +17,16 @@ from pyspark.sql import functions as F
 from ledgertag.config import DEFAULT, Layout
 from ledgertag.functions.period import Period, day, within_days
 from ledgertag.operators.apply import RULE_COLUMNS, apply_rules, no_matches
-from ledgertag.operators.compile import assigning, compile_rules
+from ledgertag.operators.compile import ACCOUNT_LISTS, assigning, compile_rules
+from ledgertag.operators.lookup import MOST_PAIRS
 from ledgertag.operators.resolve import candidates, consolidate, merge_ids
 from ledgertag.operators.tag import tag_sides
 from ledgertag.operators.validate import validate_rules
 from ledgertag.plans.classify import taggable_rows
 
 
-def literal_condition(rule: Row, layout: Layout = DEFAULT) -> Column:
-    """The whole condition of one rule, with its masks and dates as literals."""
+def literal_condition(rule: Row, layout: Layout = DEFAULT, codes: bool = True) -> Column:
+    """The whole condition of one rule, with its masks and dates as literals; all but its codes if these are met already."""
     dt, kt = layout.sides
 
     def listed(column: str, name: str) -> list[Column]:
@@ -33,7 +35,8 @@ def literal_condition(rule: Row, layout: Layout = DEFAULT) -> Column:
     accounts = listed(dt.account, "dt_accounts") + listed(kt.account, "kt_accounts")
     purposes = listed(layout.purpose, "purposes")
     terms = [within_days(F.col(layout.posted), day(rule["lo"]), day(rule["hi"]))]
-    terms += listed(dt.code, "dt_codes") + listed(kt.code, "kt_codes")
+    if codes:
+        terms += listed(dt.code, "dt_codes") + listed(kt.code, "kt_codes")
     for group, include in (
         (accounts, rule["account_include"]),
         (purposes, rule["purpose_include"]),
@@ -44,8 +47,12 @@ def literal_condition(rule: Row, layout: Layout = DEFAULT) -> Column:
     return reduce(Column.__and__, terms)
 
 
+def is_whole(pattern: str) -> bool:
+    return not any(c in pattern for c in "%_\\")
+
+
 def literal_any(value: Column, patterns: list[str]) -> Column:
-    whole = [p for p in patterns if not any(c in p for c in "%_\\")]
+    whole = [p for p in patterns if is_whole(p)]
     terms = [value.like(p) for p in patterns if p not in whole]
     if whole:
         terms.insert(0, value.isin(whole))
@@ -53,18 +60,54 @@ def literal_any(value: Column, patterns: list[str]) -> Column:
 
 
 def match_literal(tx: DataFrame, rules: list[Row], layout: Layout = DEFAULT) -> DataFrame:
-    """One pass: the positions of the rules that match each row, exploded."""
+    """One pass: the positions of the rules that match each row, exploded.
+
+    Rules that differ in nothing but two whole codes are one predicate, which looks the codes up in a literal map. No higher-order
+    function is used, as Spark interprets one with all predicates below it.
+    """
     if not rules:
         return no_matches(tx)
-    hits = F.array(
-        *[F.when(literal_condition(r, layout), F.lit(n)) for n, r in enumerate(rules)]
-    )
-    found = tx.select(*tx.columns, F.explode(F.array_compact(hits)).alias("_hit"))
+    none = F.array().cast("array<int>")
+    alike: dict[tuple, list[int]] = {}
+    for n, rule in enumerate(rules):
+        alike.setdefault(_but_for_codes(rule) or (n,), []).append(n)
+    single = [group[0] for group in alike.values() if len(group) == 1]
+    hits = F.array(*[F.when(literal_condition(rules[n], layout), F.lit(n)).otherwise(-1) for n in single])
+    found = [F.array_remove(hits, -1)] if single else []
+    for group in alike.values():
+        if len(group) > 1:
+            met = literal_condition(rules[group[0]], layout, codes=False)
+            found.append(F.coalesce(F.when(met, _by_codes(rules, group, layout)), none))
+    found = tx.select(*tx.columns, F.explode(F.concat(*found)).alias("_hit"))
     return found.select(
         *tx.columns, *[_value(rules, c, F.col("_hit")) for c in RULE_COLUMNS]
     )
 
 
+def _but_for_codes(rule: Row) -> tuple | None:
+    """What else a rule demands, if it has whole codes only, on both sides, and not too many pairs of them."""
+    pairs = len(rule["dt_codes"]) * len(rule["kt_codes"])
+    if not 1 <= pairs <= MOST_PAIRS or not all(map(is_whole, rule["dt_codes"] + rule["kt_codes"])):
+        return None
+    rest = [rule[n] for n in (*ACCOUNT_LISTS, "purposes")]
+    return (rule["lo"], rule["hi"], rule["account_include"], rule["purpose_include"], *map(tuple, rest))
+
+
+def _by_codes(rules: list[Row], group: list[int], layout: Layout) -> Column:
+    """The positions of the rules that have the codes of a row, null for none, from one literal map in another."""
+    pairs: dict[str, dict[str, list[int]]] = {}
+    for n in group:
+        for d, k in product(set(rules[n]["dt_codes"]), set(rules[n]["kt_codes"])):
+            pairs.setdefault(d, {}).setdefault(k, []).append(n)
+
+    def literal_map(entries: dict, value) -> Column:
+        return F.create_map(*[c for key, v in entries.items() for c in (F.lit(key), value(v))])
+
+    nested = literal_map(pairs, lambda inner: literal_map(inner, lambda found: F.array(*map(F.lit, found))))
+    dt, kt = layout.sides
+    return nested[F.col(dt.code)][F.col(kt.code)]
+
+
 def match_per_rule(tx: DataFrame, rules: list[Row], layout: Layout = DEFAULT) -> DataFrame:
     if not rules:
         return no_matches(tx)
