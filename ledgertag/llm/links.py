@@ -94,7 +94,8 @@ def _cells(payloads: DataFrame, parts: int, block: int) -> DataFrame:
     """``cell, id, side``: the members of every cell that holds two different sets.
 
     A large cell becomes cells of pairs of blocks, whose first block has side 0 and second
-    block side 1; pairs of blocks whose sizes are too far apart are left out.
+    block side 1; pairs of blocks whose sizes are too far apart are left out. A cell is named by a hash of its members, so
+    that those who meet under several keys make one cell.
     """
 
     def meet(batches):
@@ -113,23 +114,34 @@ def _cells(payloads: DataFrame, parts: int, block: int) -> DataFrame:
         r = r[np.concatenate([[True], ~(same & (r["whole"][1:] == r["whole"][:-1]))])]
         start = np.flatnonzero(np.concatenate([[True], r["key"][1:] != r["key"][:-1]]))
         size = np.diff(np.append(start, len(r)))
-        small = np.repeat((size > 1) & (size <= block), size)
-        yield _members(r["key"][small], r["id"][small], 0)
+        size, start = size[size > 1], start[size > 1]
+        few = size <= block
+        rows = np.repeat(start[few] - np.cumsum(size[few]) + size[few], size[few]) + np.arange(size[few].sum())
+        ids = r["id"][rows]
+        if len(ids):
+            yield _members(np.repeat(_named(ids, np.cumsum(size[few]) - size[few]), size[few]), ids, 0)
         for x, m in zip(start[size > block], size[size > block], strict=True):
             g = r[x : x + m]
             g = g[np.lexsort((g["id"], g["n"]))]
-            blocks = [g[k : k + block] for k in range(0, m, block)]
+            cut = np.arange(0, m, block)
+            blocks, names = [g[k : k + block] for k in cut], _named(g["id"], cut)
             for i, p in enumerate(blocks):
                 for j in range(i, len(blocks)):
                     q = blocks[j]
                     if 10 * int(p["n"][-1]) < 8 * int(q["n"][0]):
                         break
-                    cell = mixed(p["key"][:1] + _ROW * np.uint64(i + 1) + mixed(np.array([j + 1], np.uint64)))
+                    cell = names[i : i + 1] if j == i else mixed(names[i : i + 1] * _ROW + names[j : j + 1])
                     yield _members(np.repeat(cell, len(p)), p["id"], 0)
                     if j > i:
                         yield _members(np.repeat(cell, len(q)), q["id"], 1)
 
-    return payloads.repartitionById(parts, "part").mapInArrow(meet, "cell long, id long, side int")
+    return payloads.repartitionById(parts, "part").mapInArrow(meet, "cell long, id long, side int").distinct()
+
+
+def _named(ids: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A hash of each run of ids, whatever their order; all runs have members."""
+    sums = np.add.reduceat(mixed(ids.view(np.uint64) + _ROW), start)
+    return mixed(sums + _ROW * np.diff(start, append=len(ids)).astype(np.uint64))
 
 
 def _members(cell: np.ndarray, ids: np.ndarray, side: int) -> pa.RecordBatch:

@@ -6,6 +6,7 @@ import pyarrow as pa
 
 from ledgertag.llm.common import utf8
 from ledgertag.llm.lines import CHARS, band_keys, dedup_lines, shingle_hashes, shingles, trimmed_lines
+from ledgertag.llm.links import DEALT, _cells, dealt
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, n_lines string, doc string, tie int"
@@ -83,6 +84,25 @@ def test_like_brute_force(spark):
     assert got[9004][0] == "\n".join(x for x in rows[0][1].split("\n") if not x.strip()) and got[9000] == (None, 0)
 
 
+def test_members_that_meet_under_several_keys_make_one_cell(spark):
+    def cells(sets, block):
+        """Sets of ids that are met in one cell, with their sides, from the keys of each id."""
+        ids = np.array(sorted(sets), np.int64)
+        keys = [np.array(sets[i], np.uint64) for i in ids.tolist()]
+        packed = dealt(ids, ids.view(np.uint64), np.zeros(len(ids), np.int32), keys, 3)
+        payloads = spark.createDataFrame(list(zip(*(c.to_pylist() for c in packed.columns), strict=True)), DEALT)
+        found = {}
+        for r in _cells(payloads, 3, block).collect():
+            found.setdefault(r.cell, []).append((r.id, r.side))
+        return sorted(sorted(v) for v in found.values())
+
+    pair, triple = [(1, 0), (2, 0)], [(1, 0), (2, 0), (3, 0)]
+    sets = {1: [5, 6, 7, 8, 9], 2: [5, 6, 7, 8, 9], 3: [8, 9, 10], 4: [11]}
+    assert cells(sets, 512) == [pair, triple]
+    # Blocks of two of the triple, beside the pair, which is the first of them.
+    assert cells(sets, 2) == [pair, [(1, 0), (2, 0), (3, 1)], [(3, 0)]]
+
+
 def test_repeated_rows_and_empty(spark):
     rows = [(3, "alpha beta gamma delta\nother words here"), (3, "alpha beta gamma delta\nother words here"), (4, "alpha beta gamma delta ")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
