@@ -194,7 +194,7 @@ def dedup_lines(
         return rows.select("_dl_doc", "_dl_tie", "text").mapInArrow(some, "id long, text binary").dropDuplicates(["id"])
 
     occurrences = written(rows.mapInArrow(occur, "doc long, tie int, place int, line long"), "lines")
-    roots = linked_components(rows.mapInArrow(sketch, DEALT), fetch, shingles, block, width=4)
+    roots = linked_components(rows.mapInArrow(sketch, DEALT), fetch, shingles, block, width=4, merged=True)
     first = occurrences.groupBy("line").agg(
         F.min(F.struct("doc", "tie", "place")).alias("first"), F.count(F.lit(1)).alias("times")
     )

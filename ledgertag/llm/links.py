@@ -90,12 +90,12 @@ def dealt(ids: np.ndarray, whole: np.ndarray, n: np.ndarray, keys: list[np.ndarr
     )
 
 
-def _cells(payloads: DataFrame, parts: int, block: int) -> DataFrame:
+def _cells(payloads: DataFrame, parts: int, block: int, merged: bool = False) -> DataFrame:
     """``cell, id, side``: the members of every cell that holds two different sets.
 
     A large cell becomes cells of pairs of blocks, whose first block has side 0 and second
-    block side 1; pairs of blocks whose sizes are too far apart are left out. A cell is named by a hash of its members, so
-    that those who meet under several keys make one cell.
+    block side 1; pairs of blocks whose sizes are too far apart are left out. ``merged`` cells are named by a hash of their
+    members, so that those who meet under several keys make one cell.
     """
 
     def meet(batches):
@@ -119,7 +119,8 @@ def _cells(payloads: DataFrame, parts: int, block: int) -> DataFrame:
         rows = np.repeat(start[few] - np.cumsum(size[few]) + size[few], size[few]) + np.arange(size[few].sum())
         ids = r["id"][rows]
         if len(ids):
-            yield _members(np.repeat(_named(ids, np.cumsum(size[few]) - size[few]), size[few]), ids, 0)
+            names = np.repeat(_named(ids, np.cumsum(size[few]) - size[few]), size[few]) if merged else r["key"][rows]
+            yield _members(names, ids, 0)
         for x, m in zip(start[size > block], size[size > block], strict=True):
             g = r[x : x + m]
             g = g[np.lexsort((g["id"], g["n"]))]
@@ -130,12 +131,16 @@ def _cells(payloads: DataFrame, parts: int, block: int) -> DataFrame:
                     q = blocks[j]
                     if 10 * int(p["n"][-1]) < 8 * int(q["n"][0]):
                         break
-                    cell = names[i : i + 1] if j == i else mixed(names[i : i + 1] * _ROW + names[j : j + 1])
+                    if not merged:
+                        cell = mixed(p["key"][:1] + _ROW * np.uint64(i + 1) + mixed(np.array([j + 1], np.uint64)))
+                    else:
+                        cell = names[i : i + 1] if j == i else mixed(names[i : i + 1] * _ROW + names[j : j + 1])
                     yield _members(np.repeat(cell, len(p)), p["id"], 0)
                     if j > i:
                         yield _members(np.repeat(cell, len(q)), q["id"], 1)
 
-    return payloads.repartitionById(parts, "part").mapInArrow(meet, "cell long, id long, side int").distinct()
+    cells = payloads.repartitionById(parts, "part").mapInArrow(meet, "cell long, id long, side int")
+    return cells.distinct() if merged else cells
 
 
 def _named(ids: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -479,7 +484,12 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def linked_components(
-    payloads: DataFrame, fetch: Callable[[np.ndarray], DataFrame], tokens: Tokens, block: int = BLOCK, width: int = 2
+    payloads: DataFrame,
+    fetch: Callable[[np.ndarray], DataFrame],
+    tokens: Tokens,
+    block: int = BLOCK,
+    width: int = 2,
+    merged: bool = False,
 ) -> DataFrame:
     """``id, root`` for every set that is linked with a different one; ``root`` is the least id.
 
@@ -487,10 +497,11 @@ def linked_components(
     shuffle partitions; sizes of 0 keep large cells from being cut by size. ``fetch`` gets a Bloom filter of ids
     and returns ``id, text`` of at least those. ``tokens`` makes sets of texts: sorted
     distinct hashes and bounds. Cells of more than ``block`` sets are cut into pairs of blocks.
-    Bitmaps have ``width`` to twice as many bits per member.
+    Bitmaps have ``width`` to twice as many bits per member. Where most sets that meet do so under several keys, cells of equal
+    members should be ``merged``, at the price of one more shuffle of ids.
     """
     parts = tasks(payloads.sparkSession)
-    cells = written(_cells(payloads, parts, block), "cells")
+    cells = written(_cells(payloads, parts, block, merged), "cells")
     ids = cells.select("id").distinct()
     items = written(fetch(id_filter(ids)).join(ids, "id", "left_semi"), "items")
 

@@ -92,7 +92,7 @@ def test_members_that_meet_under_several_keys_make_one_cell(spark):
         packed = dealt(ids, ids.view(np.uint64), np.zeros(len(ids), np.int32), keys, 3)
         payloads = spark.createDataFrame(list(zip(*(c.to_pylist() for c in packed.columns), strict=True)), DEALT)
         found = {}
-        for r in _cells(payloads, 3, block).collect():
+        for r in _cells(payloads, 3, block, merged=True).collect():
             found.setdefault(r.cell, []).append((r.id, r.side))
         return sorted(sorted(v) for v in found.values())
 
