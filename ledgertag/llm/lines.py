@@ -16,13 +16,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgertag.llm.common import SLICE, mixed, settled, slices, tasks, text_of, utf8, written
-from ledgertag.llm.links import BLOCK, DEALT, dealt, distinct_sorted, linked_components, may_hold
+from ledgertag.llm.hubs import join_hubs
+from ledgertag.llm.links import BLOCK, DEALT, dealt_bare, distinct_sorted, id_filter, linked, may_hold, met
 
 CHARS = 8
 #: At similarity 0.8 a pair shares no band with a chance of (1 - 0.8 ** 4) ** 14 = 0.0006.
 BANDS, ROWS = 14, 4
 #: Shorter lines (in bytes) are one shingle each, the line itself, so only equal ones are similar.
 SHORTEST = CHARS
+#: Lines whose keys are packed for the shuffle at a time.
+DEAL = 1 << 15
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BLANKS = b" \t\r\n\f\v"
@@ -158,7 +161,7 @@ def dedup_lines(
         """Some rows and their lines' row, place, bytes and name, some text at a time."""
         for b in batches:
             raw, bounds = utf8(b.column("text"))
-            for x, z in slices(bounds, SLICE >> 2):
+            for x, z in slices(bounds, SLICE >> 3):
                 own = bounds[x : z + 1]
                 texts = [raw[p:q].tobytes() for p, q in zip(own, own[1:], strict=False)]
                 yield b.slice(x, z - x), *trimmed_lines(texts)
@@ -167,45 +170,56 @@ def dedup_lines(
         ends = np.concatenate([[0], np.cumsum([len(x) for x in lines])]).astype(np.int64)
         return np.frombuffer(b"".join(lines), np.uint8), ends
 
-    def occur(batches):
-        for b, row, place, _, name in each(batches):
-            yield pa.RecordBatch.from_arrays(
-                [b.column("_dl_doc").take(pa.array(row)), b.column("_dl_tie").take(pa.array(row)),
-                 pa.array(place), pa.array(name.view(np.int64))],
-                ["doc", "tie", "place", "line"],
-            )
-
     def sketch(batches):
+        held, n = [], 0
         for _, _, _, lines, name in each(batches):
             _, once = np.unique(name, return_index=True)
             once = np.array([k for k in once if len(lines[k]) >= SHORTEST], np.int64)
-            keys = band_keys(*shingle_hashes(*joined_bytes([lines[k] for k in once])))
-            name = name[once]
-            yield dealt(name.view(np.int64), name, np.zeros(len(name), np.int32), list(keys), parts)
-
-    def fetch(wanted):
+            held.append((name[once], band_keys(*shingle_hashes(*joined_bytes([lines[k] for k in once])))))
+            n += len(once)
+            if n >= DEAL:
+                yield deal(held)
+                held, n = [], 0
+        if n:
+            yield deal(held)
+
+    def deal(held):
+        name, once = np.unique(np.concatenate([x for x, _ in held]), return_index=True)
+        return dealt_bare(name.view(np.int64), np.concatenate([k for _, k in held])[once], parts)
+
+    def occur(wanted):
         def some(batches):
-            for _, _, _, lines, name in each(batches):
+            for b, row, place, lines, name in each(batches):
                 ids, once = np.unique(name.view(np.int64), return_index=True)
-                ok = may_hold(wanted, ids)
-                texts = pa.array([lines[k] for k in once[ok]], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(ids[ok]), texts], ["id", "text"])
-
-        return rows.select("_dl_doc", "_dl_tie", "text").mapInArrow(some, "id long, text binary").dropDuplicates(["id"])
-
-    occurrences = written(rows.mapInArrow(occur, "doc long, tie int, place int, line long"), "lines")
-    roots = linked_components(rows.mapInArrow(sketch, DEALT), fetch, shingles, block, width=4, merged=True)
-    first = occurrences.groupBy("line").agg(
-        F.min(F.struct("doc", "tie", "place")).alias("first"), F.count(F.lit(1)).alias("times")
-    )
-    group = F.coalesce("root", "line")
+                texts = [None] * len(lines)
+                for k in once[may_hold(wanted, ids)].tolist():
+                    texts[k] = lines[k]
+                row = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("_dl_doc").take(row), b.column("_dl_tie").take(row),
+                     pa.array(place), pa.array(name.view(np.int64)), pa.array(texts, pa.binary())],
+                    ["doc", "tie", "place", "line", "text"],
+                )
+
+        return some
+
+    cells = met(rows.select("text").mapInArrow(sketch, DEALT), block, merged=True, bare=True)
+    wanted = id_filter(cells.select("id").distinct())
+    # Of the lines that share a band with others the text is there once or more, but not with each occurrence.
+    table = rows.mapInArrow(occur(wanted), "doc long, tie int, place int, line long, text binary")
+    occurrences = written(table, "lines")
+    texts = occurrences.filter("text IS NOT NULL").select(F.col("line").alias("id"), "text").dropDuplicates(["id"])
+    roots = linked(cells, texts, shingles, width=4)
     # The root of a component is no link's upper end, so it is named by itself.
-    linked = settled(roots.unionAll(roots.select(F.col("root").alias("id"), "root")).distinct())
-    named = first.join(linked, F.col("line") == F.col("id"), "left").filter("times > 1 OR root IS NOT NULL")
-    named = named.select("line", group.alias("group"), "first")
-    stays = named.groupBy("group").agg(F.min("first").alias("stays"))
-    many = named.join(stays, "group").select("line", "stays")
-    gone = occurrences.join(many, "line").filter(F.struct("doc", "tie", "place") != F.col("stays"))
+    roots = settled(roots.unionAll(roots.select(F.col("root").alias("id"), "root")).distinct())
+    repeated = occurrences.groupBy("line").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    named = repeated.join(roots, F.col("line") == F.col("id"), "full")
+    named = named.select(F.coalesce("line", "id").alias("line"), F.coalesce("root", "line").alias("group"))
+    # Most lines are neither repeated nor linked.
+    alike = occurrences.join(named.hint("shuffle_hash"), "line").select("doc", "tie", "place", "group")
+    alike = written(alike, "alike")
+    stays = alike.groupBy("group").agg(F.min(F.struct("doc", "tie", "place")).alias("stays"), F.count(F.lit(1)).alias("n"))
+    gone = join_hubs(alike, stays, "group", alike.count(), "inner").filter(F.struct("doc", "tie", "place") != F.col("stays"))
     gone = gone.groupBy(F.col("doc").alias("_dl_doc"), F.col("tie").alias("_dl_tie")).agg(
         F.collect_list("place").alias("_dl_gone")
     )

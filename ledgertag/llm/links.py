@@ -27,10 +27,14 @@ DEALT = "part int, payload binary"
 BLOCK = 512
 LEAF = 16
 FILTER_BITS = 23
+#: Pairs of a row with itself or another of its cell that are looked at at a time, so that their arrays stay small.
+PAIRS = 1 << 21
 #: Bytes of text whose tokens are made at a time; temporary arrays take some 60 times as much.
 WORK = SLICE >> 2
 
 _KEY = np.dtype([("key", "<u8"), ("id", "<i8"), ("whole", "<u8"), ("n", "<i4")])
+#: Half of the key, for sets whose id is all that is told of them.
+_BARE = np.dtype([("key", "<u4"), ("id", "<i8")])
 _ROW = np.uint64(0xD6E8FEB86659FD93)
 
 Tokens = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -80,33 +84,73 @@ def dealt(ids: np.ndarray, whole: np.ndarray, n: np.ndarray, keys: list[np.ndarr
         r["key"] = np.concatenate([keys[k] for k in order])
     for c, v in (("id", ids), ("whole", whole), ("n", n)):
         r[c] = np.repeat(v[order], count)
-    to = (mixed(r["key"].copy()) % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.int64)
+    return _packed(mixed(r["key"].copy()), lambda order: r[order], parts)
+
+
+def dealt_bare(ids: np.ndarray, keys: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Like ``dealt``, for sets whose ids, once each, are hashes of them and whose sizes aren't told; ``keys`` has a row for each.
+
+    The upper half of a key tells the partition, and only the lower half goes on. Keys that are equal by chance
+    make a cell of sets that needn't be similar.
+    """
+
+    def rows(order):
+        r = np.empty(len(order), _BARE)
+        r["key"] = keys.reshape(-1).astype(np.uint32)[order]
+        r["id"] = ids[order // keys.shape[1]]
+        return r
+
+    return _packed(keys.reshape(-1) >> np.uint64(32), rows, parts)
+
+
+def _packed(of: np.ndarray, rows: Callable[[np.ndarray], np.ndarray], parts: int) -> pa.RecordBatch:
+    """``rows`` (in an order that they are asked for) by the partition that ``of`` tells."""
+    to = (of % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.int64)
     order = np.argsort(to, kind="stable")
     cuts = np.searchsorted(to[order], np.arange(parts + 1))
-    r = r[order]
+    r = rows(order)
     some = [(k, r[x:z].tobytes()) for k, (x, z) in enumerate(zip(cuts, cuts[1:], strict=False)) if z > x]
     return pa.RecordBatch.from_arrays(
         [pa.array([k for k, _ in some], pa.int32()), pa.array([p for _, p in some], pa.binary())], ["part", "payload"]
     )
 
 
-def _cells(payloads: DataFrame, parts: int, block: int, merged: bool = False) -> DataFrame:
+def _repeated(r: np.ndarray) -> np.ndarray:
+    """The ``_BARE`` rows whose key comes several times, as ``_KEY`` rows."""
+    # Keys and places as one number each, which sorts faster than places by key.
+    at = r["key"].astype(np.uint64) << np.uint64(32)
+    at |= np.arange(len(r), dtype=np.uint64)
+    at.sort()
+    key = at >> np.uint64(32)
+    twice = key[1:] == key[:-1]
+    often = np.concatenate([twice, [False]]) | np.concatenate([[False], twice])
+    at = at[often]
+    out = np.zeros(len(at), _KEY)
+    out["key"], out["id"] = at >> np.uint64(32), r["id"][(at & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+    out["whole"] = out["id"].view(np.uint64)
+    return out
+
+
+def _cells(payloads: DataFrame, parts: int, block: int, merged: bool = False, bare: bool = False) -> DataFrame:
     """``cell, id, side``: the members of every cell that holds two different sets.
 
     A large cell becomes cells of pairs of blocks, whose first block has side 0 and second
     block side 1; pairs of blocks whose sizes are too far apart are left out. ``merged`` cells are named by a hash of their
-    members, so that those who meet under several keys make one cell.
+    members, so that those who meet under several keys make one cell. ``bare`` payloads are those of ``dealt_bare``.
     """
 
     def meet(batches):
-        parts_ = [np.frombuffer(p, _KEY) for b in batches for p in b.column("payload").to_pylist()]
+        parts_ = [np.frombuffer(p, _BARE if bare else _KEY) for b in batches for p in b.column("payload").to_pylist()]
         if not parts_:
             return
         r = np.concatenate(parts_)
-        order = np.argsort(r["key"])
-        twice = np.diff(r["key"][order]) == 0
-        often = np.concatenate([twice, [False]]) | np.concatenate([[False], twice])
-        r = r[order[often]]  # most keys occur once
+        if bare:
+            r = _repeated(r)
+        else:
+            order = np.argsort(r["key"])
+            twice = np.diff(r["key"][order]) == 0
+            often = np.concatenate([twice, [False]]) | np.concatenate([[False], twice])
+            r = r[order[often]]  # most keys occur once
         if not len(r):
             return
         r = r[np.lexsort((r["id"], r["whole"], r["key"]))]
@@ -164,19 +208,26 @@ class Signatures:
         self.width = np.diff(bounds) // 8
         self.place = np.zeros(len(n), np.int64)
         self.own: dict[int, np.ndarray] = {}
-        for w in np.unique(self.width):
+        #: Bitmaps folded to the width below, and how many bits are set in a row's own bitmap and in the folded one.
+        self.folded: dict[int, np.ndarray] = {}
+        self.held = np.zeros((2, len(n)), np.int64)
+        for w in np.unique(self.width).tolist():
             rows = np.flatnonzero(self.width == w)
             self.place[rows] = np.arange(len(rows))
-            self.own[int(w)] = raw[bounds[rows][:, None] + np.arange(w * 8)].view(np.uint64)
+            own = raw[bounds[rows][:, None] + np.arange(w * 8)].view(np.uint64)
+            self.own[w], self.held[0, rows] = own, np.bitwise_count(own).sum(axis=1, dtype=np.int64)
+            if w > 1:
+                self.folded[w // 2] = half = own[:, : w // 2] | own[:, w // 2 :]
+                self.held[1, rows] = np.bitwise_count(half).sum(axis=1, dtype=np.int64)
 
     def bits(self, rows: np.ndarray, w: int) -> np.ndarray:
         """Bitmaps of rows whose width is ``w`` or twice that, folded to ``w``."""
-        out = np.empty((len(rows), w), np.uint64)
         same = self.width[rows] == w
+        if same.all():
+            return self.own[w][self.place[rows]] if len(rows) else np.empty((0, w), np.uint64)
+        out = np.empty((len(rows), w), np.uint64)
         out[same] = self.own[w][self.place[rows[same]]] if same.any() else 0
-        if not same.all():
-            wide = self.own[2 * w][self.place[rows[~same]]]
-            out[~same] = wide[:, :w] | wide[:, w:]
+        out[~same] = self.folded[w][self.place[rows[~same]]]
         return out
 
     def may_link(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -190,9 +241,10 @@ class Signatures:
             step = max(64, (1 << 20) // int(w))
             for k in range(0, len(some), step):
                 p = some[k : k + step]
-                a, b = self.bits(i[p], int(w)), self.bits(j[p], int(w))
-                spare = [self.n[x[p]] - np.bitwise_count(y).sum(axis=1, dtype=np.int64) for x, y in ((i, a), (j, b))]
-                overlap = np.bitwise_count(a & b).sum(axis=1, dtype=np.int64) + np.minimum(*spare)
+                common = self.bits(i[p], int(w))
+                common &= self.bits(j[p], int(w))
+                spare = [self.n[x[p]] - self.held[(self.width[x[p]] != w).astype(np.int64), x[p]] for x in (i, j)]
+                overlap = np.bitwise_count(common).sum(axis=1, dtype=np.int64) + np.minimum(*spare)
                 fits[p] = 9 * overlap >= needed(n[p], m[p])
         return fits
 
@@ -252,13 +304,21 @@ def candidates(cell: np.ndarray, side: np.ndarray, s: Signatures) -> tuple[np.nd
     start = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
     size = np.diff(np.append(start, len(cell)))
     two_sided = np.repeat(np.add.reduceat(side, start) > 0, size)  # only pairs across count
-    found = []
+    out = []
+
+    def keep(i, j):
+        apart = (i != j) & ~(two_sided[i] & (side[i] == side[j]))
+        i, j = i[apart], j[apart]
+        fits = s.may_link(i, j)
+        i, j = i[fits], j[fits]
+        out.append(np.minimum(i, j) * len(cell) + np.maximum(i, j))
+
     for m in np.unique(size[(size > 1) & (size <= 4 * LEAF)]):
         x, y = np.triu_indices(m, 1)
         base = start[size == m]
         for k in range(0, len(base), max(1, (1 << 18) // len(x))):
             p = base[k : k + max(1, (1 << 18) // len(x))]
-            found.append(((p[:, None] + x).reshape(-1), (p[:, None] + y).reshape(-1)))
+            keep((p[:, None] + x).reshape(-1), (p[:, None] + y).reshape(-1))
     for x, m in zip(start[size > 4 * LEAF], size[size > 4 * LEAF], strict=True):
         rows = np.arange(x, x + m)
         rows = rows[np.lexsort((s.n[rows], s.width[rows]))]
@@ -266,19 +326,13 @@ def candidates(cell: np.ndarray, side: np.ndarray, s: Signatures) -> tuple[np.nd
         for w in np.unique(s.width[rows]):
             for a, b in ((first, second),) if len(second) else ((first, first),):
                 equal = (a[s.width[a] == w], b[s.width[b] == w])
-                found.append(dual_traversal(s, *equal, int(w)))
-                found.append(dual_traversal(s, equal[0], b[s.width[b] == 2 * w], int(w)))
+                keep(*dual_traversal(s, *equal, int(w)))
+                keep(*dual_traversal(s, equal[0], b[s.width[b] == 2 * w], int(w)))
                 if len(second):
-                    found.append(dual_traversal(s, a[s.width[a] == 2 * w], equal[1], int(w)))
-    out = []
-    for i, j in found:
-        apart = (i != j) & ~(two_sided[i] & (side[i] == side[j]))
-        i, j = i[apart], j[apart]
-        fits = s.may_link(i, j)
-        i, j = i[fits], j[fits]
-        out.append(np.stack([np.minimum(i, j), np.maximum(i, j)]))
-    pairs = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.empty((2, 0), np.int64)
-    return pairs[0], pairs[1]
+                    keep(*dual_traversal(s, a[s.width[a] == 2 * w], equal[1], int(w)))
+    pairs = np.concatenate([np.empty(0, np.int64), *out])
+    pairs.sort()
+    return np.divmod(pairs[np.diff(pairs, prepend=-1) != 0], len(cell))
 
 
 def spanning_forest(i: np.ndarray, j: np.ndarray, label: np.ndarray) -> np.ndarray:
@@ -303,7 +357,15 @@ def spanning_forest(i: np.ndarray, j: np.ndarray, label: np.ndarray) -> np.ndarr
 
 
 def _whole_cells(batches, most: int):
-    """Tables of whole cells of about ``most`` bytes, from batches sorted by cell."""
+    """Tables of whole cells of at most about ``most`` bytes and ``PAIRS`` pairs, from batches sorted by cell."""
+
+    def runs(t):
+        cell = t["cell"].to_numpy()
+        ends = np.append(np.flatnonzero(np.diff(cell, append=cell[-1:])) + 1, len(cell))
+        starts = np.concatenate([[0], ends])
+        for x, z in slices(np.concatenate([[0], np.cumsum(np.diff(starts) ** 2)]), PAIRS):
+            yield t.slice(starts[x], starts[z] - starts[x])
+
     held: list[pa.Table] = []
     for b in batches:
         held.append(pa.Table.from_batches([b]))
@@ -312,28 +374,35 @@ def _whole_cells(batches, most: int):
             cell = t["cell"].to_numpy()
             cut = int(np.searchsorted(cell, cell[-1]))
             if cut:
-                yield t.slice(0, cut)
+                yield from runs(t.slice(0, cut))
             held = [t.slice(cut)]
     if held and any(x.num_rows for x in held):
-        yield pa.concat_tables(held).combine_chunks()
+        yield from runs(pa.concat_tables(held).combine_chunks())
 
 
 def _forests(members: DataFrame) -> DataFrame:
-    """``cell, a, b``: a spanning forest per cell of the pairs that may link. Members come sorted by cell."""
+    """``cell, a, b, complete``: a spanning forest per cell of the pairs that may link, or all of them if they aren't more than the members.
+
+    ``complete`` tells whether they are all. Members come sorted by cell.
+    """
 
     def run(batches):
         for t in _whole_cells(batches, 1 << 22):
             ids, cell = t["id"].to_numpy(), t["cell"].to_numpy()
             s = Signatures(t["n"].to_numpy(), *utf8(t["bits"]))
             i, j = candidates(cell, t["side"].to_numpy(), s)
-            pick = spanning_forest(i, j, np.arange(len(ids)))
-            i, j = i[pick], j[pick]
+            number = np.cumsum(np.diff(cell, prepend=cell[:1]) != 0)
+            complete = (np.bincount(number[i], minlength=len(ids)) <= np.bincount(number, minlength=len(ids)))[number[i]]
+            chosen = complete.copy()
+            more = np.flatnonzero(~complete)
+            chosen[more[spanning_forest(i[more], j[more], np.arange(len(ids)))]] = True
+            i, j = i[chosen], j[chosen]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cell[i]), pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))],
-                ["cell", "a", "b"],
+                [pa.array(cell[i]), pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j])), pa.array(complete[chosen])],
+                ["cell", "a", "b", "complete"],
             )
 
-    return members.mapInArrow(run, "cell long, a long, b long")
+    return members.mapInArrow(run, "cell long, a long, b long, complete boolean")
 
 
 def _exact(members: DataFrame, tokens: Tokens) -> DataFrame:
@@ -345,21 +414,23 @@ def _exact(members: DataFrame, tokens: Tokens) -> DataFrame:
     def run(batches):
         for t in _whole_cells(batches, 4 * SLICE):
             ids, cell, label = (t[c].to_numpy() for c in ("id", "cell", "label"))
-            h, bounds = _all_tokens(t["text"], tokens)
-            sizes = np.diff(bounds)
+            # Sets that are in several cells are made once.
+            _, once, at = np.unique(ids, return_index=True, return_inverse=True)
+            h, bounds = _all_tokens(t["text"].take(pa.array(once)), tokens)
+            first, last = bounds[:-1][at], bounds[1:][at]
             bits = [bitmap(h[p:q], 8) for p, q in zip(bounds, bounds[1:], strict=False)]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in bits])])
-            s = Signatures(sizes, np.frombuffer(b"".join(bits), np.uint8), ends)
+            ends = np.concatenate([[0], np.cumsum([len(bits[k]) for k in at])])
+            s = Signatures(last - first, np.frombuffer(b"".join([bits[k] for k in at]), np.uint8), ends)
             i, j = candidates(cell, t["side"].to_numpy(), s)
             # A label that spans cells doesn't tie them together here.
             _, own = np.unique(np.stack([cell, label]), axis=1, return_inverse=True)
             own, found = own.reshape(-1), []
-            for last in (False, False, True):  # forests first, as they connect most; then whatever is still apart
+            for rest in (False, False, True):  # forests first, as they connect most; then whatever is still apart
                 apart = own[i] != own[j]
                 i, j = i[apart], j[apart]
-                pick = np.arange(len(i)) if last else spanning_forest(i, j, own)
+                pick = np.arange(len(i)) if rest else spanning_forest(i, j, own)
                 for x, y in zip(i[pick].tolist(), j[pick].tolist(), strict=True):
-                    if own[x] != own[y] and _similar(h[bounds[x] : bounds[x + 1]], h[bounds[y] : bounds[y + 1]]):
+                    if own[x] != own[y] and _similar(h[first[x] : last[x]], h[first[y] : last[y]]):
                         found.append((ids[x], ids[y]))
                         low, high = sorted((own[x], own[y]))
                         own[own == high] = low
@@ -483,27 +554,25 @@ def components(links: DataFrame) -> DataFrame:
         edges = small.distinct()
 
 
-def linked_components(
-    payloads: DataFrame,
-    fetch: Callable[[np.ndarray], DataFrame],
-    tokens: Tokens,
-    block: int = BLOCK,
-    width: int = 2,
-    merged: bool = False,
-) -> DataFrame:
-    """``id, root`` for every set that is linked with a different one; ``root`` is the least id.
+def met(payloads: DataFrame, block: int = BLOCK, merged: bool = False, bare: bool = False) -> DataFrame:
+    """The cells that ``linked`` takes, as a table.
 
-    ``payloads`` are what ``dealt`` makes of the sets' keys, for as many parts as the session has
-    shuffle partitions; sizes of 0 keep large cells from being cut by size. ``fetch`` gets a Bloom filter of ids
-    and returns ``id, text`` of at least those. ``tokens`` makes sets of texts: sorted
-    distinct hashes and bounds. Cells of more than ``block`` sets are cut into pairs of blocks.
-    Bitmaps have ``width`` to twice as many bits per member. Where most sets that meet do so under several keys, cells of equal
+    ``payloads`` are what ``dealt`` (or, if ``bare``, ``dealt_bare``) makes of the sets' keys, for as many parts as the session has
+    shuffle partitions; sizes of 0 keep large cells from being cut by size. Cells of more than ``block`` sets are cut
+    into pairs of blocks. Where most sets that meet do so under several keys, cells of equal
     members should be ``merged``, at the price of one more shuffle of ids.
     """
-    parts = tasks(payloads.sparkSession)
-    cells = written(_cells(payloads, parts, block, merged), "cells")
-    ids = cells.select("id").distinct()
-    items = written(fetch(id_filter(ids)).join(ids, "id", "left_semi"), "items")
+    return written(_cells(payloads, tasks(payloads.sparkSession), block, merged, bare), "cells")
+
+
+def linked(cells: DataFrame, texts: DataFrame, tokens: Tokens, width: int = 2) -> DataFrame:
+    """``id, root`` for every set that is linked with a different one; ``root`` is the least id.
+
+    ``cells`` are of ``met``; ``texts`` has ``id, text`` of at least the sets in them. ``tokens`` makes sets of texts: sorted
+    distinct hashes and bounds. Bitmaps have ``width`` to twice as many bits per member.
+    """
+    parts = tasks(cells.sparkSession)
+    items = written(texts.join(cells.select("id").distinct(), "id", "left_semi"), "items")
 
     def by_cell(members: DataFrame) -> DataFrame:
         return members.repartition(parts, "cell").sortWithinPartitions("cell")
@@ -515,8 +584,17 @@ def linked_components(
     # Who shares the least partner is connected; that is enough to leave out most pairs.
     partner = links.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
     partner = partner.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("a")).alias("label"))
-    failed = found.join(checked.filter("NOT linked"), ["a", "b"], "left_semi")
+    # Where all pairs of a cell are checked, no text can tell more.
+    failed = found.filter("NOT complete").join(checked.filter("NOT linked"), ["a", "b"], "left_semi")
     members = cells.join(failed.select("cell").distinct(), "cell", "left_semi").join(partner, "id", "left")
     members = members.join(items, "id").withColumn("label", F.coalesce("label", "id"))
     more = _exact(by_cell(members.select("cell", "id", "side", "label", "text")), tokens)
-    return components(links.unionAll(more))
+    return components(written(links.unionAll(more), "links"))
+
+
+def linked_components(
+    payloads: DataFrame, fetch: Callable[[np.ndarray], DataFrame], tokens: Tokens, block: int = BLOCK, width: int = 2
+) -> DataFrame:
+    """``linked`` of ``met``; ``fetch`` gets a Bloom filter of ids and returns ``id, text`` of at least those."""
+    cells = met(payloads, block)
+    return linked(cells, fetch(id_filter(cells.select("id").distinct())), tokens, width)

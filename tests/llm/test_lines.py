@@ -6,7 +6,7 @@ import pyarrow as pa
 
 from ledgertag.llm.common import utf8
 from ledgertag.llm.lines import CHARS, band_keys, dedup_lines, shingle_hashes, shingles, trimmed_lines
-from ledgertag.llm.links import DEALT, _cells, dealt
+from ledgertag.llm.links import DEALT, _cells, _forests, bitmap, dealt, dealt_bare
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, n_lines string, doc string, tie int"
@@ -103,6 +103,42 @@ def test_members_that_meet_under_several_keys_make_one_cell(spark):
     assert cells(sets, 2) == [pair, [(1, 0), (2, 0), (3, 1)], [(3, 0)]]
 
 
+def test_ids_and_halves_of_keys_meet_like_whole_rows(spark):
+    rng = np.random.default_rng(3)
+    ids = np.sort(rng.choice(1 << 60, 300, replace=False)).astype(np.int64)
+    keys = rng.integers(0, 1 << 63, 150, dtype=np.uint64)[rng.integers(0, 150, (300, 4))]
+    packed = dealt(ids, ids.view(np.uint64), np.zeros(300, np.int32), list(keys), 5), dealt_bare(ids, keys, 5)
+    found = []
+    for p, bare in zip(packed, (False, True), strict=True):
+        payloads = spark.createDataFrame(list(zip(*(c.to_pylist() for c in p.columns), strict=True)), DEALT)
+        found.append({tuple(r) for r in _cells(payloads, 5, 7, merged=True, bare=bare).collect()})
+    assert found[0] == found[1] and len(found[0]) > 300
+    sizes = [sum(len(x) for x in p.column("payload").to_pylist()) for p in packed]
+    assert sizes == [1200 * 28, 1200 * 12]
+
+
+def test_cells_of_few_pairs_are_checked_whole(spark):
+    """Three sets have no more pairs than members; four have, and only a forest of theirs is checked first."""
+    bits = [bitmap(np.arange(40, dtype=np.uint64) + np.uint64(k), 4) for k in range(4)]
+    rows = [(c, 10 * c + k, 0, 40, bits[k]) for c, m in ((1, 2), (2, 3), (3, 4)) for k in range(m)]
+    rows.append((4, 40, 0, 40, bits[0]))
+    rows.append((4, 41, 0, 400, bitmap(np.arange(400, dtype=np.uint64), 4)))  # may not link
+    members = spark.createDataFrame(rows, "cell long, id long, side int, n int, bits binary").coalesce(1).sortWithinPartitions("cell")
+    found = {}
+    for r in _forests(members).collect():
+        found.setdefault((r.cell, r.complete), set()).add((r.a, r.b))
+    assert found[1, True] == {(10, 11)} and found[2, True] == {(20, 21), (20, 22), (21, 22)}
+    assert len(found[3, False]) == 3 and len(found) == 3
+
+
+def test_a_group_of_most_lines(spark):
+    """Half of all lines are alike, in some spellings; that group is joined where its rows are."""
+    base = "the very same notice that stands below every page of this collection"
+    notices = [base, base.replace("page", "leaf", 1), base.upper(), " " + base]
+    rows = [(i, f"words of text {i * 7919} and {i * 104729}\n{notices[i % 4]}\n{i}") for i in range(120)]
+    assert run(spark, rows) == plain(rows)
+
+
 def test_repeated_rows_and_empty(spark):
     rows = [(3, "alpha beta gamma delta\nother words here"), (3, "alpha beta gamma delta\nother words here"), (4, "alpha beta gamma delta ")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
