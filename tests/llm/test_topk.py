@@ -4,6 +4,7 @@ from fractions import Fraction
 
 import pytest
 
+from ledgertag.llm import topk
 from ledgertag.llm.topk import top_k
 
 SCHEMA = "vec_id long, embedding array<float>, label int, rank int, _id string"
@@ -63,3 +64,71 @@ def test_components_of_any_size(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert top_k(df, df).collect() == []
+
+
+def shuffled(node):
+    """Bytes of the rows that a plan that has run dealt out."""
+    size = node.metrics().get("dataSize")
+    total = size.get().value() if size.isDefined() and "Exchange" in node.nodeName() else 0
+    if node.nodeName() == "AdaptiveSparkPlan":
+        below = [node.executedPlan()]
+    elif node.nodeName().endswith("QueryStage"):
+        below = [node.plan()]
+    else:
+        below = [node.children().apply(i) for i in range(node.children().size())]
+    return total + sum(map(shuffled, below))
+
+
+def test_queries_sent_do_not_grow_with_partitions(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 0.3) for _ in range(16)], 1, 2, "x") for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (4, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            out = top_k(df, df.filter("vec_id % 2 = 0"), k=3)
+            got = sorted(map(tuple, out.collect()))
+            found.append((got, shuffled(out._jdf.queryExecution().executedPlan())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    (few, small), (many, large) = found
+    assert few == many and len(few) == 600
+    assert 0 < large < 2 * small, (small, large)
+
+
+def test_many_buckets_and_groups(spark, monkeypatch):
+    """Every query meets every row where rows and queries are dealt out, in several blocks a task, with ties across them."""
+    monkeypatch.setattr(topk, "HELD", 2_000)
+    monkeypatch.setattr(topk, "ASKED", 40)
+    rng = random.Random(4)
+    rows = [(i, [rng.gauss(0, 0.3) for _ in range(8)]) for i in range(700)]
+    rows += [(1000 + i, [-0.25, 0.5] * 4) for i in range(60)] + [(2000 + i, [rng.uniform(-9000, 9000) for _ in range(8)]) for i in range(40)]
+    rows += [(3000 + i, [rng.gauss(0, 1) for _ in range(3)]) for i in range(150)] + [(3500 + i, [0.0] * 8) for i in range(20)]
+    assert topk.dealt(970, 7_000, 97, 8) == (4, 3)
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(i, v, 1, 2, "x") for i, v in rows], SCHEMA).repartition(3)
+    got = top_k(df, df.filter("vec_id % 10 = 0"), k=7, block_rows=32, query_rows=16)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 7)
+
+
+def test_sums_of_high_digits(spark):
+    """Sums without low digits are off by no more than is said, for any cut."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    values = rng.integers(-700, 700, (200, 9))
+    slices, low = topk.build_slices(values)
+    maps = np.concatenate([slices, ~slices]).reshape(-1, slices.shape[2])
+    for weights in (rng.integers(-900, 900, 9), np.array([0, 1, -1, 7, -8, 1023, -1024, 85, -86]), np.zeros(9, np.int64)):
+        true = values @ weights
+        for cut in (0, 1, 5, 9, 30):
+            how = topk.addition(weights, slices.shape[1], cut)
+            sums = topk.Adder().add(maps, how)
+            bits = np.array([np.unpackbits(x.view(np.uint8), count=200, bitorder="little") for x in sums], np.int64)
+            value = (bits << np.arange(len(sums))[:, None]).sum(axis=0)
+            least = (value << cut) + int((weights * low).sum()) - how["less"]
+            assert (least <= true).all() and (true <= least + how["slack"]).all()
+            for x in (-3, 0, 1, int(np.median(value)), int(value.max()), int(value.max()) + 1, 1 << 60):
+                rows = np.unpackbits(topk.at_least(sums, x).view(np.uint8), count=200, bitorder="little")
+                assert (rows == (value >= x)).all()
